@@ -20,7 +20,11 @@ def top_n_per_airport(df: DataFrame, param: str, name: str, n: int = TOP_N,
     a partial WindowGroupLimit before the exchange, so at most ``n`` rows per
     airport and map task are shuffled.
     """
-    agg = airport_delay_by(df, param, name, delay=delay, airport=airport)
+    return rank_within_airport(airport_delay_by(df, param, name, delay=delay, airport=airport), name, n)
+
+
+def rank_within_airport(agg: DataFrame, name: str, n: int = TOP_N) -> DataFrame:
+    """Top ``n`` rows per ``apt`` of (apt, name, avg_delay, num_flights) rows, ranked from 1."""
     w = Window.partitionBy("apt").orderBy(F.col("avg_delay").asc(), F.col(name).asc_nulls_last())
     return (
         agg.withColumn("rank", F.row_number().over(w))

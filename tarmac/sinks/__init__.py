@@ -1,0 +1,8 @@
+from tarmac.sinks.files import publish, to_topic_lines, write_clean, write_flights  # noqa: F401
+from tarmac.sinks.tables import (  # noqa: F401
+    committed_batches,
+    compact,
+    read_latest,
+    snapshot_batch,
+    upsert_batch,
+)
