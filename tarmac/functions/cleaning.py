@@ -31,9 +31,9 @@ def project_clean(df: DataFrame) -> DataFrame:
     return df.select(*CLEAN_COLUMNS)
 
 
-def clean_values(df: DataFrame) -> DataFrame:
-    """O5-O7 over a raw all-text frame: twelve columns, cleaned values."""
-    return df.select(*[clean_value(c).alias(c) for c in CLEAN_COLUMNS])
+def clean_values(df: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
+    """O5-O7 over a raw all-text frame: twelve columns, cleaned values (plus ``keep`` as is)."""
+    return df.select(*[clean_value(c).alias(c) for c in CLEAN_COLUMNS], *keep)
 
 
 def drop_header_rows(df: DataFrame, first: str = CLEAN_COLUMNS[0]) -> DataFrame:

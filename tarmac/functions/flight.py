@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 # Fixed value: a scheduled hour below this is "morning".
 NOON = 12
+# Fixed value: a scheduled time is one to four digits, HHMM without leading zeros.
+DEP_TIME_PATTERN = "^[0-9]{1,4}$"
 
 
 def dep_hour(c: Column | str = "CRSDepTime") -> Column:
     """Scheduled hour: first two characters of the time padded to four ("900" -> 09)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.substring(F.lpad(F.trim(c), 4, "0"), 1, 2).try_cast("int")
+    t = F.trim(c)
+    return F.when(t.rlike(DEP_TIME_PATTERN), F.substring(F.lpad(t, 4, "0"), 1, 2).cast("int"))
 
 
 def padded_dep_time(c: Column | str = "CRSDepTime") -> Column:

@@ -67,7 +67,8 @@ _FLIGHTS = "flights AS (\n  SELECT\n" + ",\n".join(f"    {_typed(c)}" for c in _
 
 _BASE = "WITH " + ",\n".join([_RAW, _CLEAN, _FLIGHTS])
 
-_DEP_HOUR = "TRY_CAST(substr(lpad(trim(\"CRSDepTime\"), 4, '0'), 1, 2) AS INTEGER)"
+_DEP_HOUR = ("CASE WHEN regexp_full_match(trim(\"CRSDepTime\"), '[0-9]{1,4}') "
+             "THEN CAST(substr(lpad(trim(\"CRSDepTime\"), 4, '0'), 1, 2) AS INTEGER) END")
 _DATE = ("TRY_CAST(TRY_STRPTIME(CAST(\"Year\" AS VARCHAR) || '-' || CAST(\"Month\" AS VARCHAR) || '-' "
          "|| CAST(\"DayofMonth\" AS VARCHAR), '%Y-%m-%d') AS DATE)")
 
