@@ -25,6 +25,29 @@ def _on_flights(op: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _raw_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: raw CSV in two column layouts, read back by header name and cleaned."""
+    from tarmac.session import scratch_path
+    from tarmac.sources.files import read_raw
+    from tarmac.sources.publish_raw import write_raw_csv
+
+    path = scratch_path(spark, "raw-csv")
+    write_raw_csv(spark, sf_dir, path)
+    return read_raw(spark, path)
+
+
+def _archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: zipped CSV archives (two layouts per archive), unpacked and cleaned."""
+    from tarmac.session import scratch_path
+    from tarmac.sources.archives import read_archives
+    from tarmac.sources.publish_raw import write_raw_archives
+
+    path = scratch_path(spark, "archives")
+    write_raw_archives(spark, sf_dir, path)
+    rows, _ = read_archives(spark, path, staging=scratch_path(spark, "unpacked"), with_source=False)
+    return rows
+
+
 def _stream(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tarmac.streaming import replay
@@ -38,6 +61,8 @@ def _stream(name: str) -> Query:
 QUERIES: dict[str, Query] = {
     "cleaned_flights": lambda spark, d: fixture.clean_flights(spark, d),
     "typed_flights": lambda spark, d: fixture.flights(spark, d),
+    "raw_csv_ingest": _raw_csv_ingest,
+    "archive_ingest": _archive_ingest,
     "airport_popularity": _on_flights(metrics.airport_popularity),
     "popularity_ranked": _on_flights(ranking.popularity_ranked),
     "top_airports": _on_flights(lambda f: ranking.popularity_ranked(f, n=10)),

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.cleaning import clean_values, drop_header_rows
 from tarmac.schema import CLEAN_COLUMNS
 from tarmac.session import scratch_path
-from tarmac.sources.files import MissingColumnError, column_positions
+from tarmac.sources.files import column_positions
 
 UNPACKED_SCHEMA = ("archive string, member string, line_no long, header_id long, "
                    "line string, error string")
@@ -132,10 +132,7 @@ def read_archives(spark: SparkSession, path: str, staging: str | None = None,
     layouts = {}
     for h in heads:
         names = next(csv.reader(io.StringIO(h["line"]))) if h["line"] else []
-        try:
-            layouts[h["header_id"]] = (len(names), column_positions(names, h["example"]))
-        except MissingColumnError:
-            raise
+        layouts[h["header_id"]] = (len(names), column_positions(names, h["example"]))
     width = max([w for w, _ in layouts.values()] or [1])
     ddl = ", ".join(f"c{i} STRING" for i in range(width))
     rec = lines.filter(F.col("line_no") > 0).withColumn("r", F.from_csv("line", ddl))

@@ -61,8 +61,13 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
+    # Fact-to-orders is a join of two tables that both grow with the data, so
+    # it is a sort-merge join at every size: both sides hash-partitioned on the
+    # order key (spill-safe, never a broadcast of a fact-sized side).  The
+    # exchange also spreads the row work over all cores when the input is a
+    # single large file.
     j = (
-        li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        li.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(origin, F.col("l_suppkey") == F.col("s_suppkey"))
     )
