@@ -13,19 +13,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app_name: str = "tarmac", extra: dict | None = None) -> SparkSession:
     """A session with the settings every job here assumes.
 
-    On a cluster, size ``shuffle_partitions`` to the data (about 128-256 MB
-    of shuffle per partition); AQE coalesces small ones and splits skewed
-    join partitions at run time.
+    On a cluster pass ``master=None`` (spark-submit decides) and size
+    ``shuffle_partitions`` to the data (about 128-256 MB of shuffle per
+    partition, e.g. 20000+ at 100 TB); AQE coalesces small ones and splits
+    skewed join partitions at run time.
     """
+    b = SparkSession.builder.appName(app_name)
+    if master:  # None: keep what spark-submit / the cluster sets
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        b.config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
