@@ -1,14 +1,20 @@
 """Zipped CSV archives (O1).
 
-A ZIP file cannot be split, so one archive is the unit of parallelism: the
-``binaryFile`` source hands each task whole archives, and a Pandas
-``mapInPandas`` step unpacks them on the executors into
-(archive, member, line_no, header_id, line) rows.  Those rows are written
-once to a staging Parquet table (the one pass over the archives; it also
-cuts lineage, so a lost executor never re-reads archives).  Columns are
+Work is split per archive *member*, not per archive: a listing step reads
+only each ZIP's central directory (random access at the end of the file)
+and emits one row per ``.csv`` member; the member rows are spread over
+tasks; each task then stream-decompresses its members in bounded chunks.
+So a very large archive is unpacked by as many tasks as it has members,
+and no task ever holds a whole archive in memory (``binaryFile`` content
+would, and is capped at 2 GB per file).  A single member is one deflate
+stream and is read by one task, sequentially.
+
+The unpacked lines (archive, member, line_no, header_id, line) are written
+once to a staging Parquet table, which is the one pass over the archives
+and cuts lineage: a lost executor never re-reads archives.  Columns are
 then taken by name in the JVM: one ``from_csv`` per line with the widest
 layout, and a CASE over the few distinct headers picks each column's
-position.  An archive that cannot be opened becomes a reject row.
+position.  An archive or member that cannot be read becomes a reject row.
 """
 
 from __future__ import annotations
@@ -25,21 +31,36 @@ from pyspark.sql import functions as F
 from tarmac.functions.cleaning import clean_values, drop_header_rows
 from tarmac.schema import CLEAN_COLUMNS
 from tarmac.session import scratch_path
-from tarmac.sources.files import column_positions
+from tarmac.sources.files import _local, column_positions
 
+MEMBER_SCHEMA = "archive string, member string, error string"
 UNPACKED_SCHEMA = ("archive string, member string, line_no long, header_id long, "
                    "line string, error string")
-CHUNK_LINES = 100_000
+CHUNK_LINES = 50_000
+READ_ERRORS = (zipfile.BadZipFile, zipfile.LargeZipFile, OSError, ValueError, EOFError,
+               NotImplementedError, RuntimeError)
+
+
+def open_random_access(path: str):
+    """Seekable binary handle for a local path or any filesystem pyarrow can open."""
+    local = _local(path)
+    if local is not None:
+        return open(local, "rb")
+    from pyarrow import fs as pafs
+
+    filesystem, p = pafs.FileSystem.from_uri(path)
+    return filesystem.open_input_file(p)
 
 
 def header_id(line: str) -> int:
     return zlib.crc32(line.encode("utf-8"))
 
 
-def records(text: str):
-    """Split text into CSV records; a quoted field may hold line breaks."""
+def records(lines):
+    """Join physical lines into CSV records; a quoted field may hold line breaks."""
     pending = None
-    for ln in text.splitlines():
+    for ln in lines:
+        ln = ln.rstrip("\r\n")
         pending = ln if pending is None else pending + "\n" + ln
         if pending.count('"') % 2 == 0:
             yield pending
@@ -48,7 +69,26 @@ def records(text: str):
         yield pending
 
 
-def _frame(archive, member, start, hid, lines):
+def _reject(archive, member, e) -> pd.DataFrame:
+    return pd.DataFrame({"archive": [archive], "member": [member], "line_no": [None],
+                         "header_id": [None], "line": [None],
+                         "error": [f"{type(e).__name__}: {e}"]})
+
+
+def _list_members(batches):
+    for pdf in batches:
+        for archive in pdf["path"]:
+            try:
+                with open_random_access(archive) as fh, zipfile.ZipFile(fh) as zf:
+                    names = [i.filename for i in zf.infolist() if i.filename.endswith(".csv")]
+                yield pd.DataFrame({"archive": [archive] * len(names), "member": names,
+                                    "error": [None] * len(names)})
+            except READ_ERRORS as e:
+                yield pd.DataFrame({"archive": [archive], "member": [None],
+                                    "error": [f"{type(e).__name__}: {e}"]})
+
+
+def _frame(archive, member, start, hid, lines) -> pd.DataFrame:
     n = len(lines)
     return pd.DataFrame({
         "archive": [archive] * n,
@@ -60,54 +100,60 @@ def _frame(archive, member, start, hid, lines):
     })
 
 
-def _unzip(batches):
+def _unpack_member(archive: str, member: str):
+    with open_random_access(archive) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw:
+        text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
+        it = records(text)
+        head = next(it, None)
+        if head is None:
+            return
+        head = head.lstrip("﻿")
+        hid = header_id(head)
+        yield _frame(archive, member, 0, hid, [head])
+        buf, start = [], 1
+        for rec in it:
+            buf.append(rec)
+            if len(buf) >= CHUNK_LINES:
+                yield _frame(archive, member, start, hid, buf)
+                start += len(buf)
+                buf = []
+        if buf:
+            yield _frame(archive, member, start, hid, buf)
+
+
+def _unpack(batches):
     for pdf in batches:
-        for archive, content in zip(pdf["path"], pdf["content"]):
-            try:
-                zf = zipfile.ZipFile(io.BytesIO(content))
-                members = [m for m in zf.namelist() if m.endswith(".csv")]
-            except (zipfile.BadZipFile, OSError, ValueError) as e:
-                yield pd.DataFrame({"archive": [archive], "member": [None], "line_no": [None],
-                                    "header_id": [None], "line": [None],
-                                    "error": [f"{type(e).__name__}: {e}"]})
+        for archive, member, err in zip(pdf["archive"], pdf["member"], pdf["error"]):
+            if err is not None:
+                yield pd.DataFrame({"archive": [archive], "member": [member], "line_no": [None],
+                                    "header_id": [None], "line": [None], "error": [err]})
                 continue
-            for m in members:
-                try:
-                    text = zf.read(m).decode("utf-8", errors="replace").lstrip("﻿")
-                except (zipfile.BadZipFile, OSError, ValueError, EOFError) as e:
-                    yield pd.DataFrame({"archive": [archive], "member": [m], "line_no": [None],
-                                        "header_id": [None], "line": [None],
-                                        "error": [f"{type(e).__name__}: {e}"]})
-                    continue
-                it = records(text)
-                head = next(it, None)
-                if head is None:
-                    continue
-                hid = header_id(head)
-                yield _frame(archive, m, 0, hid, [head])
-                buf, start = [], 1
-                for rec in it:
-                    buf.append(rec)
-                    if len(buf) >= CHUNK_LINES:
-                        yield _frame(archive, m, start, hid, buf)
-                        start += len(buf)
-                        buf = []
-                if buf:
-                    yield _frame(archive, m, start, hid, buf)
-            del zf
-
-
-def unpack_archives(spark: SparkSession, path: str, staging: str | None = None) -> str:
-    """Unpack every ``*.zip`` below ``path`` (any depth) into a staging Parquet table."""
-    staging = staging or scratch_path(spark, "unpacked")
+            try:
+                yield from _unpack_member(archive, member)
+            except READ_ERRORS as e:
+                yield _reject(archive, member, e)
+
+
+def list_members(spark: SparkSession, path: str) -> DataFrame:
+    """One row per ``.csv`` member of every ``*.zip`` below ``path``; archive contents unread."""
     archives = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.zip")
         .load(path)
-        .select("path", "content")
+        .select("path")
     )
-    archives.mapInPandas(_unzip, UNPACKED_SCHEMA).write.mode("overwrite").parquet(staging)
+    return archives.mapInPandas(_list_members, MEMBER_SCHEMA)
+
+
+def unpack_archives(spark: SparkSession, path: str, staging: str | None = None,
+                    max_tasks: int = 100_000) -> str:
+    """Unpack every ``*.zip`` below ``path`` (any depth) into a staging Parquet table."""
+    staging = staging or scratch_path(spark, "unpacked")
+    members = list_members(spark, path)
+    n = members.count()  # one number; the listing reads central directories only
+    spread = members.repartition(max(1, min(n, max_tasks)), "archive", "member")
+    spread.mapInPandas(_unpack, UNPACKED_SCHEMA).write.mode("overwrite").parquet(staging)
     return staging
 
 
@@ -140,9 +186,9 @@ def read_archives(spark: SparkSession, path: str, staging: str | None = None,
     def pick(c: str):
         e = None
         for hid, (_, pos) in layouts.items():
+            cond = F.col("header_id") == F.lit(hid)
             v = F.col(f"r.c{pos[c]}")
-            e = F.when(F.col("header_id") == F.lit(hid), v) if e is None else e.when(
-                F.col("header_id") == F.lit(hid), v)
+            e = F.when(cond, v) if e is None else e.when(cond, v)
         return (e if e is not None else F.lit(None).cast("string")).alias(c)
 
     raw = rec.select(*[pick(c) for c in CLEAN_COLUMNS], "archive", "member")

@@ -91,7 +91,13 @@ def _headers_udf(batches):
 
 
 def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> dict[str, list[str]]:
-    """Header line -> files with it.  File contents are not loaded by the listing."""
+    """Header line -> files with it.
+
+    File contents are not loaded by the listing; each file's first line is
+    read on an executor.  Headers are de-duplicated on the executors, so the
+    driver receives the few distinct layouts plus (path, layout id) pairs,
+    the same file list Spark's own file index holds.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -99,10 +105,19 @@ def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> dict[st
         .load(path)
         .select("path")
     )
-    rows = listing.mapInPandas(_headers_udf, "path string, header string").collect()
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in rows:
-        groups[r["header"]].append(r["path"])
+    heads = (
+        listing.mapInPandas(_headers_udf, "path string, header string")
+        .withColumn("header_id", F.xxhash64("header"))
+        .cache()
+    )
+    try:
+        layouts = {r["header_id"]: r["header"]
+                   for r in heads.groupBy("header_id").agg(F.first("header").alias("header")).collect()}
+        groups: dict[str, list[str]] = defaultdict(list)
+        for r in heads.select("path", "header_id").collect():
+            groups[layouts[r["header_id"]]].append(r["path"])
+    finally:
+        heads.unpersist()
     return groups
 
 

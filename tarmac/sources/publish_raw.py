@@ -63,12 +63,15 @@ def _open_write(path: str):
 
 def _zip_writer(root: str):
     def write(batches):
-        import uuid
+        from pyspark import TaskContext
 
-        for pdf in batches:
+        # Names depend on the partition and batch number only, so a retried
+        # task overwrites its own archives instead of adding copies.
+        pid = TaskContext.get().partitionId()
+        for i, pdf in enumerate(batches):
             if pdf.empty:
                 continue
-            name = uuid.uuid4().hex[:16]
+            name = f"{pid:05d}{i:05d}"
             buf = io.BytesIO()
             with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
                 for member, layout, flag in [("a", LAYOUT_A, False), ("b", LAYOUT_B, True)]:
@@ -78,7 +81,7 @@ def _zip_writer(root: str):
                     w.writerow(layout)
                     w.writerows(part[layout].itertuples(index=False, name=None))
                     z.writestr(f"On_Time_{member}.csv", text.getvalue())
-            with _open_write(f"{root}/{name[:2]}/{name}.zip") as fh:
+            with _open_write(f"{root}/p{pid % 16:02d}/{name}.zip") as fh:
                 fh.write(buf.getvalue())
             yield pd.DataFrame({"archive": [name], "rows": [len(pdf)]})
 
