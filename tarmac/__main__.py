@@ -57,6 +57,8 @@ def main(argv=None) -> int:
     s.add_argument("--path", default=None)
     s.add_argument("--trigger", default="1 second")
     s.add_argument("--year", type=int, default=2008)
+    s.add_argument("--retain", type=int, default=None,
+                   help="complete-mode tables: keep only this many finished batches")
 
     a = ap.parse_args(argv)
     spark = build_session(master=a.master, shuffle_partitions=None)
@@ -84,6 +86,7 @@ def main(argv=None) -> int:
         src = stream_clean(spark, a.format, _options(a.option), a.path)
         build = jobs.JOBS[f"stream_{a.question}"]
         job = build(src, year=a.year) if a.question == "best_flights" else build(src)
+        job.retain = a.retain
         q = job.start(a.out, a.checkpoint, trigger={"processingTime": a.trigger}, name=a.question)
         q.awaitTermination()
     return 0

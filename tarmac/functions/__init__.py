@@ -3,6 +3,7 @@ from tarmac.functions.cleaning import (  # noqa: F401
     clean_values,
     drop_header_rows,
     is_bad,
+    parse_delay,
     parse_int,
     project_clean,
     typed_flights,

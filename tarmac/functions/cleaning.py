@@ -53,6 +53,11 @@ def is_bad(c: Column | str, type_: str = "bigint") -> Column:
     return c.isNotNull() & parse_int(c, type_).isNull()
 
 
+def parse_delay(df: DataFrame, col: str) -> DataFrame:
+    """O10 on a text column: adds ``<col>_value`` (bigint or null) and ``<col>_bad``."""
+    return df.withColumn(f"{col}_value", parse_int(col)).withColumn(bad_flag_name(col), is_bad(col))
+
+
 def bad_flag_name(col: str) -> str:
     return f"{col}_bad"
 

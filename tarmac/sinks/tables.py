@@ -12,8 +12,10 @@ batch cut short by a lost driver is invisible until it is re-run.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MARKERS = "_batches"
 
@@ -30,15 +32,21 @@ def upsert_batch(df: DataFrame, batch_id: int, path: str) -> None:
 
 
 def committed_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Finished batch ids (one row per batch)."""
-    return spark.read.parquet(f"{path}/{MARKERS}").select(F.col("batch_id").cast("long"))
+    """Finished batch ids (one row per batch); empty when nothing was written yet."""
+    try:
+        return spark.read.parquet(f"{path}/{MARKERS}").select(F.col("batch_id").cast("long"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return spark.createDataFrame([], "batch_id long")
 
 
 def _data(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
+def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None,
+                schema: StructType | None = None) -> DataFrame:
     """Current table contents.
 
     ``keys=None`` (complete-mode tables): the rows of the highest finished
@@ -58,6 +66,39 @@ def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None) -
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
 
 
+def expire_batches(spark: SparkSession, path: str, keep: int) -> list[int]:
+    """Delete all but the newest ``keep`` finished batches of a complete-mode table.
+
+    A complete-mode batch holds the whole table, so older batches are
+    redundant; without expiry a one-second trigger adds a full copy every
+    second.  The marker goes first, so readers never pick a batch that is
+    being deleted.  Not for update-mode tables (compact those instead).
+    """
+    ids = sorted(r["batch_id"] for r in committed_batches(spark, path).collect())
+    old = ids[:-keep] if keep > 0 else ids
+    for b in old:
+        delete_path(f"{path}/{MARKERS}/batch_id={b}")
+        delete_path(f"{path}/batch_id={b}")
+    return old
+
+
+def delete_path(path: str) -> None:
+    """Remove a directory tree on the local disk or any filesystem pyarrow can open."""
+    from tarmac.sources.files import _local
+
+    local = _local(path)
+    if local is not None:
+        import shutil
+
+        shutil.rmtree(local, ignore_errors=True)
+        return
+    from pyarrow import fs as pafs
+
+    filesystem, p = pafs.FileSystem.from_uri(path)
+    if filesystem.get_file_info(p).type != pafs.FileType.NotFound:
+        filesystem.delete_dir(p)
+
+
 def compact(spark: SparkSession, path: str, keys: list[str], out: str) -> None:
     """Fold an update-mode table into one batch at ``out`` (same latest-per-key rows)."""
     done = committed_batches(spark, path)

@@ -9,7 +9,7 @@ as in the reference: every row counts whenever it arrives.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from tarmac.functions.flight import NOON, airport_endpoints, dep_hour, flight_da
 from tarmac.operators.best import BEST_FLIGHT_YEAR
 from tarmac.operators.metrics import mean_of
 from tarmac.operators.ranking import TOP_N, rank_within_airport
-from tarmac.sinks.tables import upsert_batch
+from tarmac.sinks.tables import expire_batches, upsert_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -35,13 +35,20 @@ class StreamJob:
     keys: list[str]
     post: Callable[[DataFrame], DataFrame] = lambda df: df
     large_state: bool = False
-    observe: dict = field(default_factory=dict)
+    retain: int | None = None  # complete mode: keep only this many finished batches
+
+    def output_schema(self):
+        """Schema of the table rows (after ``post``), known before any batch runs."""
+        spark = self.frame.sparkSession
+        return self.post(spark.createDataFrame([], self.frame.schema)).schema
 
     def write_batch(self, path: str) -> Callable[[DataFrame, int], None]:
-        post = self.post
+        post, retain, mode = self.post, self.retain, self.mode
 
         def run(batch: DataFrame, batch_id: int) -> None:
             upsert_batch(post(batch), batch_id, path)
+            if retain and mode == "complete":
+                expire_batches(batch.sparkSession, path, retain)
 
         return run
 

@@ -50,4 +50,5 @@ def run_registered(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     n = publish_fixture(spark, sf_dir, inp)
     job = build_job(spark, name, inp, math.ceil(n / MICRO_BATCHES))
     run_to_end(job, out, ckpt)
-    return read_latest(spark, out, None if job.mode == "complete" else job.keys)
+    return read_latest(spark, out, None if job.mode == "complete" else job.keys,
+                       schema=job.output_schema())

@@ -101,3 +101,10 @@ def test_empty_input(spark):
     assert airport_popularity(t).count() == 0
     assert carrier_arrival_delay(t).count() == 0
     assert t.select(F.count("*")).first()[0] == 0
+
+
+def test_parse_delay_text_columns(spark):
+    from tarmac.functions.cleaning import parse_delay
+
+    df = parse_delay(spark.createDataFrame([(" 7",), ("x",), (None,)], "ArrDelay string"), "ArrDelay")
+    assert [(r["ArrDelay_value"], r["ArrDelay_bad"]) for r in df.collect()] == [(7, False), (None, True), (None, False)]

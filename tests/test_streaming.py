@@ -29,8 +29,11 @@ def test_stream_popularity_three_batches_then_restart(spark, tmp):
     job = stream_popularity(src)
     q = job.start(out, ck, trigger={"availableNow": True})
     q.awaitTermination()
-    sizes = [p["numInputRows"] for p in progress(q) if p["numInputRows"]]
-    assert len(sizes) == 3
+    prog = [p for p in progress(q) if p["numInputRows"]]
+    assert len(prog) == 3
+    bad = sum(p["observed"]["bad_delays"]["bad_arr_delay"] for p in prog)
+    from tarmac.functions.cleaning import typed_flights as _tf
+    assert bad == _tf(a).filter("ArrDelay_bad").count() > 0
     first = rows(read_latest(spark, out))
     assert first == rows(airport_popularity(flights(spark, SF_SMALL).limit(0).unionByName(
         __import__("tarmac.functions.cleaning", fromlist=["x"]).typed_flights(a))))
@@ -87,3 +90,28 @@ def test_snapshot_batch_text(spark, tmp):
     assert os.path.isdir(f"{tmp}/apt_counts/batch_id=4")
     back = spark.read.option("header", True).option("nullValue", "_").csv(f"{tmp}/apt_counts/batch_id=4")
     assert back.count() == df.count()
+
+
+def test_empty_stream_gives_empty_table(spark, tmp):
+    from tarmac.streaming.jobs import stream_top_carriers
+
+    publish(clean_flights(spark, SF_SMALL).filter("false"), fmt="text", path=f"{tmp}/in")
+    job = stream_top_carriers(stream_clean(spark, "text", {}, f"{tmp}/in"))
+    run_to_end(job, f"{tmp}/out", f"{tmp}/ck")
+    out = read_latest(spark, f"{tmp}/out", None, schema=job.output_schema())
+    assert out.count() == 0
+    assert out.columns == ["apt", "rank", "airline", "avg_delay", "num_flights"]
+
+
+def test_complete_mode_retention_keeps_newest_batches(spark, tmp):
+    from tarmac.sinks.tables import committed_batches
+
+    inp = f"{tmp}/in"
+    publish(clean_flights(spark, SF_SMALL).repartition(4), fmt="text", path=inp)
+    job = stream_popularity(stream_clean(spark, "text", {"maxFilesPerTrigger": "1"}, inp))
+    job.retain = 2
+    run_to_end(job, f"{tmp}/out", f"{tmp}/ck")
+    ids = sorted(r[0] for r in committed_batches(spark, f"{tmp}/out").collect())
+    assert len(ids) == 2 and ids[-1] >= 3
+    assert not os.path.exists(f"{tmp}/out/batch_id=0")
+    assert rows(read_latest(spark, f"{tmp}/out")) == rows(airport_popularity(flights(spark, SF_SMALL)))
