@@ -28,13 +28,27 @@ def with_morning(df: DataFrame, time_col: str = "CRSDepTime", name: str = "morni
     return df.withColumn(name, dep_hour(time_col) < F.lit(NOON))
 
 
+def days_in_month(y: Column, m: Column) -> Column:
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    return (
+        F.when(m == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
+        .when(m.isin(4, 6, 9, 11), F.lit(30))
+        .otherwise(F.lit(31))
+    )
+
+
 def flight_date(year: str = "Year", month: str = "Month", day: str = "DayofMonth") -> Column:
-    """Calendar date from parts; an impossible date (31 February) gives null."""
-    return F.try_to_date(
-        F.concat_ws("-", F.col(year).cast("string"), F.col(month).cast("string"),
-                    F.col(day).cast("string")),
-        "yyyy-M-d",
+    """Calendar date from integer parts; an impossible date (31 February) gives null.
+
+    Validity is checked with integer arithmetic and ``make_date`` runs only on
+    valid parts (so it never raises under ANSI mode), which avoids formatting
+    and re-parsing a date string for every row.
+    """
+    y, m, d = F.col(year), F.col(month), F.col(day)
+    valid = (
+        y.between(1, 9999) & m.between(1, 12) & (d >= 1) & (d <= days_in_month(y, m))
     )
+    return F.when(valid, F.make_date(y, m, d))
 
 
 def with_flight_date(df: DataFrame, name: str = "date") -> DataFrame:

@@ -108,3 +108,17 @@ def test_parse_delay_text_columns(spark):
 
     df = parse_delay(spark.createDataFrame([(" 7",), ("x",), (None,)], "ArrDelay string"), "ArrDelay")
     assert [(r["ArrDelay_value"], r["ArrDelay_bad"]) for r in df.collect()] == [(7, False), (None, True), (None, False)]
+
+
+def test_flight_date_matches_string_parse_on_grid(spark):
+    years = [1900, 1999, 2000, 2004, 2008, 2100, 0]
+    grid = [(y, m, d) for y in years for m in range(0, 14) for d in range(0, 33)] + [(None, 1, 1)]
+    df = spark.createDataFrame(grid, "Year int, Month int, DayofMonth int")
+    ref = F.try_to_date(F.concat_ws("-", F.lpad(F.col("Year").cast("string"), 4, "0"),
+                                    F.col("Month").cast("string"), F.col("DayofMonth").cast("string")),
+                        "yyyy-M-d")
+    # Year 0 is outside the calendar (DateType starts at 0001): always null.
+    assert df.filter((F.col("Year") == 0) & flight_date().isNotNull()).count() == 0
+    rest = df.filter(F.col("Year").isNull() | (F.col("Year") != 0))
+    assert rest.filter(~flight_date().eqNullSafe(ref)).count() == 0
+    assert df.filter(flight_date().isNotNull()).count() == 6 * 365 + 3  # leap: 2000, 2004, 2008
