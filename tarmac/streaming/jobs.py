@@ -20,7 +20,7 @@ from tarmac.functions.flight import NOON, airport_endpoints, dep_hour, flight_da
 from tarmac.operators.best import BEST_FLIGHT_YEAR
 from tarmac.operators.metrics import mean_of
 from tarmac.operators.ranking import TOP_N, rank_within_airport
-from tarmac.sinks.tables import expire_batches, upsert_batch
+from tarmac.sinks.tables import expire_batches, snapshot_batch, upsert_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -36,6 +36,7 @@ class StreamJob:
     post: Callable[[DataFrame], DataFrame] = lambda df: df
     large_state: bool = False
     retain: int | None = None  # complete mode: keep only this many finished batches
+    snapshot_prefix: str | None = None  # O40: also write each batch as CSV text here
 
     def output_schema(self):
         """Schema of the table rows (after ``post``), known before any batch runs."""
@@ -43,10 +44,13 @@ class StreamJob:
         return self.post(spark.createDataFrame([], self.frame.schema)).schema
 
     def write_batch(self, path: str) -> Callable[[DataFrame, int], None]:
-        post, retain, mode = self.post, self.retain, self.mode
+        post, retain, mode, prefix = self.post, self.retain, self.mode, self.snapshot_prefix
 
         def run(batch: DataFrame, batch_id: int) -> None:
-            upsert_batch(post(batch), batch_id, path)
+            rows = post(batch)
+            upsert_batch(rows, batch_id, path)
+            if prefix:
+                snapshot_batch(rows, batch_id, prefix)
             if retain and mode == "complete":
                 expire_batches(batch.sparkSession, path, retain)
 

@@ -81,3 +81,29 @@ def test_results_independent_of_partitioning(spark):
     a = sorted(map(tuple, best_flights(t.repartition(1), 2008).collect()))
     b = sorted(map(tuple, best_flights(t.repartition(17), 2008).collect()))
     assert a == b
+
+
+def test_hot_key_holding_most_rows(spark):
+    """One airport / route / key with well over a third of all rows: same answers as brute force."""
+    random.seed(5)
+    rows = []
+    for i in range(3000):
+        hot = i % 5 != 0  # 80 % of rows on one route
+        rows.append(row(Origin="HOT" if hot else random.choice("ABC"), Dest="DST" if hot else random.choice("ABC"),
+                        UniqueCarrier=random.choice(["AA", "BB", "CC", "DD"]), DepDelay=str(random.randint(-30, 90)),
+                        ArrDelay=str(random.randint(-30, 90)), CRSDepTime=f"{random.randint(0, 23):02d}{random.randint(0, 59):02d}"))
+    t = typed(spark, rows).repartition(16)
+    from tarmac.operators.metrics import airport_popularity, route_arrival_delay
+
+    pop = {r["airport"]: r["num_flights"] for r in airport_popularity(t).collect()}
+    assert pop["HOT"] == sum(1 for r in rows if r["Origin"] == "HOT")
+    assert sum(pop.values()) == 2 * len(rows)
+    routes = {(r["src"], r["dst"]): (r["avg_delay"], r["num_flights"]) for r in route_arrival_delay(t).collect()}
+    hot = [int(r["ArrDelay"]) for r in rows if r["Origin"] == "HOT"]
+    assert routes[("HOT", "DST")] == (sum(hot) / len(hot), len(hot))
+    best = {(r["src"], r["morning"]): (r["arr_delay"], r["dep_time"])
+            for r in best_flights(t, 2008).filter("src = 'HOT'").collect()}
+    for morning in (True, False):
+        cand = [(int(r["ArrDelay"]), r["CRSDepTime"]) for r in rows
+                if r["Origin"] == "HOT" and (int(r["CRSDepTime"][:2]) < 12) == morning]
+        assert best[("HOT", morning)] == min(cand)

@@ -115,3 +115,12 @@ def test_complete_mode_retention_keeps_newest_batches(spark, tmp):
     assert len(ids) == 2 and ids[-1] >= 3
     assert not os.path.exists(f"{tmp}/out/batch_id=0")
     assert rows(read_latest(spark, f"{tmp}/out")) == rows(airport_popularity(flights(spark, SF_SMALL)))
+
+
+def test_stream_snapshots_each_batch(spark, tmp):
+    inp = f"{tmp}/in"
+    publish(clean_flights(spark, SF_SMALL).repartition(2), fmt="text", path=inp)
+    job = stream_popularity(stream_clean(spark, "text", {"maxFilesPerTrigger": "1"}, inp))
+    job.snapshot_prefix = f"{tmp}/apt_counts"
+    run_to_end(job, f"{tmp}/out", f"{tmp}/ck")
+    assert sorted(d for d in os.listdir(f"{tmp}/apt_counts") if d.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]
