@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.cleaning import clean_values, drop_header_rows, typed_flights
-from tarmac.schema import CLEAN_COLUMNS, CLEAN_DDL, MISSING_MARKER
+from tarmac.schema import CLEAN_COLUMNS, CLEAN_DDL, CLEAN_SCHEMA, MISSING_MARKER
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -23,8 +23,14 @@ def stream_clean(spark: SparkSession, fmt: str = "kafka", options: dict | None =
 
     Kafka: pass ``kafka.bootstrap.servers``, ``subscribe`` and
     ``startingOffsets=earliest``; offsets are tracked in the query checkpoint.
-    Files: ``fmt="text"`` with ``path`` and e.g. ``maxFilesPerTrigger``.
+    Files: ``fmt="text"`` with ``path`` (one topic line per row), or
+    ``fmt="csv"`` for a directory of cleaned CSV files with headers; both
+    take e.g. ``maxFilesPerTrigger``.
     """
     r = spark.readStream.format(fmt).options(**(options or {}))
+    if fmt == "csv":
+        r = r.schema(CLEAN_SCHEMA).option("header", True).option("nullValue", MISSING_MARKER)
+        rec = r.load(path).select(*CLEAN_COLUMNS)
+        return typed_flights(clean_values(drop_header_rows(rec)))
     raw = r.load(path) if path is not None else r.load()
     return parse_lines(raw)

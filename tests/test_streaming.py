@@ -124,3 +124,26 @@ def test_stream_snapshots_each_batch(spark, tmp):
     job.snapshot_prefix = f"{tmp}/apt_counts"
     run_to_end(job, f"{tmp}/out", f"{tmp}/ck")
     assert sorted(d for d in os.listdir(f"{tmp}/apt_counts") if d.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]
+
+
+def test_kafka_style_binary_values_parse_like_text(spark):
+    from pyspark.sql import functions as F
+
+    from tarmac.sinks.files import to_topic_lines
+    from tarmac.streaming.source import parse_lines
+
+    clean = clean_flights(spark, SF_SMALL)
+    lines = to_topic_lines(clean).select(F.col("value").cast("binary").alias("value"))
+    header = spark.createDataFrame([(bytearray(b"Year,Month,DayofMonth,DayOfWeek,UniqueCarrier,Origin,Dest,"
+                                               b"CRSDepTime,DepDelay,ArrDelay,Cancelled,Diverted"),)], "value binary")
+    parsed = parse_lines(lines.unionByName(header))
+    assert rows(parsed) == rows(flights(spark, SF_SMALL))
+
+
+def test_stream_from_cleaned_csv_directory(spark, tmp):
+    from tarmac.sinks.files import write_clean
+
+    write_clean(clean_flights(spark, SF_SMALL).repartition(3), f"{tmp}/clean")
+    src = stream_clean(spark, "csv", {"maxFilesPerTrigger": "1"}, f"{tmp}/clean")
+    run_to_end(stream_popularity(src), f"{tmp}/out", f"{tmp}/ck")
+    assert rows(read_latest(spark, f"{tmp}/out")) == rows(airport_popularity(flights(spark, SF_SMALL)))
