@@ -17,13 +17,20 @@ from tarmac.schema import (
 )
 
 # Fixed value: the suffix removed from every field ("<int>.00" -> "<int>").
-ZERO_CENTS = r"\.00$"
+ZERO_CENTS = ".00"
 
 
 def clean_value(c: Column | str) -> Column:
-    """O6 + O7: strip a trailing ``.00``; empty (also a bare ``.00``) becomes null."""
+    """O6 + O7: strip a trailing ``.00``; empty (also a bare ``.00``) becomes null.
+
+    A suffix test and a substring, not a regular expression: this runs on
+    every field of every row.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.nullif(F.regexp_replace(c, ZERO_CENTS, ""), F.lit(""))
+    stripped = F.when(
+        c.endswith(ZERO_CENTS), c.substr(F.lit(1), F.length(c) - len(ZERO_CENTS))
+    ).otherwise(c)
+    return F.nullif(stripped, F.lit(""))
 
 
 def project_clean(df: DataFrame) -> DataFrame:
