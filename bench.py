@@ -80,7 +80,8 @@ def stream_suite(spark, sf_dir: str) -> dict[str, float]:
 
 
 def main() -> None:
-    spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=CPUS, app_name="tarmac-bench")
+    spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=CPUS, app_name="tarmac-bench",
+                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     if WARMUP_DIR and os.path.isdir(WARMUP_DIR):
         stream_suite(spark, WARMUP_DIR)
         batch_suite(spark, WARMUP_DIR)

@@ -17,20 +17,20 @@ from tarmac.schema import (
 )
 
 # Fixed value: the suffix removed from every field ("<int>.00" -> "<int>").
-ZERO_CENTS = ".00"
+ZERO_CENTS = r"\.00$"
 
 
 def clean_value(c: Column | str) -> Column:
     """O6 + O7: strip a trailing ``.00``; empty (also a bare ``.00``) becomes null.
 
-    A suffix test and a substring, not a regular expression: this runs on
-    every field of every row.
+    One ``regexp_replace`` that references its input once.  A suffix test
+    plus substring (four references) is faster on a plain column, but when
+    the input is itself a derived expression Catalyst inlines it into every
+    reference, and the generated code grows past the method-size limit
+    (measured: e2e best flights 8 s -> 17 s at sf0.1).
     """
     c = F.col(c) if isinstance(c, str) else c
-    stripped = F.when(
-        c.endswith(ZERO_CENTS), c.substr(F.lit(1), F.length(c) - len(ZERO_CENTS))
-    ).otherwise(c)
-    return F.nullif(stripped, F.lit(""))
+    return F.nullif(F.regexp_replace(c, ZERO_CENTS, ""), F.lit(""))
 
 
 def project_clean(df: DataFrame) -> DataFrame:

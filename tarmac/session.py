@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
-                  app_name: str = "tarmac", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tarmac", extra: dict | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
     """A session with the settings every job here assumes.
 
     On a cluster pass ``master=None`` (spark-submit decides) and size
@@ -27,6 +28,8 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the executors live in the driver JVM too
+        b = b.config("spark.driver.memory", driver_memory)
     b = (
         b.config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
