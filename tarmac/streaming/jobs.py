@@ -57,12 +57,17 @@ class StreamJob:
         return run
 
     def start(self, path: str, checkpoint: str, trigger: dict | None = None,
-              name: str | None = None) -> StreamingQuery:
+              name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
         """Start writing to the keyed table at ``path`` (O34 checkpoint, O35 trigger).
 
         ``trigger`` defaults to one-second micro-batches; tests pass
         ``{"availableNow": True}``.  Large-state jobs run on the RocksDB
         state store, which spills to local disk instead of the JVM heap.
+        ``state_partitions`` fixes the number of state-store partitions of a
+        new checkpoint (a restarted query keeps the number it was started
+        with); by default the session's ``spark.sql.shuffle.partitions``.
+        The stream copies the session settings when it starts, so the
+        temporary settings below do not leak into the session.
         """
         spark = self.frame.sparkSession
         w = (
@@ -73,17 +78,19 @@ class StreamJob:
         )
         if name:
             w = w.queryName(name)
-        if not self.large_state:
-            return w.start()
-        prev = spark.conf.get(STATE_PROVIDER_CONF, None)
-        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB)
+        settings = {}
+        if self.large_state:
+            settings[STATE_PROVIDER_CONF] = ROCKSDB
+        if state_partitions:
+            settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+        prev = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         try:
             return w.start()
         finally:
-            if prev is None:
-                spark.conf.unset(STATE_PROVIDER_CONF)
-            else:
-                spark.conf.set(STATE_PROVIDER_CONF, prev)
+            for k, v in prev.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stream_popularity(src: DataFrame) -> StreamJob:

@@ -37,8 +37,10 @@ def build_job(spark: SparkSession, name: str, inp: str, files_per_trigger: int)
     return JOBS[name](src)
 
 
-def run_to_end(job: StreamJob, out: str, checkpoint: str, name: str | None = None) -> None:
-    q = job.start(out, checkpoint, trigger={"availableNow": True}, name=name)
+def run_to_end(job: StreamJob, out: str, checkpoint: str, name: str | None = None,
+               state_partitions: int | None = None) -> None:
+    q = job.start(out, checkpoint, trigger={"availableNow": True}, name=name,
+                  state_partitions=state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -49,6 +51,7 @@ def run_registered(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     inp, out, ckpt = f"{base}/input", f"{base}/table", f"{base}/checkpoint"
     n = publish_fixture(spark, sf_dir, inp)
     job = build_job(spark, name, inp, math.ceil(n / MICRO_BATCHES))
-    run_to_end(job, out, ckpt)
+    # A fresh checkpoint: one state partition per core of the cluster.
+    run_to_end(job, out, ckpt, state_partitions=spark.sparkContext.defaultParallelism)
     return read_latest(spark, out, None if job.mode == "complete" else job.keys,
                        schema=job.output_schema())
