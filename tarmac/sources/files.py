@@ -30,11 +30,15 @@ class MissingColumnError(ValueError):
 def read_clean(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """O3: cleaned CSV rows (header per file, ``_`` = missing), header rows dropped.
 
+    Each file's header must name the twelve columns in order
+    (``enforceSchema=false``); a file with another header fails, naming the
+    file, instead of reading values into the wrong columns.
     ``strict=True`` fails on a row with the wrong field count (FAILFAST);
     otherwise such a row keeps its text in ``_corrupt_record``.
     """
     r = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("nullValue", MISSING_MARKER)
         .option("recursiveFileLookup", True)
     )

@@ -29,7 +29,8 @@ def stream_clean(spark: SparkSession, fmt: str = "kafka", options: dict | None =
     """
     r = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "csv":
-        r = r.schema(CLEAN_SCHEMA).option("header", True).option("nullValue", MISSING_MARKER)
+        r = (r.schema(CLEAN_SCHEMA).option("header", True).option("enforceSchema", False)
+             .option("nullValue", MISSING_MARKER))
         rec = r.load(path).select(*CLEAN_COLUMNS)
         return typed_flights(clean_values(drop_header_rows(rec)))
     raw = r.load(path) if path is not None else r.load()

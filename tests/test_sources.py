@@ -99,3 +99,10 @@ def test_read_clean_field_count_and_header_rows(spark, tmp):
     assert df.filter("_corrupt_record is not null").count() == 1
     with pytest.raises(Exception):
         read_clean(spark, tmp, strict=True).collect()
+
+
+def test_read_clean_rejects_file_with_other_header(spark, tmp):
+    cols = list(reversed(CLEAN_COLUMNS))
+    open(f"{tmp}/swapped.csv", "w").write(csv_text(cols, [R1]))
+    with pytest.raises(Exception, match="swapped.csv"):
+        read_clean(spark, tmp).collect()
