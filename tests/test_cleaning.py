@@ -122,3 +122,20 @@ def test_flight_date_matches_string_parse_on_grid(spark):
     rest = df.filter(F.col("Year").isNull() | (F.col("Year") != 0))
     assert rest.filter(~flight_date().eqNullSafe(ref)).count() == 0
     assert df.filter(flight_date().isNotNull()).count() == 6 * 365 + 3  # leap: 2000, 2004, 2008
+
+
+def test_every_operator_on_empty_input(spark):
+    from tarmac.operators import best, metrics, ranking
+
+    t = typed(spark, [])
+    empties = [
+        metrics.airport_popularity(t), metrics.carrier_arrival_delay(t), metrics.route_arrival_delay(t),
+        metrics.airport_delay_by(t, "UniqueCarrier", "airline"), ranking.top_carriers(t),
+        ranking.top_destinations(t), ranking.popularity_ranked(t), ranking.popularity_ranked(t, n=10),
+        ranking.popularity_rank_frequency(t), ranking.rank_frequency_loglog(t),
+        best.best_flights(t, 2008), best.best_flights(t, None),
+    ]
+    assert [df.count() for df in empties] == [0] * len(empties)
+    q = quality_report(t).first().asDict()
+    assert q["num_rows"] == 0 and all(v == 0 for v in q.values())
+    assert bad_delay_count(t).first()["bad_delays"] == 0
