@@ -68,8 +68,11 @@ def main(argv=None) -> int:
 
         rejects = cleanup(spark, a.inp, a.out, "csv" if a.csv else "parquet",
                           "csv" if a.raw_csv else "zip")
-        for row in rejects.collect():  # rejects are one row per unreadable archive
-            print("rejected", row["archive"], row["error"], file=sys.stderr)
+        path = a.out.rstrip("/") + "_rejects"
+        rejects.write.mode("overwrite").parquet(path)
+        n = spark.read.parquet(path).count()
+        if n:
+            print(f"{n} unreadable archives or members, listed in {path}", file=sys.stderr)
     elif a.cmd == "results":
         from tarmac.plans.jobs import results
 

@@ -11,7 +11,10 @@ from tarmac.sources.publish_raw import write_raw_archives
 
 def test_cleanup_then_results(spark, tmp):
     write_raw_archives(spark, SF_SMALL, f"{tmp}/zips", rows_per_archive=1000)
+    open(f"{tmp}/zips/broken.zip", "wb").write(b"not a zip")
     assert main(["cleanup", f"{tmp}/zips", f"{tmp}/flights"]) == 0
+    rej = spark.read.parquet(f"{tmp}/flights_rejects").collect()
+    assert len(rej) == 1 and rej[0]["archive"].endswith("broken.zip")
     assert spark.read.parquet(f"{tmp}/flights").count() == clean_flights(spark, SF_SMALL).count()
     assert main(["results", f"{tmp}/flights", f"{tmp}/out", "--all-years"]) == 0
     for name in RESULT_TABLES:
