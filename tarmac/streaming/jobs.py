@@ -48,9 +48,15 @@ class StreamJob:
 
         def run(batch: DataFrame, batch_id: int) -> None:
             rows = post(batch)
-            upsert_batch(rows, batch_id, path)
-            if prefix:
-                snapshot_batch(rows, batch_id, prefix)
+            if prefix:  # written twice: compute the batch once (memory, then disk)
+                rows = rows.persist()
+            try:
+                upsert_batch(rows, batch_id, path)
+                if prefix:
+                    snapshot_batch(rows, batch_id, prefix)
+            finally:
+                if prefix:
+                    rows.unpersist()
             if retain and mode == "complete":
                 expire_batches(batch.sparkSession, path, retain)
 
