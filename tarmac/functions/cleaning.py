@@ -69,7 +69,7 @@ def bad_flag_name(col: str) -> str:
     return f"{col}_bad"
 
 
-def typed_flights(clean: DataFrame) -> DataFrame:
+def typed_flights(clean: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     """Typed form of cleaned rows (FIXTURES §2), plus a bad-text flag per delay.
 
     The flags keep "present but unparseable" apart from "missing" after the
@@ -86,7 +86,7 @@ def typed_flights(clean: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(c))
     cols += [is_bad(c, "bigint").alias(bad_flag_name(c)) for c in DELAY_COLUMNS]
-    return clean.select(*cols)
+    return clean.select(*cols, *keep)
 
 
 def valid_delay(df: DataFrame, col: str) -> DataFrame:

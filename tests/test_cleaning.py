@@ -139,3 +139,27 @@ def test_every_operator_on_empty_input(spark):
     q = quality_report(t).first().asDict()
     assert q["num_rows"] == 0 and all(v == 0 for v in q.values())
     assert bad_delay_count(t).first()["bad_delays"] == 0
+
+
+def test_project_morning_date_route_helpers(spark):
+    from tarmac.functions.cleaning import project_clean
+    from tarmac.functions.flight import route_key, with_flight_date, with_morning
+
+    wide = raw(spark, [row(CRSDepTime="1130"), row(CRSDepTime="1300", Month="2", DayofMonth="30")])
+    wide = wide.withColumn("TailNum", F.lit("N1")).select("TailNum", *reversed(CLEAN_COLUMNS))
+    assert project_clean(wide).columns == CLEAN_COLUMNS
+    t = with_flight_date(with_morning(typed(spark, [row(CRSDepTime="1130"),
+                                                   row(CRSDepTime="1300", Month="2", DayofMonth="30")])))
+    got = [(r["morning"], None if r["date"] is None else str(r["date"])) for r in t.collect()]
+    assert got == [(True, "2008-01-03"), (False, None)]
+    assert [r[0] for r in t.select(route_key()).collect()] == ["ORD_LAX", "ORD_LAX"]
+
+
+def test_quality_report_counts_corrupt_rows_from_read_clean(spark, tmp):
+    from tarmac.sources.files import read_clean
+
+    good = ",".join(BASE[c] for c in CLEAN_COLUMNS)
+    open(f"{tmp}/c.csv", "w").write(",".join(CLEAN_COLUMNS) + "\n" + good + "\n1,2\n")
+    df = read_clean(spark, tmp).cache()
+    q = quality_report(typed_flights(clean_values(df, keep=["_corrupt_record"]), keep=["_corrupt_record"])).first()
+    assert q["num_rows"] == 2 and q["corrupt_rows"] == 1
