@@ -14,6 +14,18 @@ Layout
 - ``plans``     the registered queries and their DuckDB oracle SQL.
 """
 
+import sys as _sys
+
 from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CLEAN_DDL  # noqa: F401
 
+# The few task-side Python functions (archive unpacking, header reads) are
+# shipped with the tasks by value, so executors need no copy of this package
+# on their path (``--py-files`` works as well).
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: ship with --py-files
+    pass
+
 __all__ = ["CLEAN_COLUMNS", "CLEAN_SCHEMA", "CLEAN_DDL"]
