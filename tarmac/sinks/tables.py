@@ -53,13 +53,16 @@ def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None,
     batch; only that batch's directory is scanned (partition pruning).
     With ``keys`` (update-mode tables): for each key, the row from the
     highest finished batch that wrote it.  That is a row_number per key,
-    whose partial WindowGroupLimit runs before the shuffle.
+    whose partial WindowGroupLimit runs before the shuffle.  A table with no
+    finished batch reads as empty, with ``schema`` (required in that case).
     """
     done = committed_batches(spark, path)
+    last = done.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        if schema is None:
+            raise ValueError(f"no finished batch under {path} and no schema given")
+        return spark.createDataFrame([], schema)
     if keys is None:
-        last = done.agg(F.max("batch_id")).first()[0]
-        if last is None:
-            return _data(spark, path).limit(0).drop("batch_id")
         return _data(spark, path).filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
     rows = _data(spark, path).join(done, "batch_id", "left_semi")
     w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())

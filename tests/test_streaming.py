@@ -147,3 +147,15 @@ def test_stream_from_cleaned_csv_directory(spark, tmp):
     src = stream_clean(spark, "csv", {"maxFilesPerTrigger": "1"}, f"{tmp}/clean")
     run_to_end(stream_popularity(src), f"{tmp}/out", f"{tmp}/ck")
     assert rows(read_latest(spark, f"{tmp}/out")) == rows(airport_popularity(flights(spark, SF_SMALL)))
+
+
+def test_read_latest_of_table_without_batches(spark, tmp):
+    import pytest
+
+    from tarmac.streaming.jobs import stream_route_delay
+
+    job = stream_route_delay(stream_clean(spark, "text", {}, SF_SMALL))
+    out = read_latest(spark, f"{tmp}/never_written", job.keys, schema=job.output_schema())
+    assert out.count() == 0 and out.columns == ["src", "dst", "avg_delay", "num_flights"]
+    with pytest.raises(ValueError):
+        read_latest(spark, f"{tmp}/never_written")
