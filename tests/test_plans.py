@@ -52,3 +52,29 @@ def test_year_filter_prunes_partitions_on_stored_flights(spark, tmp):
     assert schema == ("struct<Month:int,DayofMonth:int,UniqueCarrier:string,Origin:string,"
                       "Dest:string,CRSDepTime:string,ArrDelay:bigint>")
     assert "PushedFilters: [IsNotNull(ArrDelay)]" in p
+
+
+def test_fact_to_orders_join_is_sort_merge(spark):
+    from tarmac.sources.fixture import raw_flights
+
+    p = plan(raw_flights(spark, SF_SMALL))
+    assert "SortMergeJoin [l_orderkey" in p
+    # the fact table itself is never the broadcast side
+    assert "BroadcastExchange" not in p.split("SortMergeJoin [l_orderkey")[1].split("Sort [l_orderkey")[1].split("FileScan")[0]
+
+
+def test_global_rank_reuses_range_exchange(spark):
+    df = E.queries()["popularity_rank_frequency"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final and "rangepartitioning" in final
+
+
+def test_flights_writer_partitions_by_year_and_keeps_rows(spark, tmp):
+    import os
+
+    df = flights(spark, SF_SMALL)
+    write_flights(df, f"{tmp}/f")
+    years = sorted(d for d in os.listdir(f"{tmp}/f") if d.startswith("Year="))
+    assert len(years) == df.select("Year").distinct().count()
+    assert spark.read.parquet(f"{tmp}/f").count() == df.count()
