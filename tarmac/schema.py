@@ -36,3 +36,9 @@ CORRUPT_COLUMN = "_corrupt_record"
 INT_COLUMNS = ["Year", "Month", "DayofMonth", "DayOfWeek", "Cancelled", "Diverted"]
 DELAY_COLUMNS = ["DepDelay", "ArrDelay"]
 KEY_COLUMNS = ["UniqueCarrier", "Origin", "Dest", "CRSDepTime"]
+
+# Read buffer (characters) for ``from_csv``.  The CSV parser sets up a new
+# input buffer for every value it parses; its default (about a million
+# characters per line) makes parsing slow and can exhaust a small heap when
+# many tasks parse at once.  Longer lines are still read whole, in chunks.
+FROM_CSV_OPTIONS = {"inputBufferSize": "4096"}

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.cleaning import clean_values, drop_header_rows
-from tarmac.schema import CLEAN_COLUMNS
+from tarmac.schema import CLEAN_COLUMNS, FROM_CSV_OPTIONS
 from tarmac.session import scratch_path
 from tarmac.sources.files import _local, column_positions
 
@@ -181,7 +181,7 @@ def read_archives(spark: SparkSession, path: str, staging: str | None = None,
         layouts[h["header_id"]] = (len(names), column_positions(names, h["example"]))
     width = max([w for w, _ in layouts.values()] or [1])
     ddl = ", ".join(f"c{i} STRING" for i in range(width))
-    rec = lines.filter(F.col("line_no") > 0).withColumn("r", F.from_csv("line", ddl))
+    rec = lines.filter(F.col("line_no") > 0).withColumn("r", F.from_csv("line", ddl, FROM_CSV_OPTIONS))
 
     def pick(c: str):
         e = None

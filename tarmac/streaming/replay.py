@@ -24,8 +24,12 @@ MICRO_BATCHES = 3
 
 
 def publish_fixture(spark: SparkSession, sf_dir: str, path: str, num_files: int | None = None) -> int:
-    """Write the cleaned fixture rows as topic lines into ``num_files`` text files."""
-    n = num_files or max(5, spark.sparkContext.defaultParallelism)
+    """Write the cleaned fixture rows as topic lines into ``num_files`` text files.
+
+    By default one file per core for each of the micro-batches, so every
+    micro-batch reads with the whole cluster.
+    """
+    n = num_files or MICRO_BATCHES * max(2, spark.sparkContext.defaultParallelism)
     publish(clean_flights(spark, sf_dir).repartition(n), fmt="text", path=path)
     return n
 

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.cleaning import clean_values, drop_header_rows, typed_flights
-from tarmac.schema import CLEAN_COLUMNS, CLEAN_DDL, CLEAN_SCHEMA, MISSING_MARKER
+from tarmac.schema import CLEAN_COLUMNS, CLEAN_DDL, CLEAN_SCHEMA, FROM_CSV_OPTIONS, MISSING_MARKER
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """CSV text lines -> typed flights, header rows dropped (D11); all in the JVM."""
     rec = lines.select(
-        F.from_csv(F.col(value).cast("string"), CLEAN_DDL, {"nullValue": MISSING_MARKER}).alias("r")
+        F.from_csv(F.col(value).cast("string"), CLEAN_DDL,
+                   {"nullValue": MISSING_MARKER, **FROM_CSV_OPTIONS}).alias("r")
     ).select(*[F.col(f"r.{c}").alias(c) for c in CLEAN_COLUMNS])
     return typed_flights(clean_values(drop_header_rows(rec)))
 
