@@ -59,6 +59,8 @@ def main(argv=None) -> int:
     s.add_argument("--year", type=int, default=2008)
     s.add_argument("--retain", type=int, default=None,
                    help="complete-mode tables: keep only this many finished batches")
+    s.add_argument("--compact-every", type=int, default=None,
+                   help="update-mode tables: fold into a base every N batches")
 
     a = ap.parse_args(argv)
     spark = build_session(master=a.master, shuffle_partitions=None)
@@ -90,6 +92,7 @@ def main(argv=None) -> int:
         build = jobs.JOBS[f"stream_{a.question}"]
         job = build(src, year=a.year) if a.question == "best_flights" else build(src)
         job.retain = a.retain
+        job.compact_every = a.compact_every
         q = job.start(a.out, a.checkpoint, trigger={"processingTime": a.trigger}, name=a.question)
         q.awaitTermination()
     return 0

@@ -2,6 +2,8 @@ from tarmac.sinks.files import publish, to_topic_lines, write_clean, write_fligh
 from tarmac.sinks.tables import (  # noqa: F401
     committed_batches,
     compact,
+    compact_in_place,
+    expire_batches,
     read_latest,
     snapshot_batch,
     upsert_batch,

@@ -5,9 +5,16 @@ Layout of a table at ``path``::
     path/batch_id=N/part-*.parquet   rows written by batch N (overwritten on replay)
     path/_batches/batch_id=N/        one-row marker, written after the data
 
+    path/_base/upto=B/               update mode: newest row per key of batches <= B
+    path/_bases/upto=B/              marker of a finished base
+
 A replayed batch overwrites its own directory, so a retry leaves the same
 rows (idempotent sink).  Readers see only batches whose marker exists, so a
-batch cut short by a lost driver is invisible until it is re-run.
+batch cut short by a lost driver is invisible until it is re-run.  An
+update-mode table is compacted in place into a base; readers then take the
+newest finished base plus the batches after it, so read cost and storage
+stop growing with the age of the stream.  A replayed batch at or below the
+base rewrites rows the base already holds, so it changes nothing.
 """
 
 from __future__ import annotations
@@ -18,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MARKERS = "_batches"
+BASE = "_base"
+BASE_MARKERS = "_bases"
 
 
 def upsert_batch(df: DataFrame, batch_id: int, path: str) -> None:
@@ -65,10 +74,60 @@ def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None,
     if keys is None:
         return _data(spark, path).filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
     rows = _data(spark, path).join(done, "batch_id", "left_semi")
+    base = latest_base(spark, path)
+    if base is not None:
+        base_rows = (
+            spark.read.parquet(f"{path}/{BASE}/upto={base}")
+            .withColumn("batch_id", F.lit(base).cast(rows.schema["batch_id"].dataType))
+        )
+        rows = rows.filter(F.col("batch_id") > F.lit(base)).unionByName(base_rows)
     w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
 
 
+def latest_base(spark: SparkSession, path: str) -> int | None:
+    """Highest finished base of an update-mode table, or None."""
+    try:
+        marks = spark.read.parquet(f"{path}/{BASE_MARKERS}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+    return marks.agg(F.max("upto")).first()[0]
+
+
+def compact_in_place(spark: SparkSession, path: str, keys: list[str],
+                     drop_old: bool = True) -> int | None:
+    """Fold an update-mode table into a base at its newest finished batch.
+
+    Writes the newest row per key of everything finished so far to
+    ``_base/upto=B`` and marks it; with ``drop_old`` the batches and bases
+    below B are deleted afterwards (their rows live on in the base).
+    Returns B, or None when nothing was finished yet.
+    """
+    last = committed_batches(spark, path).agg(F.max("batch_id")).first()[0]
+    if last is None or last == latest_base(spark, path):
+        return None
+    current = read_latest(spark, path, keys)
+    current.write.mode("overwrite").parquet(f"{path}/{BASE}/upto={last}")
+    (
+        spark.range(1).select(F.lit(last).cast("long").alias("base"))
+        .write.mode("overwrite").parquet(f"{path}/{BASE_MARKERS}/upto={last}")
+    )
+    if drop_old:
+        # Batch ``last`` itself stays (its rows are below the base and ignored),
+        # so the table always has a finished batch and a batch directory.
+        for b in sorted(r["batch_id"] for r in committed_batches(spark, path).collect()):
+            if b < last:
+                delete_path(f"{path}/{MARKERS}/batch_id={b}")
+                delete_path(f"{path}/batch_id={b}")
+        for r in spark.read.parquet(f"{path}/{BASE_MARKERS}").select("upto").collect():
+            if r["upto"] < last:
+                delete_path(f"{path}/{BASE_MARKERS}/upto={r['upto']}")
+                delete_path(f"{path}/{BASE}/upto={r['upto']}")
+    return last
+
+
 def expire_batches(spark: SparkSession, path: str, keep: int) -> list[int]:
     """Delete all but the newest ``keep`` finished batches of a complete-mode table.
 

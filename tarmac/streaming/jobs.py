@@ -20,7 +20,7 @@ from tarmac.functions.flight import NOON, airport_endpoints, dep_hour, flight_da
 from tarmac.operators.best import BEST_FLIGHT_YEAR
 from tarmac.operators.metrics import mean_of
 from tarmac.operators.ranking import TOP_N, rank_within_airport
-from tarmac.sinks.tables import expire_batches, snapshot_batch, upsert_batch
+from tarmac.sinks.tables import compact_in_place, expire_batches, snapshot_batch, upsert_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -37,6 +37,7 @@ class StreamJob:
     large_state: bool = False
     retain: int | None = None  # complete mode: keep only this many finished batches
     snapshot_prefix: str | None = None  # O40: also write each batch as CSV text here
+    compact_every: int | None = None  # update mode: fold into a base every N batches
 
     def output_schema(self):
         """Schema of the table rows (after ``post``), known before any batch runs."""
@@ -45,6 +46,7 @@ class StreamJob:
 
     def write_batch(self, path: str) -> Callable[[DataFrame, int], None]:
         post, retain, mode, prefix = self.post, self.retain, self.mode, self.snapshot_prefix
+        every, keys = self.compact_every, self.keys
 
         def run(batch: DataFrame, batch_id: int) -> None:
             rows = post(batch)
@@ -59,6 +61,8 @@ class StreamJob:
                     rows.unpersist()
             if retain and mode == "complete":
                 expire_batches(batch.sparkSession, path, retain)
+            if every and mode == "update" and (batch_id + 1) % every == 0:
+                compact_in_place(batch.sparkSession, path, keys)
 
         return run
 
