@@ -10,9 +10,13 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from tarmac.session import build_session
+if __package__ in (None, ""):  # run as a script (e.g. by spark-submit): find the package
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tarmac.session import build_session  # noqa: E402
 
 
 def _options(pairs):
