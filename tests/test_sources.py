@@ -106,3 +106,36 @@ def test_read_clean_rejects_file_with_other_header(spark, tmp):
     open(f"{tmp}/swapped.csv", "w").write(csv_text(cols, [R1]))
     with pytest.raises(Exception, match="swapped.csv"):
         read_clean(spark, tmp).collect()
+
+
+def test_archive_member_missing_column_names_archive_and_member(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    cols = [c for c in CLEAN_COLUMNS if c != "Dest"]
+    open(f"{tmp}/in/nodest.zip", "wb").write(zip_bytes({"month.csv": csv_text(cols, [R1])}))
+    with pytest.raises(MissingColumnError, match="nodest.zip:month.csv"):
+        read_archives(spark, f"{tmp}/in", staging=f"{tmp}/staging")
+
+
+def test_read_raw_quoted_comma_stays_in_its_field(spark, tmp):
+    cols = EXTRA + CLEAN_COLUMNS
+    lines = [",".join(cols), ",".join('"N1, spare"' if c == "TailNum" else '"A,B"' if c == "UniqueCarrier"
+                                      else R1.get(c, "") for c in cols)]
+    open(f"{tmp}/q.csv", "w").write("\n".join(lines) + "\n")
+    r = read_raw(spark, tmp).first()
+    assert r["UniqueCarrier"] == "A,B" and r["Origin"] == "ORD" and r["ArrDelay"] == "7"
+
+
+def test_topic_lines_quote_commas_and_round_trip(spark):
+    from tarmac.functions.cleaning import typed_flights
+    from tarmac.schema import CLEAN_SCHEMA
+    from tarmac.sinks.files import to_topic_lines
+    from tarmac.streaming.source import parse_lines
+
+    row = tuple("A,B" if c == "UniqueCarrier" else None if c == "DepDelay" else R1[c].replace(".00", "")
+                for c in CLEAN_COLUMNS)
+    df = spark.createDataFrame([row], CLEAN_SCHEMA)
+    line = to_topic_lines(df).first()["value"]
+    assert '"A,B"' in line and ",_," in line
+    back = parse_lines(to_topic_lines(df)).first()
+    want = typed_flights(df).first()
+    assert back == want and back["UniqueCarrier"] == "A,B" and back["DepDelay"] is None
