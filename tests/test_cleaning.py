@@ -163,3 +163,13 @@ def test_quality_report_counts_corrupt_rows_from_read_clean(spark, tmp):
     df = read_clean(spark, tmp).cache()
     q = quality_report(typed_flights(clean_values(df, keep=["_corrupt_record"]), keep=["_corrupt_record"])).first()
     assert q["num_rows"] == 2 and q["corrupt_rows"] == 1
+
+
+def test_delay_parsing_is_strict_with_ansi_off(spark):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = typed(spark, [row(ArrDelay=c) for c in ["5.5", "5.00", "+5", "x"]]).select("ArrDelay", "ArrDelay_bad")
+        assert [(r[0], r[1]) for r in df.collect()] == [(None, True), (5, False), (5, False), (None, True)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
