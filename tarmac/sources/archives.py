@@ -56,13 +56,39 @@ def header_id(line: str) -> int:
     return zlib.crc32(line.encode("utf-8"))
 
 
+def ends_inside_quotes(text: str, inside: bool) -> bool:
+    """Whether a CSV line ends inside a quoted field.
+
+    A quote opens a quoted field only at the start of a field; inside one,
+    a doubled quote is a literal quote and a single one closes the field.
+    A quote in the middle of an unquoted field is a plain character.
+    """
+    at_start = not inside
+    i, n = 0, len(text)
+    while i < n:
+        ch = text[i]
+        if inside:
+            if ch == '"':
+                if i + 1 < n and text[i + 1] == '"':
+                    i += 1
+                else:
+                    inside = False
+        elif ch == '"' and at_start:
+            inside = True
+        at_start = (not inside) and ch == ","
+        i += 1
+    return inside
+
+
 def records(lines):
     """Join physical lines into CSV records; a quoted field may hold line breaks."""
-    pending = None
+    pending, inside = None, False
     for ln in lines:
         ln = ln.rstrip("\r\n")
         pending = ln if pending is None else pending + "\n" + ln
-        if pending.count('"') % 2 == 0:
+        if inside or '"' in ln:  # lines without quotes need no scan
+            inside = ends_inside_quotes(ln, inside)
+        if not inside:
             yield pending
             pending = None
     if pending is not None:

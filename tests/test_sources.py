@@ -139,3 +139,12 @@ def test_topic_lines_quote_commas_and_round_trip(spark):
     back = parse_lines(to_topic_lines(df)).first()
     want = typed_flights(df).first()
     assert back == want and back["UniqueCarrier"] == "A,B" and back["DepDelay"] is None
+
+
+def test_records_join_only_real_quoted_line_breaks():
+    from tarmac.sources.archives import records
+
+    lines = ['a,15" screen,b', 'c,"two', 'lines",d', 'e,"x""y",f', '"", g', 'h,"',
+             '",i', 'j']
+    assert list(records(lines)) == ['a,15" screen,b', 'c,"two\nlines",d', 'e,"x""y",f', '"", g',
+                                    'h,"\n",i', 'j']
