@@ -41,4 +41,4 @@ KEY_COLUMNS = ["UniqueCarrier", "Origin", "Dest", "CRSDepTime"]
 # input buffer for every value it parses; its default (about a million
 # characters per line) makes parsing slow and can exhaust a small heap when
 # many tasks parse at once.  Longer lines are still read whole, in chunks.
-FROM_CSV_OPTIONS = {"inputBufferSize": "4096"}
+FROM_CSV_OPTIONS = {"inputBufferSize": "1024"}
