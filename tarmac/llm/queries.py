@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from tarmac.llm import balanced_shards, decontaminate, license_digest, revisits
+from tarmac.llm import balanced_shards, bsi_topk, decontaminate, language_id, license_digest, revisits, toxicity
 
 QUERIES = {
+    "op2_bsi_topk": bsi_topk.op2_bsi_topk,
+    "op3_language_id": language_id.op3_language_id,
     "op4_balanced_shards": balanced_shards.op4_balanced_shards,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_revisits": revisits.op6_revisits,
     "op8_license_digest": license_digest.op8_license_digest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 SQL = {
+    "op2_bsi_topk": bsi_topk.SQL,
     "op6_revisits": revisits.SQL,
     "op8_license_digest": license_digest.SQL,
     "op9_decontaminate": decontaminate.SQL,
