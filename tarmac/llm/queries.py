@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import balanced_shards, bsi_topk, decontaminate, language_id, license_digest, revisits, toxicity
+from tarmac.llm import balanced_shards, bsi_topk, decontaminate, language_id, license_digest, packing, revisits, toxicity
 
 QUERIES = {
     "op2_bsi_topk": bsi_topk.op2_bsi_topk,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_balanced_shards": balanced_shards.op4_balanced_shards,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_revisits": revisits.op6_revisits,
+    "op7_packing": packing.op7_packing,
     "op8_license_digest": license_digest.op8_license_digest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
