@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import balanced_shards, bsi_topk, decontaminate, language_id, license_digest, packing, revisits, toxicity
+from tarmac.llm import balanced_shards, bsi_topk, decontaminate, jaccard_tree, language_id, license_digest, packing, revisits, toxicity
 
 QUERIES = {
     "op2_bsi_topk": bsi_topk.op2_bsi_topk,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_packing": packing.op7_packing,
     "op8_license_digest": license_digest.op8_license_digest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_jaccard_tree": jaccard_tree.op10_jaccard_tree,
 }
 
 SQL = {
