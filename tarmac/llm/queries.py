@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tarmac.llm import balanced_shards, bsi_topk, decontaminate, jaccard_tree, language_id, license_digest, packing, revisits, toxicity
+from tarmac.llm import balanced_shards, bsi_topk, decontaminate, jaccard_tree, language_id, license_digest, packing, revisits, suffix_dedup, toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_bsi_topk": bsi_topk.op2_bsi_topk,
     "op3_language_id": language_id.op3_language_id,
     "op4_balanced_shards": balanced_shards.op4_balanced_shards,
