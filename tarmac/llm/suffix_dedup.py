@@ -43,6 +43,7 @@ from tarmac.llm.winnow import Anchors
 SPAN = 400
 LETTER = 80  # bytes of a letter of the suffix array
 PART = 8192
+BROADCAST_ROWS = 100_000  # fingerprints with large blocks sent to all tasks; beyond, a shuffle
 BATCH = 16_384  # contexts that one suffix array holds, blocks permitting
 
 SPANS = "th binary, lo long, hi long"
@@ -117,15 +118,21 @@ def _find_anchors(anchors: Anchors) -> Callable:
                         if len(seen) < 1_000_000:
                             seen.add(th)
                 owner, place, fp = anchors([texts[i] for i in new])
+                if not len(fp):
+                    continue
+                by = np.lexsort((place, fp, owner))
+                owner, place, fp = owner[by], place[by], fp[by]
+                first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (fp[1:] != fp[:-1])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashes[i] for i in new], pa.binary()).take(pa.array(owner)), pa.array(place, pa.int64()),
-                     pa.array(fp.view(np.int64))], names=["th", "place", "fp"])
+                    [pa.array([hashes[i] for i in new], pa.binary()).take(pa.array(owner[first])),
+                     pa.ListArray.from_arrays(pa.array(np.r_[first, len(fp)], pa.int32()), pa.array(place)),
+                     pa.array(fp[first].view(np.int64))], names=["th", "places", "fp"])
 
     return run
 
 
 def _cut_contexts(span: int, reach: int) -> Callable:
-    """Rows (th, fp, size, places, before, context, sure): contexts of a text, equal ones once; sure if they are several."""
+    """Rows (th, fp, places, before, context): contexts of a text, equal ones once with all their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,19 +142,33 @@ def _cut_contexts(span: int, reach: int) -> Callable:
                 for th, text, at in zip(*(part.column(c).to_pylist() for c in ("th", "text", "at"))):
                     raw = text.encode()
                     for a in at:
-                        p = a["place"]
-                        lo_p = max(0, p - reach)
-                        out.setdefault((th, a["fp"], a["size"], p - lo_p, raw[lo_p:p + span]), []).append(p)
+                        for p in a["places"]:
+                            lo_p = max(0, p - reach)
+                            out.setdefault((th, a["fp"], p - lo_p, raw[lo_p:p + span]), []).append(p)
                 if out:
-                    th, fp, size, before, ctx = zip(*out)
+                    th, fp, before, ctx = zip(*out)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(th, pa.binary()), pa.array(fp, pa.int64()), pa.array(size, pa.int64()),
+                        [pa.array(th, pa.binary()), pa.array(fp, pa.int64()),
                          pa.array(list(out.values()), pa.list_(pa.int64())), pa.array(before, pa.int64()), pa.array(ctx, pa.binary())],
-                        names=["th", "fp", "size", "places", "before", "context"])
+                        names=["th", "fp", "places", "before", "context"])
 
     return run
 
 
+def _merged(lo: np.ndarray, hi: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unions of overlapping or touching [lo, hi) of the same owner."""
+    if not len(lo):
+        return lo, hi, own
+    far = int(hi.max()) + 2  # owners lie on one line, apart from each other
+    by = np.lexsort((lo, own))
+    lo, hi = lo[by] + own[by] * far, hi[by] + own[by] * far
+    reach = np.maximum.accumulate(hi)
+    first = np.flatnonzero(np.r_[True, lo[1:] > reach[:-1]])
+    last = np.r_[first[1:] - 1, len(lo) - 1]
+    own = own[by][first]
+    return lo[first] - own * far, reach[last] - own * far, own
+
+
 def _spans_of_blocks(span: int) -> Callable:
     """Repeated spans per text from rows sorted by block."""
 
@@ -157,14 +178,18 @@ def _spans_of_blocks(span: int) -> Callable:
         for i, key in enumerate(zip(th, (p[0] for p in places))):  # a context may be in several blocks of parts
             once.setdefault(key, i)
         keep = list(once.values())
-        several = [i for i in keep if len(places[i]) > 1]
-        out = [(th[i], p - before[i], p - before[i] + len(contexts[i])) for i in several for p in places[i]]
-        for k, first, last in repeated(np.array([before[i] for i in keep], dtype=np.int64), [contexts[i] for i in keep], span):
-            i = keep[k]
-            out += [(th[i], p - last, p - first + span) for p in places[i]]
-        t, lo, hi = zip(*out) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(t, pa.binary()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())],
-                                          names=["th", "lo", "hi"])
+        # (row, stretch before the place, stretch after it); contexts at several places are covered whole
+        found = [(i, before[i], len(contexts[i]) - before[i]) for i in keep if len(places[i]) > 1]
+        found += [(keep[k], last, span - first) for k, first, last in repeated(
+            np.array([before[i] for i in keep], dtype=np.int64), [contexts[i] for i in keep], span)]
+        names = {t: k for k, t in enumerate(dict.fromkeys(th))}
+        n = np.array([len(places[i]) for i, _, _ in found], dtype=np.int64)
+        at = np.array([p for i, _, _ in found for p in places[i]], dtype=np.int64)
+        own = np.repeat(np.array([names[th[i]] for i, _, _ in found], dtype=np.int64), n)
+        lo, hi = (at + sign * np.repeat(np.array([f[k] for f in found], dtype=np.int64), n) for k, sign in ((1, -1), (2, 1)))
+        lo, hi, own = _merged(lo, hi, own)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(names), pa.binary()).take(pa.array(own)), pa.array(lo), pa.array(hi)], names=["th", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -194,17 +219,21 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
     per_text = rows.filter(F.col("n_bytes") >= span).groupBy("th").agg(
         F.min("id").alias("_id"), F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"))
 
-    found = stored(d.select("th", "text").mapInArrow(_find_anchors(anchors), "th binary, place long, fp long"), "anchors")
-    spot = F.xxhash64("th", "place")
-    shared = (found.groupBy("fp").agg(F.min(spot).alias("x"), F.max(spot).alias("y"), F.count(F.lit(1)).alias("size"))
-              .filter("x <> y").select("fp", "size"))
-    at = (found.join(shared, "fp").groupBy("th").agg(F.collect_set(F.struct("place", "fp", "size")).alias("at"))
+    found = stored(d.select("th", "text").mapInArrow(_find_anchors(anchors), "th binary, places array<bigint>, fp long"), "anchors")
+    spot = F.xxhash64("th")
+    shared = (found.groupBy("fp").agg(F.min(spot).alias("x"), F.max(spot).alias("y"), F.max(F.size("places")).alias("n"))
+              .filter("x <> y OR n > 1").select("fp"))
+    at = (found.join(shared, "fp").groupBy("th").agg(F.collect_set(F.struct("places", "fp")).alias("at"))
           .join(per_text, "th").select(F.col("th").alias("_th"), "_id", "at"))
-    cut = (d.join(at, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id")))
-           .select("th", "text", "at")
-           .mapInArrow(_cut_contexts(span, anchors.width - 1),
-                       "th binary, fp long, size long, places array<bigint>, before long, context binary"))
-    parts = F.ceil(F.col("size") / PART).cast("int")
+    cut = stored(
+        d.join(at, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id")))
+        .select("th", "text", "at").mapInArrow(
+            _cut_contexts(span, anchors.width - 1),
+            "th binary, fp long, places array<bigint>, before long, context binary"), "contexts")
+    large = stored(cut.groupBy("fp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > PART), "large")
+    few = large.count() <= BROADCAST_ROWS
+    cut = cut.join(F.broadcast(large) if few else large, "fp", "left")
+    parts = F.coalesce(F.ceil(F.col("size") / PART), F.lit(1)).cast("int")
     cut = cut.withColumn("part", F.pmod(F.xxhash64("th", F.get("places", F.lit(0))), parts).cast("int"))
     cut = cut.withColumn("o", F.explode(F.sequence(F.lit(0), parts - 1))).select(
         "th", "fp", "places", "before", "context", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
