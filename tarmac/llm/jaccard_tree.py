@@ -15,7 +15,8 @@ Documents with equal sets form a class; from there on classes are joined.
    possible overlap is below what the smallest pair would need, or that lie in
    one component already.  Blocks above ``BLOCK`` classes are dealt out as
    pairs of parts, so no task holds more than two parts.
-3. Surviving pairs are verified on their whole sets.  A first round only tries
+3. Surviving pairs are checked once more by longer bitmaps where sets are
+   large, and verified on their whole sets.  A first round only tries
    neighbours in each block; its links are joined to components, and the full
    traversal then looks for links between different components.  So a group
    of thousands of near copies costs its members, not its pairs.
@@ -47,6 +48,7 @@ LEAF, FAN = 32, 8
 BLOCK = 2048
 OFTEN_LOCAL = 4  # shingle seen in so many documents of a task's stretch
 STRETCH = 1 << 21  # shingles per stretch
+BROADCAST_ROWS = 300_000  # classes whose texts are picked out by a broadcast; beyond, by a shuffle
 OFTEN_MOST = 100_000  # shingles moved to the end of the order, at most
 
 
@@ -86,6 +88,16 @@ def need(na, nb, num: int, den: int):
     return -(-num * (na + nb) // (num + den))
 
 
+def fold(b: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bytes as made directly, from a longer one."""
+    return np.bitwise_or.reduce(b.reshape(-1, size), axis=0)
+
+
+def wide_bitmap(s: np.ndarray, bits: int) -> bytes | None:
+    """For sets above ``bits`` shingles a bitmap with about a bit per shingle."""
+    return bitmap(s, 1 << min(20, len(s).bit_length())).tobytes() if len(s) > bits else None
+
+
 def bitmap(s: np.ndarray, bits: int) -> np.ndarray:
     at = (s >> np.uint64(11)) % np.uint64(bits)
     flags = np.zeros(bits, dtype=bool)
@@ -103,16 +115,17 @@ class Rule:
         return n - -(-self.num * n // self.den) + 1
 
     def profile(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(kind 0: id, h, n, sig) per row; (kind 1: count as n, shingle as sig) for shingles seen often in a stretch."""
+        """(kind 0: id, h, n, sig, bitmaps) per row; (kind 1: count as n, shingle as sig) for shingles seen often in a stretch."""
         held: list[np.ndarray] = []
+        names = ["kind", "id", "h", "n", "sig", "bits", "wide"]
 
         def often() -> pa.RecordBatch:
             v, c = np.unique(np.concatenate(held), return_counts=True)
             v, c = v[c >= OFTEN_LOCAL], c[c >= OFTEN_LOCAL]
             none = pa.nulls(len(v), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(np.ones(len(v), np.int32)), none, none,
-                                               pa.array(c.astype(np.int64)), pa.array(v.view(np.int64))],
-                                              names=["kind", "id", "h", "n", "sig"])
+                                               pa.array(c.astype(np.int64)), pa.array(v.view(np.int64)),
+                                               pa.nulls(len(v), pa.binary()), pa.nulls(len(v), pa.binary())], names=names)
 
         for batch in batches:
             for start, texts in text_chunks(batch.column("text")):
@@ -120,8 +133,9 @@ class Rule:
                 part = batch.slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(len(texts), np.int32)), part.column("id"), part.column("h"),
-                     pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.int64())],
-                    names=["kind", "id", "h", "n", "sig"])
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.int64()),
+                     pa.array([bitmap(s, self.bits).tobytes() for s in sets], pa.binary()),
+                     pa.array([wide_bitmap(s, self.bits) for s in sets], pa.binary())], names=names)
                 held.extend(sets)
                 if sum(map(len, held)) >= STRETCH:
                     yield often()
@@ -164,10 +178,8 @@ class Rule:
                 sets = shingle_sets(texts, self.width)
                 kept = [(sig, s) for sig, s in zip(wanted, sets) if set_hash(s) == sig]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([g for g, _ in kept], pa.int64()), pa.array([len(s) for _, s in kept], pa.int64()),
-                     pa.array([bitmap(s, self.bits).tobytes() for _, s in kept], pa.binary()),
-                     pa.array([s.astype("<u8").tobytes() for _, s in kept], pa.binary())],
-                    names=["sig", "n", "bits", "shingles"])
+                    [pa.array([g for g, _ in kept], pa.int64()),
+                     pa.array([s.astype("<u8").tobytes() for _, s in kept], pa.binary())], names=["sig", "shingles"])
 
     # ---- signature trees ----
 
@@ -280,6 +292,21 @@ class Rule:
 
         return run
 
+    def wide_possible(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that can still reach the needed overlap by their long bitmaps."""
+        for batch in batches:
+            ok = []
+            for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "wa", "wb"))):
+                if x is None or y is None:
+                    ok.append(True)
+                    continue
+                x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+                size = min(len(x), len(y))
+                x, y = fold(x, size), fold(y, size)
+                most = min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum()))
+                ok.append(most >= need(na, nb, self.num, self.den))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
     def linked(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose whole sets link."""
         for batch in batches:
@@ -304,9 +331,9 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return stored(rows.drop("s1", "s2").join(kept, "token", "left_semi"), "blocks")
 
 
-def _candidates(blocks: DataFrame, sets: DataFrame, comps: DataFrame | None, rule: Rule, search: str) -> DataFrame:
+def _candidates(blocks: DataFrame, classes: DataFrame, comps: DataFrame | None, rule: Rule, search: str) -> DataFrame:
     """Distinct pairs (a, b) left by ``search`` in all blocks."""
-    info = sets.select("sig", "bits")
+    info = classes.select("sig", "bits")
     if comps is None:
         info = info.withColumn("comp", F.col("sig"))
     else:
@@ -328,7 +355,18 @@ def _candidates(blocks: DataFrame, sets: DataFrame, comps: DataFrame | None, rul
     return d.mapInArrow(rule.block_pairs(search), "a long, b long").distinct()
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (u, v) whose whole sets link; only classes that are in a pair have their sets rebuilt from the text."""
+    one, two = (classes.select(F.col("sig").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}")) for c in "ab")
+    pairs = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "wa", "wb")
+                   .mapInArrow(rule.wide_possible, "a long, b long"), "pairs")
+    asked = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    wanted = stored(classes.join(asked, "sig").select("sig", "_id", "_h"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    sets = stored(
+        docs.join(wanted, (F.col("h") == F.col("_h")) & F.col("id").eqNullSafe(F.col("_id")))
+        .select("sig", "text").mapInArrow(rule.whole_sets, "sig long, shingles binary"), "sets")
     one = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("sb"))
     return (pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
@@ -339,23 +377,23 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule:
     """Per row: id, n_shingles, component_id."""
     rule = rule or Rule()
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    scanned = stored(d.mapInArrow(rule.profile, "kind int, id long, h long, n long, sig long"), "profiles")
+    scanned = stored(d.mapInArrow(rule.profile, "kind int, id long, h long, n long, sig long, bits binary, wide binary"), "profiles")
     rows = scanned.filter("kind = 0 AND n > 0")
     often = (scanned.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("n"))
              .orderBy(F.col("n").desc(), "sig").limit(OFTEN_MOST).select("sig").collect())
     often = np.sort(np.array([r["sig"] for r in often], dtype=np.int64).view(np.uint64))
 
     blocks = _blocks(d.select("text").mapInArrow(rule.prefixes(often), "token long, sig long, n long"))
-    classes = rows.groupBy("sig").agg(F.min(F.struct("id", "h")).alias("one"), F.min("id").alias("least"))
-    wanted = (classes.join(blocks.select("sig").distinct(), "sig")
-              .select("sig", F.col("one.id").alias("_id"), F.col("one.h").alias("_h")))
-    sets = stored(
-        d.join(wanted, (F.col("h") == F.col("_h")) & F.col("id").eqNullSafe(F.col("_id")))
-        .select("sig", "text").mapInArrow(rule.whole_sets, "sig long, n long, bits binary, shingles binary"), "sets")
-
-    near = stored(_verify(_candidates(blocks, sets, None, rule, "neighbours"), sets, rule), "links")
+    classes = stored(rows.groupBy("sig").agg(
+        F.min(F.struct("id", "h")).alias("one"), F.min("id").alias("least"), F.first("n").alias("n"),
+        F.first("bits").alias("bits"), F.first("wide").alias("wide"),
+    ).select("sig", "n", F.col("one.id").alias("_id"), F.col("one.h").alias("_h"), "least", "bits", "wide"), "classes")
+
+    # first one neighbour each, so that most of a large group is one component before the full traversal
+    tries = _candidates(blocks, classes, None, rule, "neighbours").groupBy("b").agg(F.min("a").alias("a"))
+    near = stored(_verify(tries.select("a", "b"), d, classes, rule), "links")
     comps = stored(components(near), "comps")
-    far = _verify(_candidates(blocks, sets, comps, rule, "traverse"), sets, rule)
+    far = _verify(_candidates(blocks, classes, comps, rule, "traverse"), d, classes, rule)
     comps = components(comps.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(far))
 
     of_class = classes.select("sig", "least").join(comps.withColumnRenamed("node", "sig"), "sig", "left")
