@@ -43,7 +43,7 @@ from tarmac.llm.hashing import NO_SPACE, mix, text_chunks, word_hashes
 
 SHINGLE = 4
 NUM, DEN = 85, 100  # link: DEN * intersection >= NUM * union
-BITS = 1024
+BITS = 4096
 LEAF, FAN = 32, 8
 BLOCK = 2048
 OFTEN_LOCAL = 4  # shingle seen in so many documents of a task's stretch
@@ -192,9 +192,10 @@ class Rule:
         return most >= need(n[a], n[b], self.num, self.den)
 
     def neighbours(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a = np.arange(len(n) - 1)
-        ok = self.possible(n, bits, a, a + 1)
-        return a[ok], a[ok] + 1
+        a = np.concatenate([np.arange(len(n) - k) for k in (1, 2) if k < len(n)])
+        b = np.concatenate([np.arange(k, len(n)) for k in (1, 2) if k < len(n)])
+        ok = self.possible(n, bits, a, b)
+        return a[ok], b[ok]
 
     def traverse(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row pairs (sizes ascending) in different components that the tree cannot rule out."""
@@ -389,9 +390,8 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule:
         F.first("bits").alias("bits"), F.first("wide").alias("wide"),
     ).select("sig", "n", F.col("one.id").alias("_id"), F.col("one.h").alias("_h"), "least", "bits", "wide"), "classes")
 
-    # first one neighbour each, so that most of a large group is one component before the full traversal
-    tries = _candidates(blocks, classes, None, rule, "neighbours").groupBy("b").agg(F.min("a").alias("a"))
-    near = stored(_verify(tries.select("a", "b"), d, classes, rule), "links")
+    # first the next two in each block, so that most of a large group is one component before the full traversal
+    near = stored(_verify(_candidates(blocks, classes, None, rule, "neighbours"), d, classes, rule), "links")
     comps = stored(components(near), "comps")
     far = _verify(_candidates(blocks, classes, comps, rule, "traverse"), d, classes, rule)
     comps = components(comps.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(far))
