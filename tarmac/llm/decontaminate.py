@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ascii_lower, table
+from tarmac.llm.common import ascii_lower, stored, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -56,11 +56,10 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
 
 
 def find(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, keep_text: bool = False) -> DataFrame:
-    """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated, spans array<(pos, n)>.
+         window: int = WINDOW) -> DataFrame:
+    """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated, spans array<(pos, n)>, text_md5.
 
-    ``spans`` are word positions of the verified occurrences.  With
-    ``keep_text`` all columns of ``docs`` are kept (as struct ``row``).
+    ``spans`` are word positions of the verified occurrences.
     """
     lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most ``window`` numbers
     count = windows.limit(BROADCAST_ROWS + 1).count()
@@ -68,8 +67,7 @@ def find(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
     if count <= BROADCAST_ROWS:
         by_key = F.broadcast(by_key)
 
-    row = F.struct(*[F.col(c) for c in docs.columns]) if keep_text else F.struct(F.col(id_col))
-    d = docs.select(row.alias("row"), F.coalesce(F.md5(text_col), F.lit("null")).alias("h"),
+    d = docs.select(F.struct(F.col(id_col)).alias("row"), F.coalesce(F.md5(text_col), F.lit("null")).alias("h"),
                     F.coalesce(words(F.col(text_col)), F.array().cast("array<string>")).alias("w"))
     none = F.array().cast("array<struct<pos:int,key:bigint>>")
     grams = [F.coalesce(F.transform(_keys(F.col("w"), n), lambda k, i: F.struct(i.cast("int").alias("pos"), k.alias("key"))),
@@ -99,20 +97,28 @@ def find(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
             F.greatest(a["end"], s["pos"] + s["n"]).alias("end")),
         lambda a: a["n"])
     out = per.select(
-        "row", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
+        "row", "h", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "spans", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_c"))
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
     out = out.withColumn("contaminated", bad).drop("_c")
-    if keep_text:
-        return out
     return out.select(F.col("row")[id_col].alias(id_col), "n_words", "n_hit", "n_items", "items_sha256",
-                      "contaminated", "spans")
+                      "contaminated", "spans", F.col("h").alias("text_md5"))
+
+
+def clean(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    bad = stored(find(docs, windows, id_col, text_col).filter("contaminated")
+                 .select(F.col(id_col).alias("_id"), F.col("text_md5").alias("_h")).distinct(), "contaminated")
+    if bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        bad = F.broadcast(bad)
+    d = docs.withColumn("_key", F.col(id_col)).withColumn("_md5", F.md5(text_col))
+    return d.join(bad, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_h")), "left_anti").select(*docs.columns)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = benchmark_windows(table(spark, sf_dir, "benchmark"))
-    return find(table(spark, sf_dir, "documents"), windows).drop("spans")
+    return find(table(spark, sf_dir, "documents"), windows).drop("spans", "text_md5")
 
 
 SQL = r"""

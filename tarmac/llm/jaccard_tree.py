@@ -375,7 +375,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -
 
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None) -> DataFrame:
-    """Per row: id, n_shingles, component_id."""
+    """Per row: id, n_shingles, component_id, text_hash."""
     rule = rule or Rule()
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     scanned = stored(d.mapInArrow(rule.profile, "kind int, id long, h long, n long, sig long, bits binary, wide binary"), "profiles")
@@ -400,10 +400,27 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule:
     least = of_class.filter("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("all_least"))
     of_class = of_class.join(least, "root", "left").select(
         "sig", F.coalesce("all_least", "least").alias("component_id"))
-    full = rows.select("id", "n", "sig").join(of_class, "sig").select("id", "n", "component_id")
-    empty = scanned.filter("kind = 0 AND n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return full.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    full = rows.select("id", "h", "n", "sig").join(of_class, "sig").select("id", "h", "n", "component_id")
+    empty = scanned.filter("kind = 0 AND n = 0").select("id", "h", "n", F.col("id").alias("component_id"))
+    return full.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                                          F.col("h").alias("text_hash"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of every component the document with the smallest id.
+
+    Documents without a set all stay; rows that repeat id and text stay once.
+    """
+    found = group(docs, id_col, text_col, rule)
+    whole = found.filter("n_shingles > 0").groupBy("component_id").agg(
+        F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))).alias("k"))
+    stay = whole.select("k.id", "k.h").unionByName(
+        found.filter("n_shingles = 0").select(F.col(id_col).alias("id"), F.col("text_hash").alias("h")).distinct())
+    stay = stored(stay.select(F.col("id").alias("_id"), F.col("h").alias("_h")), "stay")
+    d = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(text_col))
+    kept = d.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_semi")
+    return kept.dropDuplicates(["_key", "_hash"]).select(*docs.columns)
 
 
 def op10_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group(table(spark, sf_dir, "documents"))
+    return group(table(spark, sf_dir, "documents")).drop("text_hash")

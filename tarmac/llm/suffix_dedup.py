@@ -255,23 +255,27 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
 
 def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
         keep_all: bool = False) -> DataFrame:
-    """Per row: id (or all columns), n_bytes, n_removed, n_spans, kept_sha256, and with ``keep_all`` the kept text.
+    """Per row: id (or all columns), n_bytes, n_removed, n_spans, kept_sha256; with ``keep_all`` these begin with _ and the
+    kept text follows.
 
     In the kept text a character that lost some of its bytes goes whole; the digest is over the kept bytes.
     """
     d, spans = find_spans(docs, span, id_col, text_col)
     cols = docs.columns if keep_all else [id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    full = docs.select(*cols, text.alias("_text"), F.unhex(F.md5(text)).alias("th")).join(spans, "th", "left").drop("th")
+    found = spans.select(F.col("th").alias("_th2"), F.col("spans").alias("_spans"))
+    full = docs.select(*cols, text.alias("_text"), F.unhex(F.md5(text)).alias("_th")).join(
+        found, F.col("_th") == F.col("_th2"), "left")
+    mark = "_" if keep_all else ""
     extra = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")]
     schema = docs.select(*cols).schema
-    for name, kind in extra + [("kept_text", "string")] * keep_all:
+    for name, kind in [(mark + n, k) for n, k in extra] + [("_kept_text", "string")] * keep_all:
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, counts, digests, kept_texts = [], [], [], [], []
-            for text, found in zip(batch.column("_text").to_pylist(), batch.column("spans").to_pylist()):
+            for text, found in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
                 raw, at, kept = text.encode(), 0, []
                 for s in found or []:
                     kept.append(raw[at:s["lo"]])
@@ -287,7 +291,17 @@ def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str
                    pa.array(digests, pa.string())] + [pa.array(kept_texts, pa.string())] * keep_all
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), *out], names=schema.names)
 
-    return full.select(*cols, "_text", "spans").mapInArrow(run, schema)
+    return full.select(*cols, "_text", "_spans").mapInArrow(run, schema)
+
+
+def cut_texts(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
+              length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the kept texts in place (null stays null), and their lengths if there is a column for them."""
+    out = cut(docs, span, id_col, text_col, keep_all=True)
+    text = F.when(F.col(text_col).isNotNull(), F.col("_kept_text"))
+    new = {text_col: text, length_col: F.when(F.col("_n_removed") > 0, F.length("_kept_text").cast(
+        docs.schema[length_col].dataType)).otherwise(F.col(length_col))} if length_col in docs.columns else {text_col: text}
+    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

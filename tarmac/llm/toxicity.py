@@ -217,16 +217,25 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     return Chain(names, groups, fit_chain(x, y, got["fold"].to_numpy()))
 
 
-def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", keep_all: bool = False,
+def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = THRESHOLD) -> DataFrame:
-    """Id (or all columns), ``p_<category>`` for each category, and ``<last category>`` boolean."""
-    cols = docs.columns if keep_all else [id_col]
-    d = docs.select(*[F.col(c) for c in cols], F.col(text_col).alias("_text"))
-    last = chain.categories[-1]
+    """Id, ``p_<category>`` for each category, and ``<last category>`` boolean."""
+    names = [f"p_{c}" for c in chain.categories]
+    return _scored(docs.select(F.col(id_col), F.col(text_col).alias("_text")), chain, names, chain.categories[-1], threshold)
+
+
+def kept(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that the last category does not flag."""
+    d = docs.withColumn("_text", F.col(text_col))
+    names = [f"_p{i}" for i in range(len(chain.categories))]
+    return _scored(d, chain, names, "_flag", threshold).filter("NOT _flag").select(*docs.columns)
+
+
+def _scored(d: DataFrame, chain: Chain, names: list[str], flag: str, threshold: float) -> DataFrame:
     schema = d.drop("_text").schema
-    for c in chain.categories:
-        schema = schema.add(f"p_{c}", "double")
-    schema = schema.add(last, "boolean")
+    for c in names:
+        schema = schema.add(c, "double")
+    schema = schema.add(flag, "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
