@@ -16,12 +16,13 @@ from tarmac.schema import (
     INT_COLUMNS,
 )
 
-# Fixed value: the suffix removed from every field ("<int>.00" -> "<int>").
-ZERO_CENTS = r"\.00$"
+# The suffix removed from every field ("<int>.00" -> "<int>"), and a field that is
+# nothing but the missing marker.
+ZERO_CENTS = r"^_\z|\.00\z"
 
 
 def clean_value(c: Column | str) -> Column:
-    """O6 + O7: strip a trailing ``.00``; empty (also a bare ``.00``) becomes null.
+    """O6 + O7: strip a trailing ``.00``; empty (also a bare ``.00`` or ``_``) becomes null.
 
     One ``regexp_replace`` that references its input once.  A suffix test
     plus substring (four references) is faster on a plain column, but when

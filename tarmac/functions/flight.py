@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: a scheduled hour below this is "morning".
 NOON = 12
-# Fixed value: a scheduled time is one to four digits, HHMM without leading zeros.
-DEP_TIME_PATTERN = "^[0-9]{1,4}$"
+# Fixed value: a scheduled time is one to four digits, HHMM without leading zeros, or HH:MM.
+DEP_TIME_PATTERN = r"^([0-9]{1,4}|[0-9]{2}:[0-9]{2})\z"
 
 
 def dep_hour(c: Column | str = "CRSDepTime") -> Column:
@@ -20,7 +20,7 @@ def dep_hour(c: Column | str = "CRSDepTime") -> Column:
 
 def padded_dep_time(c: Column | str = "CRSDepTime") -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.lpad(F.trim(c), 4, "0")
+    return F.lpad(F.regexp_replace(F.trim(c), ":", ""), 4, "0")
 
 
 def with_morning(df: DataFrame, time_col: str = "CRSDepTime", name: str = "morning") -> DataFrame:

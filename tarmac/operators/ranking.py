@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.operators.metrics import airport_delay_by, airport_popularity
+from tarmac.session import scratch_path
 
 # Fixed value: length of the per-airport top lists.
 TOP_N = 10
@@ -65,7 +66,9 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     each row's rank is the number of rows in earlier partitions plus its
     position in its own.  The per-partition counts are one row per
     partition (bounded by ``num_partitions``), so broadcasting them is safe.
-    The range exchange is planned once and reused by both branches.
+    The numbered rows are written once to shared scratch and read by both
+    branches: range bounds are sampled, so planning the exchange twice could
+    place rows differently in each.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -75,6 +78,9 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    path = scratch_path(spark, "ranked")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_pid")
@@ -95,11 +101,8 @@ def popularity_rank_frequency(df: DataFrame) -> DataFrame:
     return ranked.select("rank", "airport", "num_flights")
 
 
-def rank_frequency_loglog(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Natural logs of rank and count, the points behind the log-log plot."""
+def rank_frequency_loglog(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """Natural logs of rank and count, the points behind the log-log plot; rounded only if asked."""
     rf = popularity_rank_frequency(df)
-    return rf.select(
-        "rank",
-        F.round(F.ln(F.col("rank")), digits).alias("ln_rank"),
-        F.round(F.ln(F.col("num_flights")), digits).alias("ln_count"),
-    )
+    log = lambda c: F.ln(F.col(c)) if digits is None else F.round(F.ln(F.col(c)), digits)
+    return rf.select("rank", log("rank").alias("ln_rank"), log("num_flights").alias("ln_count"))

@@ -48,6 +48,33 @@ def _archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def _clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned rows written as cleaned CSV and read back."""
+    from tarmac.session import scratch_path
+    from tarmac.sinks.files import write_clean
+    from tarmac.sources.files import read_clean
+
+    path = scratch_path(spark, "clean-csv")
+    write_clean(fixture.clean_flights(spark, sf_dir), path)
+    return read_clean(spark, path, strict=True)
+
+
+def _archive_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 with damaged members: they are rejected whole, every row of the good ones is there."""
+    from pyspark.sql import functions as F
+
+    from tarmac.session import scratch_path
+    from tarmac.sources.archives import read_archives
+    from tarmac.sources.publish_raw import write_raw_archives
+
+    path = scratch_path(spark, "archives")
+    write_raw_archives(spark, sf_dir, path, damage_b=True)
+    rows, rejects = read_archives(spark, path, staging=scratch_path(spark, "unpacked"))
+    good = rows.groupBy("member").agg(F.count(F.lit(1)).alias("num_rows")).withColumn("num_rejects", F.lit(0).cast("bigint"))
+    bad = rejects.groupBy("member").agg(F.count(F.lit(1)).alias("num_rejects"))
+    return good.unionByName(bad.select("member", F.lit(0).cast("bigint").alias("num_rows"), "num_rejects"))
+
+
 def _stream(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tarmac.streaming import replay
@@ -67,7 +94,7 @@ QUERIES: dict[str, Query] = {
     "popularity_ranked": _on_flights(ranking.popularity_ranked),
     "top_airports": _on_flights(lambda f: ranking.popularity_ranked(f, n=10)),
     "popularity_rank_frequency": _on_flights(ranking.popularity_rank_frequency),
-    "rank_frequency_loglog": _on_flights(ranking.rank_frequency_loglog),
+    "rank_frequency_loglog": _on_flights(lambda f: ranking.rank_frequency_loglog(f, digits=9)),
     "carrier_arrival_delay": _on_flights(metrics.carrier_arrival_delay),
     "bad_delay_count": _on_flights(metrics.bad_delay_count),
     "airport_delay_by_carrier": _on_flights(
@@ -77,6 +104,9 @@ QUERIES: dict[str, Query] = {
     "top_destinations": _on_flights(ranking.top_destinations),
     "route_arrival_delay": _on_flights(metrics.route_arrival_delay),
     "best_flights": _on_flights(lambda f: best.best_flights(f, year=BEST_FLIGHTS_YEAR_FIXTURE)),
+    "best_flights_all_years": _on_flights(lambda f: best.best_flights(f, year=None)),
+    "clean_csv_roundtrip": _clean_csv_roundtrip,
+    "archive_rejects": _archive_rejects,
     "best_events": lambda spark, d: best.best_events(fixture.events(spark, d)),
     "quality_report": _on_flights(quality.quality_report),
     "stream_popularity": _stream("stream_popularity"),

@@ -37,8 +37,11 @@ INT_COLUMNS = ["Year", "Month", "DayofMonth", "DayOfWeek", "Cancelled", "Diverte
 DELAY_COLUMNS = ["DepDelay", "ArrDelay"]
 KEY_COLUMNS = ["UniqueCarrier", "Origin", "Dest", "CRSDepTime"]
 
+# One CSV dialect everywhere: a quote inside a quoted field is doubled, a backslash is a plain character.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
 # Read buffer (characters) for ``from_csv``.  The CSV parser sets up a new
 # input buffer for every value it parses; its default (about a million
 # characters per line) makes parsing slow and can exhaust a small heap when
 # many tasks parse at once.  Longer lines are still read whole, in chunks.
-FROM_CSV_OPTIONS = {"inputBufferSize": "1024"}
+FROM_CSV_OPTIONS = {"inputBufferSize": "1024", **CSV_OPTIONS}

@@ -53,7 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
+    if not conf and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not conf:  # one machine: a local folder is shared by all tasks
         conf = tempfile.mkdtemp(prefix="tarmac-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()

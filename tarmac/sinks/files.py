@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.schema import CLEAN_COLUMNS, MISSING_MARKER
+from tarmac.schema import CLEAN_COLUMNS, CSV_OPTIONS, MISSING_MARKER
 
 
 def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -15,6 +15,7 @@ def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .write.mode(mode)
         .option("header", True)
         .option("nullValue", MISSING_MARKER)
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
 
@@ -23,17 +24,17 @@ def write_flights(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Typed flights as Parquet partitioned by Year.
 
     Later queries prune columns from the Parquet footer and prune year
-    directories for year filters (best flights).  There is no shuffle by
-    Year (a year would land in one task): each task sorts its own rows by
-    the partition column and writes one file per year it holds.
+    directories for year filters (best flights).  Rows are rebalanced by
+    Year, so files per year follow the data's size and not the number of
+    tasks; AQE splits a large year over several tasks.
     """
-    df.write.mode(mode).partitionBy("Year").parquet(path)
+    df.hint("rebalance", F.col("Year")).write.mode(mode).partitionBy("Year").parquet(path)
 
 
 def to_topic_lines(df: DataFrame) -> DataFrame:
     """Cleaned rows as one CSV line each (``value``), missing as ``_``, no header."""
     return df.select(
-        F.to_csv(F.struct(*CLEAN_COLUMNS), {"nullValue": MISSING_MARKER}).alias("value")
+        F.to_csv(F.struct(*CLEAN_COLUMNS), {"nullValue": MISSING_MARKER, **CSV_OPTIONS}).alias("value")
     )
 
 

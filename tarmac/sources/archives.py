@@ -3,24 +3,22 @@
 Work is split per archive *member*, not per archive: a listing step reads
 only each ZIP's central directory (random access at the end of the file)
 and emits one row per ``.csv`` member; the member rows are spread over
-tasks; each task then stream-decompresses its members in bounded chunks.
-So a very large archive is unpacked by as many tasks as it has members,
-and no task ever holds a whole archive in memory (``binaryFile`` content
-would, and is capped at 2 GB per file).  A single member is one deflate
-stream and is read by one task, sequentially.
-
-The unpacked lines (archive, member, line_no, header_id, line) are written
-once to a staging Parquet table, which is the one pass over the archives
-and cuts lineage: a lost executor never re-reads archives.  Columns are
-then taken by name in the JVM: one ``from_csv`` per line with the widest
-layout, and a CASE over the few distinct headers picks each column's
-position.  An archive or member that cannot be read becomes a reject row.
+tasks.  Each task decompresses its members in bounded chunks, as bytes, to
+one plain file each in the staging folder (shared storage).  A file gets its
+final name only when the whole member has been read and its checksum agrees,
+so a member is there whole or is a reject, and a retried task writes the same
+file again.  The staged files are then ordinary raw CSV files (O2).
+
+Damage inside an archive (bad structure, checksum, compressed data, an
+encrypted or unknown kind of member) makes a reject row.  Input and output
+errors are not damage: they fail the task, and Spark retries it.
 """
 
 from __future__ import annotations
 
-import csv
-import io
+import hashlib
+import os
+import uuid
 import zipfile
 import zlib
 
@@ -28,17 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.cleaning import clean_values, drop_header_rows
-from tarmac.schema import CLEAN_COLUMNS, FROM_CSV_OPTIONS
+from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA
 from tarmac.session import scratch_path
-from tarmac.sources.files import _local, column_positions
+from tarmac.sources.files import MissingColumnError, _local, read_raw
 
 MEMBER_SCHEMA = "archive string, member string, error string"
-UNPACKED_SCHEMA = ("archive string, member string, line_no long, header_id long, "
-                   "line string, error string")
-CHUNK_LINES = 50_000
-READ_ERRORS = (zipfile.BadZipFile, zipfile.LargeZipFile, OSError, ValueError, EOFError,
-               NotImplementedError, RuntimeError)
+STAGED_SCHEMA = "archive string, member string, id string, error string"
+CHUNK_BYTES = 1 << 20
+DAMAGE = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
 
 def open_random_access(path: str):
@@ -52,55 +47,6 @@ def open_random_access(path: str):
     return filesystem.open_input_file(p)
 
 
-def header_id(line: str) -> int:
-    return zlib.crc32(line.encode("utf-8"))
-
-
-def ends_inside_quotes(text: str, inside: bool) -> bool:
-    """Whether a CSV line ends inside a quoted field.
-
-    A quote opens a quoted field only at the start of a field; inside one,
-    a doubled quote is a literal quote and a single one closes the field.
-    A quote in the middle of an unquoted field is a plain character.
-    """
-    at_start = not inside
-    i, n = 0, len(text)
-    while i < n:
-        ch = text[i]
-        if inside:
-            if ch == '"':
-                if i + 1 < n and text[i + 1] == '"':
-                    i += 1
-                else:
-                    inside = False
-        elif ch == '"' and at_start:
-            inside = True
-        at_start = (not inside) and ch == ","
-        i += 1
-    return inside
-
-
-def records(lines):
-    """Join physical lines into CSV records; a quoted field may hold line breaks."""
-    pending, inside = None, False
-    for ln in lines:
-        ln = ln.rstrip("\r\n")
-        pending = ln if pending is None else pending + "\n" + ln
-        if inside or '"' in ln:  # lines without quotes need no scan
-            inside = ends_inside_quotes(ln, inside)
-        if not inside:
-            yield pending
-            pending = None
-    if pending is not None:
-        yield pending
-
-
-def _reject(archive, member, e) -> pd.DataFrame:
-    return pd.DataFrame({"archive": [archive], "member": [member], "line_no": [None],
-                         "header_id": [None], "line": [None],
-                         "error": [f"{type(e).__name__}: {e}"]})
-
-
 def _list_members(batches):
     for pdf in batches:
         for archive in pdf["path"]:
@@ -109,55 +55,55 @@ def _list_members(batches):
                     names = [i.filename for i in zf.infolist() if i.filename.endswith(".csv")]
                 yield pd.DataFrame({"archive": [archive] * len(names), "member": names,
                                     "error": [None] * len(names)})
-            except READ_ERRORS as e:
+            except DAMAGE as e:
                 yield pd.DataFrame({"archive": [archive], "member": [None],
                                     "error": [f"{type(e).__name__}: {e}"]})
 
 
-def _frame(archive, member, start, hid, lines) -> pd.DataFrame:
-    n = len(lines)
-    return pd.DataFrame({
-        "archive": [archive] * n,
-        "member": [member] * n,
-        "line_no": range(start, start + n),
-        "header_id": [hid] * n,
-        "line": lines,
-        "error": [None] * n,
-    })
-
-
-def _unpack_member(archive: str, member: str):
-    with open_random_access(archive) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw:
-        text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-        it = records(text)
-        head = next(it, None)
-        if head is None:
-            return
-        head = head.lstrip("﻿")
-        hid = header_id(head)
-        yield _frame(archive, member, 0, hid, [head])
-        buf, start = [], 1
-        for rec in it:
-            buf.append(rec)
-            if len(buf) >= CHUNK_LINES:
-                yield _frame(archive, member, start, hid, buf)
-                start += len(buf)
-                buf = []
-        if buf:
-            yield _frame(archive, member, start, hid, buf)
-
-
-def _unpack(batches):
-    for pdf in batches:
-        for archive, member, err in zip(pdf["archive"], pdf["member"], pdf["error"]):
-            if err is not None:
-                yield pd.DataFrame({"archive": [archive], "member": [member], "line_no": [None],
-                                    "header_id": [None], "line": [None], "error": [err]})
-                continue
-            try:
-                yield from _unpack_member(archive, member)
-            except READ_ERRORS as e:
-                yield _reject(archive, member, e)
+def member_id(archive: str, member: str) -> str:
+    return hashlib.sha256(f"{archive}\0{member}".encode()).hexdigest()
+
+
+def _copy_member(archive: str, member: str, staging: str, name: str) -> None:
+    """Unpack a member to ``staging/name.csv``; the file appears only when it is whole."""
+    hidden = f"_{name}-{uuid.uuid4().hex}"  # readers skip names that begin so
+    local = _local(staging)
+    if local is not None:
+        os.makedirs(local, exist_ok=True)
+        move, drop, out = os.replace, os.remove, lambda p: open(p, "wb")
+        root = local
+    else:
+        from pyarrow import fs as pafs
+
+        filesystem, root = pafs.FileSystem.from_uri(staging)
+        filesystem.create_dir(root)
+        move, drop, out = filesystem.move, filesystem.delete_file, filesystem.open_output_stream
+    try:
+        with open_random_access(archive) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw, \
+                out(f"{root}/{hidden}") as to:
+            while chunk := raw.read(CHUNK_BYTES):  # the last read checks the checksum
+                to.write(chunk)
+    except DAMAGE:
+        drop(f"{root}/{hidden}")
+        raise
+    move(f"{root}/{hidden}", f"{root}/{name}.csv")
+
+
+def _stage(staging: str):
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for archive, member, error in zip(pdf["archive"], pdf["member"], pdf["error"]):
+                name = None if error is not None else member_id(archive, member)
+                if name is not None:
+                    try:
+                        _copy_member(archive, member, staging, name)
+                    except DAMAGE as e:
+                        error = f"{type(e).__name__}: {e}"
+                out.append((archive, member, name, error))
+            yield pd.DataFrame(out, columns=["archive", "member", "id", "error"])
+
+    return run
 
 
 def list_members(spark: SparkSession, path: str) -> DataFrame:
@@ -172,51 +118,50 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
     return archives.mapInPandas(_list_members, MEMBER_SCHEMA)
 
 
-def unpack_archives(spark: SparkSession, path: str, staging: str | None = None,
-                    max_tasks: int = 100_000) -> str:
-    """Unpack every ``*.zip`` below ``path`` (any depth) into a staging Parquet table."""
+def stage_archives(spark: SparkSession, path: str, staging: str | None = None,
+                   members_per_task: int = 1) -> tuple[str, DataFrame]:
+    """Unpack every ``*.zip`` below ``path`` (any depth); (folder of plain files, manifest of members and rejects)."""
     staging = staging or scratch_path(spark, "unpacked")
-    members = list_members(spark, path)
-    n = members.count()  # one number; the listing reads central directories only
-    spread = members.repartition(max(1, min(n, max_tasks)), "archive", "member")
-    spread.mapInPandas(_unpack, UNPACKED_SCHEMA).write.mode("overwrite").parquet(staging)
-    return staging
-
-
-def read_archives(spark: SparkSession, path: str, staging: str | None = None,
-                  with_source: bool = True) -> tuple[DataFrame, DataFrame]:
+    listed = scratch_path(spark, "members")
+    list_members(spark, path).write.parquet(listed)
+    members = spark.read.schema(MEMBER_SCHEMA).parquet(listed)
+    tasks = max(1, -(-members.count() // members_per_task))
+    manifest = f"{staging}/_manifest"
+    (members.repartition(tasks, "archive", "member").mapInPandas(_stage(f"{staging}/files"), STAGED_SCHEMA)
+     .write.mode("overwrite").parquet(manifest))
+    return f"{staging}/files", spark.read.schema(STAGED_SCHEMA).parquet(manifest)
+
+
+def read_archives(spark: SparkSession, path: str, staging: str | None = None, with_source: bool = True,
+                  multi_line: bool = True, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """O1: (cleaned rows, rejects) from zipped CSV archives.
 
     Rows carry ``archive`` and ``member`` lineage (D13), so members with the
-    same name in different archives never collide.
+    same name in different archives never collide.  Members and archives that
+    are damaged are rejects with their error; records with a wrong number of
+    fields are rejects of their member.
     """
-    staging = unpack_archives(spark, path, staging)
-    unpacked = spark.read.parquet(staging)
-    rejects = unpacked.filter(F.col("error").isNotNull()).select("archive", "member", "error")
-    lines = unpacked.filter(F.col("error").isNull())
-    heads = (
-        lines.filter(F.col("line_no") == 0)
-        .groupBy("header_id")
-        .agg(F.first("line").alias("line"),
-             F.min(F.concat_ws(":", "archive", "member")).alias("example"))
-        .collect()
-    )
-    layouts = {}
-    for h in heads:
-        names = next(csv.reader(io.StringIO(h["line"]))) if h["line"] else []
-        layouts[h["header_id"]] = (len(names), column_positions(names, h["example"]))
-    width = max([w for w, _ in layouts.values()] or [1])
-    ddl = ", ".join(f"c{i} STRING" for i in range(width))
-    rec = lines.filter(F.col("line_no") > 0).withColumn("r", F.from_csv("line", ddl, FROM_CSV_OPTIONS))
-
-    def pick(c: str):
-        e = None
-        for hid, (_, pos) in layouts.items():
-            cond = F.col("header_id") == F.lit(hid)
-            v = F.col(f"r.c{pos[c]}")
-            e = F.when(cond, v) if e is None else e.when(cond, v)
-        return (e if e is not None else F.lit(None).cast("string")).alias(c)
-
-    raw = rec.select(*[pick(c) for c in CLEAN_COLUMNS], "archive", "member")
-    keep = ["archive", "member"] if with_source else []
-    return drop_header_rows(clean_values(raw, keep=keep)), rejects
+    files, manifest = stage_archives(spark, path, staging)
+    whole = manifest.filter("error IS NULL").select("id", "archive", "member")
+    damaged = manifest.filter("error IS NOT NULL").select("archive", "member", "error")
+    if whole.limit(1).count() == 0:
+        empty = spark.createDataFrame([], CLEAN_SCHEMA)
+        for c in ["archive", "member"] * with_source:
+            empty = empty.withColumn(c, F.lit(None).cast("string"))
+        return empty, damaged
+
+    def with_member(df: DataFrame) -> DataFrame:
+        name = F.regexp_extract("source_file", r"([0-9a-f]{64})\.csv$", 1)
+        return df.withColumn("id", name).join(whole, "id").drop("id", "source_file")
+
+    try:
+        rows = read_raw(spark, files, strict=strict, with_source=with_source, multi_line=multi_line)
+        records = read_raw(spark, files, strict=strict, multi_line=multi_line, rejects=True)
+    except MissingColumnError as e:
+        r = whole.filter(F.lit(str(e)).contains(F.col("id"))).first()
+        raise MissingColumnError(f"{e} ({r['archive']}:{r['member']})") from e
+    if with_source:
+        rows = with_member(rows).select(*CLEAN_COLUMNS, "archive", "member")
+    wrong = with_member(records).select(
+        "archive", "member", F.concat(F.lit("wrong number of fields: "), "record").alias("error"))
+    return rows, damaged.unionByName(wrong)

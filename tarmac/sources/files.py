@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.functions.cleaning import clean_values, drop_header_rows
-from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CORRUPT_COLUMN, MISSING_MARKER
+from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CORRUPT_COLUMN, CSV_OPTIONS, MISSING_MARKER
 
 
 class MissingColumnError(ValueError):
@@ -41,6 +41,7 @@ def read_clean(spark: SparkSession, path: str, strict: bool = False) -> DataFram
         .option("enforceSchema", False)
         .option("nullValue", MISSING_MARKER)
         .option("recursiveFileLookup", True)
+        .options(**CSV_OPTIONS)
     )
     if strict:
         r = r.schema(CLEAN_SCHEMA).option("mode", "FAILFAST")
@@ -65,8 +66,8 @@ def _local(path: str) -> str | None:
     return None
 
 
-def read_first_line(path: str, limit: int = 1 << 20) -> str:
-    """First line of a file (local path or any filesystem pyarrow can open)."""
+def read_first_line(path: str) -> str:
+    """Header record of a file (local path or any filesystem pyarrow can open); quoted fields may hold line breaks."""
     local = _local(path)
     if local is not None:
         fh = open(local, "rb")
@@ -76,14 +77,17 @@ def read_first_line(path: str, limit: int = 1 << 20) -> str:
         filesystem, p = pafs.FileSystem.from_uri(path)
         fh = filesystem.open_input_stream(p)
     with fh:
-        buf = b""
-        while b"\n" not in buf and len(buf) < limit:
+        parts, quotes, at = [], 0, -1
+        while at < 0:
             chunk = fh.read(65536)
             if not chunk:
                 break
-            buf += chunk
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
-    return line.lstrip("﻿")
+            at = chunk.find(b"\n")
+            while at >= 0 and (quotes + chunk.count(b'"', 0, at)) % 2:  # a line break inside quotes
+                at = chunk.find(b"\n", at + 1)
+            quotes += chunk.count(b'"')
+            parts.append(chunk if at < 0 else chunk[:at])
+    return b"".join(parts).rstrip(b"\r").decode("utf-8").lstrip("﻿")
 
 
 def _headers_udf(batches):
@@ -111,15 +115,15 @@ def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> dict[st
     )
     heads = (
         listing.mapInPandas(_headers_udf, "path string, header string")
-        .withColumn("header_id", F.xxhash64("header"))
         .cache()
     )
     try:
-        layouts = {r["header_id"]: r["header"]
-                   for r in heads.groupBy("header_id").agg(F.first("header").alias("header")).collect()}
+        # layouts are compared as text and numbered, so a path travels with a number
+        layouts = [r["header"] for r in heads.select("header").distinct().collect()]
+        number = F.create_map(*[x for i, h in enumerate(layouts) for x in (F.lit(h), F.lit(i))]) if layouts else None
         groups: dict[str, list[str]] = defaultdict(list)
-        for r in heads.select("path", "header_id").collect():
-            groups[layouts[r["header_id"]]].append(r["path"])
+        for r in heads.select("path", number[F.col("header")].alias("i")).collect() if layouts else []:
+            groups[layouts[r["i"]]].append(r["path"])
     finally:
         heads.unpersist()
     return groups
@@ -140,28 +144,52 @@ def column_positions(header: list[str], example: str) -> dict[str, int]:
 
 
 def read_raw(spark: SparkSession, path: str, strict: bool = False,
-             with_source: bool = False, glob: str = "*.csv") -> DataFrame:
-    """O2 + O5-O7: raw CSV files with any column layout -> cleaned twelve-column rows."""
+             with_source: bool = False, glob: str = "*.csv", multi_line: bool = False,
+             rejects: bool = False) -> DataFrame:
+    """O2 + O5-O7: raw CSV files with any column layout -> cleaned twelve-column rows.
+
+    Blank lines are skipped.  A record with another number of fields than its
+    file's header fails the job when ``strict``; otherwise it is left out, and
+    ``rejects=True`` returns those records (source_file, record) instead of the
+    rows.  ``multi_line`` allows line breaks inside quoted fields; such files
+    are read whole by one task each, so it is off by default.
+    """
     groups = file_headers(spark, path, glob)
     parts = []
     for line, files in sorted(groups.items()):
         header = parse_header(line)
         pos = column_positions(header, files[0])
-        schema = StructType([StructField(f"c{i}", StringType(), True) for i in range(len(header))])
-        df = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-            .csv(sorted(files))
-        )
+        fields = [StructField(f"c{i}", StringType(), True) for i in range(len(header))]
+        # pruned columns would not be counted
+        r = (spark.read.option("header", True).option("multiLine", multi_line)
+             .option("columnPruning", False).options(**CSV_OPTIONS))
+        if strict:
+            r = r.schema(StructType(fields)).option("mode", "FAILFAST")
+        else:
+            r = (r.schema(StructType([*fields, StructField(CORRUPT_COLUMN, StringType(), True)]))
+                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+        df = r.csv(sorted(files))
+        if rejects:
+            parts.append(df.filter(F.lit(False) if strict else F.col(CORRUPT_COLUMN).isNotNull() & (
+                F.length(F.concat_ws("", "c0")) >= 0)).select(
+                F.col("_metadata.file_path").alias("source_file"),
+                (F.lit(None).cast("string") if strict else F.col(CORRUPT_COLUMN)).alias("record")))
+            continue
+        if not strict:
+            # Spark allows no query on the corrupt column alone (a bare count); this always true test reads another
+            df = df.filter(F.col(CORRUPT_COLUMN).isNull() & (F.length(F.concat_ws("", "c0")) >= 0))
         cols = [F.col(f"c{pos[c]}").alias(c) for c in CLEAN_COLUMNS]
         if with_source:
             cols.append(F.col("_metadata.file_path").alias("source_file"))
         parts.append(df.select(*cols))
+    if not parts and rejects:
+        return spark.createDataFrame([], "source_file string, record string")
     if not parts:
         empty = spark.createDataFrame([], CLEAN_SCHEMA)
         return empty.withColumn("source_file", F.lit(None).cast("string")) if with_source else empty
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if rejects:
+        return out
     return drop_header_rows(clean_values(out, keep=["source_file"] if with_source else []))

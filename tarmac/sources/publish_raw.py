@@ -17,19 +17,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schema import CLEAN_COLUMNS
+from tarmac.schema import CLEAN_COLUMNS, CSV_OPTIONS
 from tarmac.sources.files import _local
 from tarmac.sources.fixture import raw_flights
 
 # Extra raw columns, as found in the monthly on-time files.
-EXTRA_COLUMNS = ["FlightNum", "TailNum"]
+EXTRA_COLUMNS = ["FlightNum", "TailNum", "Remark"]
+
+# Texts of the remark column, with the characters that CSV must quote.
+REMARKS = ["", "on time, gate 4", 'say "hi", ok', "ends in a backslash\\", '"', "C:\\temp,x"]
 
 LAYOUT_A = EXTRA_COLUMNS[:1] + CLEAN_COLUMNS + EXTRA_COLUMNS[1:]
 LAYOUT_B = list(reversed(CLEAN_COLUMNS)) + EXTRA_COLUMNS
 
 
 def _with_extras(df: DataFrame) -> DataFrame:
-    return df.withColumn("FlightNum", F.lit("1")).withColumn("TailNum", F.lit(""))
+    return df.withColumn("FlightNum", F.lit("1")).withColumn("TailNum", F.lit("")).withColumn(
+        "Remark", F.get(F.array(*[F.lit(r) for r in REMARKS]),
+                        F.pmod(F.xxhash64(*CLEAN_COLUMNS, F.lit(7)), F.lit(len(REMARKS))).cast("int")))
 
 
 def _layout_flag(df: DataFrame) -> DataFrame:
@@ -46,6 +51,7 @@ def write_raw_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
             .write.mode("overwrite")
             .option("header", True)
             .option("emptyValue", "")
+            .options(**CSV_OPTIONS)
             .csv(f"{path}/{sub}")
         )
 
@@ -61,7 +67,7 @@ def _open_write(path: str):
     return filesystem.open_output_stream(p)
 
 
-def _zip_writer(root: str):
+def _zip_writer(root: str, damage_b: bool = False):
     def write(batches):
         from pyspark import TaskContext
 
@@ -79,8 +85,24 @@ def _zip_writer(root: str):
                     text = io.StringIO()
                     w = csv.writer(text, lineterminator="\n")
                     w.writerow(layout)
-                    w.writerows(part[layout].itertuples(index=False, name=None))
+                    for k, row in enumerate(part[layout].itertuples(index=False, name=None)):
+                        row = list(row)
+                        if k % 5 == 0:
+                            row[layout.index("Remark")] = "two\nlines"
+                        if k % 7 == 0:
+                            text.write("\n")
+                        if k % 50 == 0:
+                            w.writerow(layout)  # an inner header row
+                        w.writerow(row)
                     z.writestr(f"On_Time_{member}.csv", text.getvalue())
+            if damage_b:  # the last member's data changes, its checksum does not
+                at = len(buf.getvalue()) - 1
+                with zipfile.ZipFile(buf) as z:
+                    info = z.infolist()[-1]
+                    at = info.header_offset + 30 + len(info.filename) + info.compress_size // 2
+                raw = bytearray(buf.getvalue())
+                raw[at] ^= 0xFF
+                buf = io.BytesIO(bytes(raw))
             with _open_write(f"{root}/p{pid % 16:02d}/{name}.zip") as fh:
                 fh.write(buf.getvalue())
             yield pd.DataFrame({"archive": [name], "rows": [len(pdf)]})
@@ -88,11 +110,14 @@ def _zip_writer(root: str):
     return write
 
 
-def write_raw_archives(spark: SparkSession, sf_dir: str, path: str, rows_per_archive: int = 20000) -> None:
+def write_raw_archives(spark: SparkSession, sf_dir: str, path: str, rows_per_archive: int = 20000,
+                       damage_b: bool = False) -> None:
     """Raw rows as zipped CSV archives, two members per archive, in nested folders.
 
     Each Arrow batch of a task becomes one archive, so archive size is
-    bounded by ``rows_per_archive`` whatever the table size.
+    bounded by ``rows_per_archive`` whatever the table size.  Members hold
+    blank lines, inner header rows and quoted line breaks; with ``damage_b``
+    the second member of every archive is damaged.
     """
     raw = _layout_flag(_with_extras(raw_flights(spark, sf_dir))).select(
         *LAYOUT_A, "_layout_b"
@@ -101,7 +126,7 @@ def write_raw_archives(spark: SparkSession, sf_dir: str, path: str, rows_per_arc
     prev = spark.conf.get(key, None)
     spark.conf.set(key, str(rows_per_archive))
     try:
-        raw.mapInPandas(_zip_writer(path), "archive string, rows long").write.format("noop").mode(
+        raw.mapInPandas(_zip_writer(path, damage_b), "archive string, rows long").write.format("noop").mode(
             "overwrite"
         ).save()
     finally:

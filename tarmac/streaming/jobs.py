@@ -152,7 +152,7 @@ BEST_KEYS = ["src", "dst", "date", "morning"]
 def stream_best_flights(src: DataFrame, year: int | None = BEST_FLIGHT_YEAR) -> StreamJob:
     """Lowest arrival delay per (route, date, half-day), kept across batches.
 
-    ``min(struct(delay, padded time, carrier, time))`` is the same total order
+    ``min(struct(delay, padded time, carrier is null, carrier, time))`` is the same total order
     as the batch query.  Update mode writes only the keys a batch changed;
     the table reader takes the newest row per key.
     """
@@ -165,6 +165,7 @@ def stream_best_flights(src: DataFrame, year: int | None = BEST_FLIGHT_YEAR) ->
         F.struct(
             F.col("ArrDelay").alias("arr_delay"),
             padded_dep_time("CRSDepTime").alias("dep_order"),
+            F.col("UniqueCarrier").isNull().alias("no_carrier"),  # as in the batch order, nulls last
             F.col("UniqueCarrier").alias("carrier"),
             F.col("CRSDepTime").alias("dep_time"),
         ).alias("v"),

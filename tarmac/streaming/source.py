@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.cleaning import clean_values, drop_header_rows, typed_flights
-from tarmac.schema import CLEAN_COLUMNS, CLEAN_DDL, CLEAN_SCHEMA, FROM_CSV_OPTIONS, MISSING_MARKER
+from tarmac.schema import CLEAN_COLUMNS, CLEAN_DDL, CLEAN_SCHEMA, CORRUPT_COLUMN, CSV_OPTIONS, FROM_CSV_OPTIONS, MISSING_MARKER
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """CSV text lines -> typed flights, header rows dropped (D11); all in the JVM."""
-    rec = lines.select(
-        F.from_csv(F.col(value).cast("string"), CLEAN_DDL,
-                   {"nullValue": MISSING_MARKER, **FROM_CSV_OPTIONS}).alias("r")
-    ).select(*[F.col(f"r.{c}").alias(c) for c in CLEAN_COLUMNS])
+    """CSV text lines -> typed flights, header rows dropped (D11); all in the JVM.
+
+    Blank lines and lines without exactly twelve fields give no flight.
+    """
+    text = F.col(value).cast("string")
+    rec = lines.filter(F.trim(text) != "").select(
+        F.from_csv(text, f"{CLEAN_DDL}, `{CORRUPT_COLUMN}` STRING",
+                   {"nullValue": MISSING_MARKER, "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+                    **FROM_CSV_OPTIONS}).alias("r")
+    ).filter(F.col(f"r.{CORRUPT_COLUMN}").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in CLEAN_COLUMNS])
     return typed_flights(clean_values(drop_header_rows(rec)))
 
 
@@ -31,7 +36,7 @@ def stream_clean(spark: SparkSession, fmt: str = "kafka", options: dict | None =
     r = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "csv":
         r = (r.schema(CLEAN_SCHEMA).option("header", True).option("enforceSchema", False)
-             .option("nullValue", MISSING_MARKER))
+             .option("nullValue", MISSING_MARKER).options(**CSV_OPTIONS))
         rec = r.load(path).select(*CLEAN_COLUMNS)
         return typed_flights(clean_values(drop_header_rows(rec)))
     raw = r.load(path) if path is not None else r.load()

@@ -107,3 +107,25 @@ def test_hot_key_holding_most_rows(spark):
         cand = [(int(r["ArrDelay"]), r["CRSDepTime"]) for r in rows
                 if r["Origin"] == "HOT" and (int(r["CRSDepTime"][:2]) < 12) == morning]
         assert best[("HOT", morning)] == min(cand)
+
+
+def test_global_rank_without_exchange_reuse(spark):
+    from pyspark.sql import functions as F
+    from tarmac.operators.ranking import global_row_number
+
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        n = 400_000
+        df = spark.range(n).select(((F.col("id") * 7919) % n).alias("v"))
+        ranked = global_row_number(df, [F.col("v").asc()])
+        assert ranked.filter(F.col("rank") != F.col("v") + 1).count() == 0 and ranked.count() == n
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_five_character_time_has_its_hour(spark):
+    from tarmac.functions.flight import dep_hour, padded_dep_time
+
+    df = spark.createDataFrame([("09:05",), ("905",), ("1430",), ("9:5",)], "CRSDepTime string")
+    got = df.select(dep_hour().alias("h"), padded_dep_time().alias("p")).collect()
+    assert [r["h"] for r in got] == [9, 9, 14, None] and [r["p"] for r in got][:3] == ["0905", "0905", "1430"]

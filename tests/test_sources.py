@@ -141,10 +141,64 @@ def test_topic_lines_quote_commas_and_round_trip(spark):
     assert back == want and back["UniqueCarrier"] == "A,B" and back["DepDelay"] is None
 
 
-def test_records_join_only_real_quoted_line_breaks():
-    from tarmac.sources.archives import records
+AWKWARD = ['say "hi", ok', "ends in a backslash\\", '"', "", "a,b"]
 
-    lines = ['a,15" screen,b', 'c,"two', 'lines",d', 'e,"x""y",f', '"", g', 'h,"',
-             '",i', 'j']
-    assert list(records(lines)) == ['a,15" screen,b', 'c,"two\nlines",d', 'e,"x""y",f', '"", g',
-                                    'h,"\n",i', 'j']
+
+def test_read_raw_doubled_quotes_backslashes_blank_lines_and_underscore(spark, tmp):
+    cols = ["Remark"] + CLEAN_COLUMNS
+    rows = [dict(R1, Remark=t, DepDelay="_") for t in AWKWARD]
+    import csv
+    import io
+
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n\n").writerows([cols] + [[r[c] for c in cols] for r in rows])
+    open(f"{tmp}/q.csv", "w").write(out.getvalue())
+    got = read_raw(spark, tmp).collect()
+    assert len(got) == len(AWKWARD)
+    assert all(r["Origin"] == "ORD" and r["ArrDelay"] == "7" and r["DepDelay"] is None for r in got)
+
+
+def test_read_raw_wrong_field_count_is_a_reject_or_an_error(spark, tmp):
+    good = csv_text(CLEAN_COLUMNS, [R1]).replace("\r", "")
+    open(f"{tmp}/q.csv", "w").write(good + "1,2,3\n" + ",".join(["9"] * 14) + "\n")
+    assert read_raw(spark, tmp).count() == 1
+    assert sorted(r["record"] for r in read_raw(spark, tmp, rejects=True).collect()) == ["1,2,3", ",".join(["9"] * 14)]
+    with pytest.raises(Exception):
+        read_raw(spark, tmp, strict=True).collect()
+
+
+def test_header_longer_than_a_mebibyte_and_with_a_quoted_line_break(tmp):
+    from tarmac.sources.files import parse_header, read_first_line
+
+    long = ",".join(f"column_{i}" for i in range(120_000)) + ',"two\nlines",end'
+    open(f"{tmp}/h.csv", "w").write(long + "\n1,2\n")
+    got = read_first_line(f"{tmp}/h.csv")
+    assert got == long and len(long) > 1 << 20 and parse_header(got)[-2:] == ["two\nlines", "end"]
+
+
+def test_damaged_member_is_rejected_whole(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    good = zip_bytes({"a.csv": csv_text(CLEAN_COLUMNS, [R1] * 3)})
+    bad = bytearray(zip_bytes({"b.csv": csv_text(CLEAN_COLUMNS, [dict(R1, ArrDelay=str(i)) for i in range(2000)])}))
+    for k, at in enumerate(range(60, len(bad) // 2, 97)):
+        damaged = bytearray(bad)
+        damaged[at] ^= 0x5A
+        open(f"{tmp}/in/bad{k}.zip", "wb").write(damaged)
+    open(f"{tmp}/in/good.zip", "wb").write(good)
+    rows, rejects = read_archives(spark, f"{tmp}/in", staging=f"{tmp}/staging")
+    assert rows.count() == 3 and rejects.count() == k + 1
+
+
+def test_unknown_scheme_raises_instead_of_rejecting():
+    from tarmac.sources.archives import open_random_access
+
+    with pytest.raises(Exception):
+        open_random_access("nosuch://bucket/x.zip")
+
+
+def test_topic_blank_and_short_lines_give_no_flight(spark):
+    from tarmac.streaming.source import parse_lines
+
+    good = ",".join(R1[c] for c in CLEAN_COLUMNS)
+    lines = spark.createDataFrame([(x,) for x in [good, "", "  ", "1,2,3", good + ",x,y"]], "value string")
+    assert parse_lines(lines).count() == 1
