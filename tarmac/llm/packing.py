@@ -22,9 +22,11 @@ encoded once per worker and cached, at most ``CACHE_WORDS`` of them.
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -38,38 +40,64 @@ from tarmac.llm.common import bucketed_rank, stored, table
 WINDOW = 4096
 UNIT = 16
 END_ID = 2
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 CACHE_CHARS = 48
 TOKENIZER = "word_bpe_49k.json"
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which can begin a token of letters
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
-class WordEncoder:
-    """Token ids of texts as little-endian 32-bit bytes; kept per Python worker, see ``encoder``."""
+class WordEncoder(dict):
+    """Word -> token ids as little-endian 32-bit bytes, filled as words are met; kept per Python worker, see ``encoder``.
+
+    The tokenizer lower-cases words and parts them where signs meet letters or
+    digits.  So signs around a word are looked up apart from its core, and a
+    core of Latin letters, which is one part, goes to the tokenizer's model
+    directly; everything else is encoded by the whole tokenizer.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks fill the cores
         from tokenizers import Tokenizer
 
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:  # words met early are the frequent ones
-            self.cache = dict(islice(self.cache.items(), CACHE_WORDS // 2))
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = [w for w in set().union(*split) if w not in self.cache]
-        known = self.cache
-        ids = self._encode(new)
-        rare = {w: i for w, i in zip(new, ids) if len(w) > CACHE_CHARS}
-        known.update((w, i) for w, i in zip(new, ids) if len(w) <= CACHE_CHARS)
-        if not rare:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([known[w] if w in known else rare[w] for w in words]) for words in split]
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # byte-level tokenizers write bytes as characters: printable ones as themselves, the rest from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.written = {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def __missing__(self, word: str) -> bytes:
+        core = word.strip(SIGNS)
+        if core and core.isalpha() and max(core) < "\u0100" and not any(t in word for t in self.special):
+            if core == word:
+                low = core.lower()
+                if low != word:
+                    ids = self[low]
+                else:
+                    text = low if low.isascii() else low.encode().decode("latin-1").translate(self.written)
+                    ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            else:
+                at = word.index(core)
+                ids = self[word[:at]] + self[core] + self[word[at + len(core):]]
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= CACHE_CHARS:
+            self[word] = ids
+        return ids
+
+    def text(self, text: str) -> bytes:
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.__getitem__, words))
+
+    def trim(self) -> None:
+        if len(self) > CACHE_WORDS:  # words met early are the frequent ones
+            kept = dict(islice(self.items(), CACHE_WORDS // 2))
+            self.clear()
+            self.update(kept)
 
 
 def encoder(path: str) -> WordEncoder:
@@ -107,10 +135,11 @@ def pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         enc = encoder(path or public_tokenizers.path(TOKENIZER))
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
+                enc.trim()
                 part = batch.slice(lo, 256)
                 row, out = [], []
-                for i, ids in enumerate(enc.texts(part.column("_text").to_pylist())):
-                    ids += end
+                for i, text in enumerate(part.column("_text").to_pylist()):
+                    ids = enc.text(text) + end
                     view, n = memoryview(ids), len(ids) // 4
                     for start, length in cuts(n, window):
                         own = view[4 * start:4 * (start + length)]
