@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import table
 from tarmac.llm.hashing import LETTERS, text_chunks, word_hashes
 
-MAX_LABELLED = 20_000
-WORDS = 256
+MAX_LABELLED = 10_000
+WORDS = 128
 MIN_ROWS = 3  # rows a word must be in to be selected
 FOLDS = 5
 THRESHOLD = 0.5
@@ -82,12 +82,12 @@ def features(texts: list[bytes], groups: list[np.ndarray]) -> tuple[np.ndarray,
     return np.concatenate([*parts, shares(texts, n)], axis=1), n
 
 
-def fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 400) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 300) -> np.ndarray:
     """Weights (bias last) of a logistic model; both classes weigh as they are; accelerated gradient steps."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     z = np.concatenate([(x - mean) / scale, np.ones((len(x), 1), dtype=np.float32)], axis=1).astype(np.float32)
     w = np.zeros(z.shape[1], dtype=np.float32)
-    v, rate = w.copy(), 4.0 / max(1.0, float(np.linalg.norm(z, 2) ** 2) / len(z))
+    v, rate = w.copy(), 4.0 / max(1.0, float(np.linalg.eigvalsh((z.T @ z).astype(np.float64))[-1]) / len(z))
     for k in range(steps):
         g = z.T @ (1 / (1 + np.exp(-np.clip(z @ v, -30, 30))) - y).astype(np.float32) / len(z)
         g[:-1] += l2 * v[:-1]
