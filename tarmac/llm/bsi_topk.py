@@ -153,7 +153,7 @@ def _search(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                slices = np.frombuffer(r.slices, dtype="<u8").reshape(r.dim, r.bits, -1)
+                slices = np.frombuffer(r.slices, dtype="<u8").reshape(r.dim, r.bits, -(-r.rows // 64))
                 qids = np.frombuffer(r.query_ids, dtype="<i8")
                 hits = search_block(qids, np.frombuffer(r.queries, dtype="<i8").reshape(len(qids), r.dim),
                                     np.frombuffer(r.ids, dtype="<i8"), slices, int(r.low), k)

@@ -64,11 +64,12 @@ def text_chunks(column: pa.Array, chunk: int = CHUNK) -> Iterator[tuple[int, lis
     """(first row, texts as UTF-8, null as empty) in steps of about ``chunk`` bytes."""
     texts: list[bytes] = []
     start = size = 0
-    for i, t in enumerate(column.cast(pa.large_binary()).to_pylist()):
-        texts.append(t or b"")
-        size += len(texts[-1])
-        if size >= chunk:
-            yield start, texts
-            texts, start, size = [], i + 1, 0
+    for lo in range(0, len(column), 128):  # a batch is not held twice
+        for i, t in enumerate(column.slice(lo, 128).cast(pa.large_binary()).to_pylist(), lo):
+            texts.append(t or b"")
+            size += len(texts[-1])
+            if size >= chunk:
+                yield start, texts
+                texts, start, size = [], i + 1, 0
     if texts:
         yield start, texts

@@ -40,7 +40,7 @@ from tarmac.llm.common import bucketed_rank, stored, table
 WINDOW = 4096
 UNIT = 16
 END_ID = 2
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 CACHE_CHARS = 48
 TOKENIZER = "word_bpe_49k.json"
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which can begin a token of letters

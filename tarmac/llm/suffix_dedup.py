@@ -273,7 +273,7 @@ def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
             sizes, removed, counts, digests, kept_texts = [], [], [], [], []
             for text, found in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
                 raw, at, kept = text.encode(), 0, []
