@@ -25,6 +25,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator below the shared checkpoint folder, which go once nothing unwritten is made of them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self._spark, self._root, self._paths, self._n = spark, scratch_path(spark, name), {}, 0
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """As the function ``stored``; a table of the same name stays until dropped."""
+        self._n += 1
+        path = f"{self._root}/{name}-{self._n}"
+        self._paths.setdefault(name, []).append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str, but_last: bool = False) -> None:
+        """Delete the tables of these names; with ``but_last`` the newest of each stays.
+
+        Only for tables whose every use has been written: a task that is run again reads what it reads by path.
+        """
+        for name in names:
+            written = self._paths.get(name, [])
+            gone = written[:-1] if but_last else written[:]
+            for path in gone:
+                at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+                written.remove(path)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(c, UPPER, UPPER.lower())

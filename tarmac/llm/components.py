@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import stored
+from tarmac.llm.common import Scratch
 
 MAX_ROUNDS = 50
 
@@ -22,22 +22,24 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
             .unionByName(linked.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) of every node with an edge (u, v); root is the component's smallest node.
 
     Each round is written to the shared folder, and only a row count and a
     checksum come to the driver.  Rounds grow with the logarithm of the
     longest path.  Hot nodes are partially aggregated and join by skew-split
-    shuffle.
+    shuffle.  The rounds are tables ``cc`` of ``scratch``; only the last stays.
     """
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    edges = stored(edges.filter("u <> v").distinct(), "cc")
+    scratch = scratch or Scratch(edges.sparkSession, "components")
+    edges = scratch.stored(edges.filter("u <> v").distinct(), "cc")
     last = state(edges)
     for _ in range(MAX_ROUNDS):
-        edges = stored(_star(_star(edges, True), False), "cc")
+        edges = scratch.stored(_star(_star(edges, True), False), "cc")
         now = state(edges)
+        scratch.drop("cc", but_last=True)
         if now == last:
             break
         last = now

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tarmac.llm.common import stored, table
+from tarmac.llm.common import Scratch, table
 from tarmac.llm.components import components
 from tarmac.llm.hashing import NO_SPACE, mix, text_chunks, word_hashes
 
@@ -319,7 +319,7 @@ class Rule:
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(token, sig, n, size): classes per shared shingle, blocks with equal members once."""
     by = Window.partitionBy("token")
     once = F.lag("sig").over(by.orderBy("sig"))
@@ -327,9 +327,11 @@ def _blocks(rows: DataFrame) -> DataFrame:
     rows = rows.select(
         "*", F.count(F.lit(1)).over(by).alias("size"), F.bit_xor(F.xxhash64("sig")).over(by).alias("s1"),
         F.bit_xor(F.xxhash64("sig", F.lit(1))).over(by).alias("s2")).filter("size > 1")
-    rows = stored(rows, "blocks")
+    rows = scratch.stored(rows, "shared")
     kept = rows.groupBy("s1", "s2", "size").agg(F.min("token").alias("token")).select("token")
-    return stored(rows.drop("s1", "s2").join(kept, "token", "left_semi"), "blocks")
+    blocks = scratch.stored(rows.drop("s1", "s2").join(kept, "token", "left_semi"), "blocks")
+    scratch.drop("shared")
+    return blocks
 
 
 def _candidates(blocks: DataFrame, classes: DataFrame, comps: DataFrame | None, rule: Rule, search: str) -> DataFrame:
@@ -356,45 +358,52 @@ def _candidates(blocks: DataFrame, classes: DataFrame, comps: DataFrame | None,
     return d.mapInArrow(rule.block_pairs(search), "a long, b long").distinct()
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (u, v) whose whole sets link; only classes that are in a pair have their sets rebuilt from the text."""
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) whose whole sets link, written; only classes that are in a pair have their sets rebuilt from the text."""
     one, two = (classes.select(F.col("sig").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}")) for c in "ab")
-    pairs = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "wa", "wb")
-                   .mapInArrow(rule.wide_possible, "a long, b long"), "pairs")
+    pairs = scratch.stored(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "wa", "wb")
+                           .mapInArrow(rule.wide_possible, "a long, b long"), "pairs")
     asked = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    wanted = stored(classes.join(asked, "sig").select("sig", "_id", "_h"), "wanted")
+    wanted = scratch.stored(classes.join(asked, "sig").select("sig", "_id", "_h"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    sets = stored(
+    sets = scratch.stored(
         docs.join(wanted, (F.col("h") == F.col("_h")) & F.col("id").eqNullSafe(F.col("_id")))
         .select("sig", "text").mapInArrow(rule.whole_sets, "sig long, shingles binary"), "sets")
     one = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("sb"))
-    return (pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-            .mapInArrow(rule.linked, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    links = scratch.stored(
+        pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
+        .mapInArrow(rule.linked, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    scratch.drop("pairs", "wanted", "sets")
+    return links
 
 
-def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None) -> DataFrame:
+def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None,
+          scratch: Scratch | None = None) -> DataFrame:
     """Per row: id, n_shingles, component_id, text_hash."""
     rule = rule or Rule()
+    scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    scanned = stored(d.mapInArrow(rule.profile, "kind int, id long, h long, n long, sig long, bits binary, wide binary"), "profiles")
+    scanned = scratch.stored(d.mapInArrow(rule.profile, "kind int, id long, h long, n long, sig long, bits binary, wide binary"), "profiles")
     rows = scanned.filter("kind = 0 AND n > 0")
     often = (scanned.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("n"))
              .orderBy(F.col("n").desc(), "sig").limit(OFTEN_MOST).select("sig").collect())
     often = np.sort(np.array([r["sig"] for r in often], dtype=np.int64).view(np.uint64))
 
-    blocks = _blocks(d.select("text").mapInArrow(rule.prefixes(often), "token long, sig long, n long"))
-    classes = stored(rows.groupBy("sig").agg(
+    blocks = _blocks(d.select("text").mapInArrow(rule.prefixes(often), "token long, sig long, n long"), scratch)
+    classes = scratch.stored(rows.groupBy("sig").agg(
         F.min(F.struct("id", "h")).alias("one"), F.min("id").alias("least"), F.first("n").alias("n"),
         F.first("bits").alias("bits"), F.first("wide").alias("wide"),
     ).select("sig", "n", F.col("one.id").alias("_id"), F.col("one.h").alias("_h"), "least", "bits", "wide"), "classes")
 
     # first the next two in each block, so that most of a large group is one component before the full traversal
-    near = stored(_verify(_candidates(blocks, classes, None, rule, "neighbours"), d, classes, rule), "links")
-    comps = stored(components(near), "comps")
-    far = _verify(_candidates(blocks, classes, comps, rule, "traverse"), d, classes, rule)
-    comps = components(comps.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(far))
+    near = _verify(_candidates(blocks, classes, None, rule, "neighbours"), d, classes, rule, scratch)
+    comps = scratch.stored(components(near, scratch), "comps")
+    scratch.drop("links", "cc")
+    far = _verify(_candidates(blocks, classes, comps, rule, "traverse"), d, classes, rule, scratch)
+    comps = components(comps.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(far), scratch)
+    scratch.drop("blocks", "links", "comps")
 
     of_class = classes.select("sig", "least").join(comps.withColumnRenamed("node", "sig"), "sig", "left")
     least = of_class.filter("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("all_least"))
@@ -411,12 +420,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Documents without a set all stay; rows that repeat id and text stay once.
     """
-    found = group(docs, id_col, text_col, rule)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    found = group(docs, id_col, text_col, rule, scratch)
     whole = found.filter("n_shingles > 0").groupBy("component_id").agg(
         F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))).alias("k"))
     stay = whole.select("k.id", "k.h").unionByName(
         found.filter("n_shingles = 0").select(F.col(id_col).alias("id"), F.col("text_hash").alias("h")).distinct())
-    stay = stored(stay.select(F.col("id").alias("_id"), F.col("h").alias("_h")), "stay")
+    stay = scratch.stored(stay.select(F.col("id").alias("_id"), F.col("h").alias("_h")), "stay")
+    scratch.drop("profiles", "classes", "cc")
     d = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(text_col))
     kept = d.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_semi")
     return kept.dropDuplicates(["_key", "_hash"]).select(*docs.columns)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import stored, table
+from tarmac.llm.common import Scratch, table
 from tarmac.llm.hashing import text_chunks
 from tarmac.llm.suffix_array import suffix_array
 from tarmac.llm.winnow import Anchors
@@ -213,24 +213,26 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
     """(texts: id, th per row with the text; spans: th, spans array<(lo, hi)>, merged)."""
     anchors = Anchors(span)
     spark = docs.sparkSession
+    scratch = Scratch(spark, "dedup")
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("th"), text.alias("text"))
-    rows = stored(d.select("id", "th", F.octet_length("text").cast("long").alias("n_bytes")), "dedup-texts")
+    rows = scratch.stored(d.select("id", "th", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
     per_text = rows.filter(F.col("n_bytes") >= span).groupBy("th").agg(
         F.min("id").alias("_id"), F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"))
 
-    found = stored(d.select("th", "text").mapInArrow(_find_anchors(anchors), "th binary, places array<bigint>, fp long"), "anchors")
+    found = scratch.stored(d.select("th", "text").mapInArrow(_find_anchors(anchors), "th binary, places array<bigint>, fp long"), "anchors")
     spot = F.xxhash64("th")
     shared = (found.groupBy("fp").agg(F.min(spot).alias("x"), F.max(spot).alias("y"), F.max(F.size("places")).alias("n"))
               .filter("x <> y OR n > 1").select("fp"))
     at = (found.join(shared, "fp").groupBy("th").agg(F.collect_set(F.struct("places", "fp")).alias("at"))
           .join(per_text, "th").select(F.col("th").alias("_th"), "_id", "at"))
-    cut = stored(
+    cut = scratch.stored(
         d.join(at, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id")))
         .select("th", "text", "at").mapInArrow(
             _cut_contexts(span, anchors.width - 1),
             "th binary, fp long, places array<bigint>, before long, context binary"), "contexts")
-    large = stored(cut.groupBy("fp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > PART), "large")
+    scratch.drop("anchors")
+    large = scratch.stored(cut.groupBy("fp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > PART), "large")
     few = large.count() <= BROADCAST_ROWS
     cut = cut.join(F.broadcast(large) if few else large, "fp", "left")
     parts = F.coalesce(F.ceil(F.col("size") / PART), F.lit(1)).cast("int")
@@ -250,7 +252,9 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
                              F.greatest(F.element_at(a, -1)["hi"], s["hi"]).alias("hi"))))
         ).otherwise(F.concat(a, F.array(s))))
     spans = spans.unionByName(whole).groupBy("th").agg(merged.alias("spans"))
-    return d, stored(spans, "spans")
+    spans = scratch.stored(spans, "spans")
+    scratch.drop("texts", "contexts", "large")
+    return d, spans
 
 
 def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
