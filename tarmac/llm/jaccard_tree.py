@@ -295,7 +295,7 @@ class Rule:
 
     def wide_possible(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs that can still reach the needed overlap by their long bitmaps."""
-        for batch in batches:
+        for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
             ok = []
             for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "wa", "wb"))):
                 if x is None or y is None:
@@ -310,7 +310,7 @@ class Rule:
 
     def linked(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose whole sets link."""
-        for batch in batches:
+        for batch in (b.slice(lo, 64) for b in batches for lo in range(0, b.num_rows, 64)):
             sets = [[np.frombuffer(x, dtype="<u8") for x in batch.column(c).to_pylist()] for c in ("sa", "sb")]
             ok = []
             for x, y in zip(*sets):
