@@ -14,8 +14,8 @@ from tarmac.llm.common import stored, table
 
 #: shingle width of the near-duplicate stage (words) and its similarity
 NEAR = jaccard_tree.Rule(width=5, num=80, den=100)
-#: bytes of a repeated passage that goes: fifty words of this length and more
-PASSAGE = 240
+#: words of a repeated passage that goes: over fifty
+PASSAGE = 51
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that also stand elsewhere are cut out of the texts."""
-    return suffix_dedup.cut_texts(docs, PASSAGE)
+    return suffix_dedup.cut_texts(docs, PASSAGE, unit=suffix_dedup.WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

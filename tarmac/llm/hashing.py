@@ -60,6 +60,56 @@ def word_hashes(texts: list[bytes], word: np.ndarray) -> tuple[np.ndarray, np.nd
     return mix(np.add.reduceat(value, at)), first
 
 
+def _spaces_and_alone(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of white space (Unicode's too), and (first byte, end) of each character that is a word by itself."""
+    space = ~NO_SPACE[raw]
+    space |= (raw >= 0x1C) & (raw <= 0x1F)
+    at = np.flatnonzero(raw >= 0xC2)  # first bytes of the characters beyond ASCII
+    a = raw[at]
+    b, c = (raw[np.minimum(at + k, len(raw) - 1)] for k in (1, 2))
+    two = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+    three = ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)) | (
+        (a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))))
+    for mask, n in ((two, 2), (three, 3)):
+        for k in range(n):
+            space[at[mask] + k] = True
+    alone = (((a >= 0xE3) & (a <= 0xE9) & ~three)  # kana and Han
+             | ((a == 0xE0) & (b >= 0xB8) & (b <= 0xBB))  # Thai, Lao
+             | ((a == 0xE1) & ((b == 0x80) | (b == 0x81) | (b == 0x9E) | (b == 0x9F)))  # Burmese, Khmer
+             | ((a == 0xF0) & (b >= 0xA0)))  # rarer Han
+    return space, np.stack([at[alone], at[alone] + np.where(a[alone] == 0xF0, 4, 3)])
+
+
+def word_bounds(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of the texts joined, first byte of every word, its end, each text's first word with the end).
+
+    A word is a run without white space; in scripts that set none between words (Han, kana, Thai, Lao, Burmese,
+    Khmer) every character is one.
+    """
+    raw = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
+    ends_at = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
+    space, alone = _spaces_and_alone(raw)
+    cut = np.zeros(len(raw) + 1, dtype=bool)
+    cut[alone.ravel()] = True
+    inside = np.zeros(len(raw) + 2, dtype=bool)
+    inside[1:-1] = ~space
+    starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
+    ends = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
+    return raw, starts, ends, np.searchsorted(starts, np.concatenate([[0], ends_at]))
+
+
+def exact_word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """Hash of the bytes of every word, case kept."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    for lo in range(0, len(starts), step):
+        lengths = ends[lo:lo + step] - starts[lo:lo + step]
+        at = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
+        value = (raw[np.repeat(starts[lo:lo + step], lengths) + place].astype(np.uint64) + np.uint64(1)) * _factors(int(lengths.max()))[place]
+        out[lo:lo + step] = mix(np.add.reduceat(value, at))
+    return out
+
+
 def text_chunks(column: pa.Array, chunk: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8, null as empty) in steps of about ``chunk`` bytes."""
     texts: list[bytes] = []

@@ -19,6 +19,11 @@ documents.  All occurrences go.
    This is exact; fingerprints only decide who meets.
 4. Spans are merged per text and cut out.
 
+The same runs over words (``WORDS``): a string is then ``span`` words in a row,
+whatever white space lies between, words are compared by all their bytes, and
+in scripts without spaces each character is a word (``hashing.word_bounds``).
+A cut then takes the white space up to the next word along.
+
 Texts that occur twice or more are sent as one, and covered whole if they
 hold a string at all.  Defined results: a null text is empty; texts shorter
 than ``span`` lose nothing by themselves; repeated rows are copies of each
@@ -36,11 +41,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import Scratch, table
-from tarmac.llm.hashing import text_chunks
+from tarmac.llm.hashing import exact_word_hashes, text_chunks, word_bounds
 from tarmac.llm.suffix_array import suffix_array
-from tarmac.llm.winnow import Anchors
+from tarmac.llm.winnow import GRAM, Anchors
 
 SPAN = 400
+WORD_GRAM = 8  # words that a fingerprint covers
 LETTER = 80  # bytes of a letter of the suffix array
 PART = 8192
 BROADCAST_ROWS = 100_000  # fingerprints with large blocks sent to all tasks; beyond, a shuffle
@@ -49,6 +55,63 @@ BATCH = 16_384  # contexts that one suffix array holds, blocks permitting
 SPANS = "th binary, lo long, hi long"
 
 
+class Bytes:
+    """Strings counted in bytes."""
+
+    size, gram, fewest = 1, GRAM, staticmethod(lambda span: span)
+
+    @staticmethod
+    def anchors(find: Anchors, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return find(texts)
+
+    @staticmethod
+    def parts(raw: bytes) -> Callable[[int, int], bytes]:
+        """A function for the units from lo up to hi of a text."""
+        return lambda lo, hi: raw[lo:hi]
+
+    @staticmethod
+    def coded(contexts: list[bytes]) -> list[bytes]:
+        """Contexts with ``size`` bytes a unit, equal units alike."""
+        return contexts
+
+    @staticmethod
+    def bytes_of(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The spans in bytes."""
+        return spans
+
+
+class Words:
+    """Strings counted in words."""
+
+    size, gram, fewest = 4, WORD_GRAM, staticmethod(lambda span: 2 * span - 1)  # bytes of the shortest such text
+
+    @staticmethod
+    def anchors(find: Anchors, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw, starts, ends, first = word_bounds(texts)
+        return find.of_units(exact_word_hashes(raw, starts, ends), first)
+
+    @staticmethod
+    def parts(raw: bytes) -> Callable[[int, int], bytes]:
+        _, starts, ends, _ = word_bounds([raw])
+        words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        return lambda lo, hi: b" ".join(words[lo:hi])
+
+    @staticmethod
+    def coded(contexts: list[bytes]) -> list[bytes]:
+        numbers: dict[bytes, int] = {}
+        return [np.array([numbers.setdefault(w, len(numbers) + 1) for w in c.split(b" ")], dtype="<u4").tobytes()
+                for c in contexts]
+
+    @staticmethod
+    def bytes_of(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        _, starts, _, _ = word_bounds([raw])
+        at = [0, *starts[1:].tolist(), len(raw)]
+        return [(at[lo], at[min(hi, len(at) - 1)]) for lo, hi in spans]
+
+
+BYTES, WORDS = Bytes(), Words()
+
+
 def _padded(parts: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(b"".join([p.ljust(width, b"\0") for p in parts]), dtype=np.uint8).reshape(len(parts), width)
 
@@ -75,15 +138,19 @@ def right_order(rights: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     return order, _agree(rows, order)
 
 
-def repeated(before: np.ndarray, contexts: list[bytes], span: int) -> list[tuple[int, int, int]]:
-    """(context, first offset, last offset): strings that start 'offset' bytes left of the anchor and are repeated."""
+def repeated(before: np.ndarray, contexts: list[bytes], span: int, size: int = 1) -> list[tuple[int, int, int]]:
+    """(context, first offset, last offset): strings that start 'offset' units left of the anchor and are repeated.
+
+    A unit has ``size`` bytes.
+    """
     m, most = len(contexts), int(before.max(initial=0))
-    rights = [c[b:b + span] for c, b in zip(contexts, before.tolist())]
-    lefts = _padded([c[:b][::-1] for c, b in zip(contexts, before.tolist())], max(1, most))
-    length = np.array([len(r) for r in rights], dtype=np.int64)
-    r_order, r_agree = right_order(rights, span)
+    rights = [c[b * size:(b + span) * size] for c, b in zip(contexts, before.tolist())]
+    lefts = _padded([c[:b * size][::-1] for c, b in zip(contexts, before.tolist())], max(1, most * size))
+    length = np.array([len(r) // size for r in rights], dtype=np.int64)
+    r_order, r_agree = right_order(rights, span * size)
     l_order = np.argsort(lefts.copy().view(f"S{lefts.shape[1]}").ravel(), kind="stable")
-    l_agree = _agree(lefts, l_order)
+    l_agree = _agree(lefts, l_order) // size
+    r_agree //= size
     flags = np.zeros((most + 3, m), dtype=np.int8)
     r_class, l_class = np.empty(m, dtype=np.int64), np.empty(m, dtype=np.int64)
     for s in range(most + 1):
@@ -105,7 +172,7 @@ def repeated(before: np.ndarray, contexts: list[bytes], span: int) -> list[tuple
     return list(zip(row.tolist(), first.tolist(), (last - 1).tolist()))
 
 
-def _find_anchors(anchors: Anchors) -> Callable:
+def _find_anchors(anchors: Anchors, unit: Bytes | Words) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -113,11 +180,11 @@ def _find_anchors(anchors: Anchors) -> Callable:
                 hashes = batch.column("th").slice(start, len(texts)).to_pylist()
                 new = []
                 for i, th in enumerate(hashes):  # copies in this task are sent once
-                    if th not in seen and len(texts[i]) >= anchors.span:
+                    if th not in seen and len(texts[i]) >= unit.fewest(anchors.span):
                         new.append(i)
                         if len(seen) < 1_000_000:
                             seen.add(th)
-                owner, place, fp = anchors([texts[i] for i in new])
+                owner, place, fp = unit.anchors(anchors, [texts[i] for i in new])
                 if not len(fp):
                     continue
                 by = np.lexsort((place, fp, owner))
@@ -131,7 +198,7 @@ def _find_anchors(anchors: Anchors) -> Callable:
     return run
 
 
-def _cut_contexts(span: int, reach: int) -> Callable:
+def _cut_contexts(span: int, reach: int, unit: Bytes | Words) -> Callable:
     """Rows (th, fp, places, before, context): contexts of a text, equal ones once with all their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,11 +207,11 @@ def _cut_contexts(span: int, reach: int) -> Callable:
                 part = batch.slice(lo, 64)
                 out: dict[tuple, list[int]] = {}
                 for th, text, at in zip(*(part.column(c).to_pylist() for c in ("th", "text", "at"))):
-                    raw = text.encode()
+                    part_of = unit.parts(text.encode())
                     for a in at:
                         for p in a["places"]:
                             lo_p = max(0, p - reach)
-                            out.setdefault((th, a["fp"], p - lo_p, raw[lo_p:p + span]), []).append(p)
+                            out.setdefault((th, a["fp"], p - lo_p, part_of(lo_p, p + span)), []).append(p)
                 if out:
                     th, fp, before, ctx = zip(*out)
                     yield pa.RecordBatch.from_arrays(
@@ -169,19 +236,20 @@ def _merged(lo: np.ndarray, hi: np.ndarray, own: np.ndarray) -> tuple[np.ndarray
     return lo[first] - own * far, reach[last] - own * far, own
 
 
-def _spans_of_blocks(span: int) -> Callable:
+def _spans_of_blocks(span: int, unit: Bytes | Words) -> Callable:
     """Repeated spans per text from rows sorted by block."""
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
         th, places, before, contexts = (rows.column(c).to_pylist() for c in ("th", "places", "before", "context"))
+        contexts = unit.coded(contexts)
         once: dict[tuple, int] = {}
         for i, key in enumerate(zip(th, (p[0] for p in places))):  # a context may be in several blocks of parts
             once.setdefault(key, i)
         keep = list(once.values())
         # (row, stretch before the place, stretch after it); contexts at several places are covered whole
-        found = [(i, before[i], len(contexts[i]) - before[i]) for i in keep if len(places[i]) > 1]
+        found = [(i, before[i], len(contexts[i]) // unit.size - before[i]) for i in keep if len(places[i]) > 1]
         found += [(keep[k], last, span - first) for k, first, last in repeated(
-            np.array([before[i] for i in keep], dtype=np.int64), [contexts[i] for i in keep], span)]
+            np.array([before[i] for i in keep], dtype=np.int64), [contexts[i] for i in keep], span, unit.size)]
         names = {t: k for k, t in enumerate(dict.fromkeys(th))}
         n = np.array([len(places[i]) for i, _, _ in found], dtype=np.int64)
         at = np.array([p for i, _, _ in found for p in places[i]], dtype=np.int64)
@@ -209,18 +277,19 @@ def _spans_of_blocks(span: int) -> Callable:
     return run
 
 
-def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts: id, th per row with the text; spans: th, spans array<(lo, hi)>, merged)."""
-    anchors = Anchors(span)
+def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
+               unit: Bytes | Words = BYTES) -> tuple[DataFrame, DataFrame]:
+    """(texts: id, th per row with the text; spans: th, spans array<(lo, hi)> in units, merged; a whole text may go on)."""
+    anchors = Anchors(span, unit.gram)
     spark = docs.sparkSession
     scratch = Scratch(spark, "dedup")
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("th"), text.alias("text"))
     rows = scratch.stored(d.select("id", "th", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
-    per_text = rows.filter(F.col("n_bytes") >= span).groupBy("th").agg(
+    per_text = rows.filter(F.col("n_bytes") >= unit.fewest(span)).groupBy("th").agg(
         F.min("id").alias("_id"), F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"))
 
-    found = scratch.stored(d.select("th", "text").mapInArrow(_find_anchors(anchors), "th binary, places array<bigint>, fp long"), "anchors")
+    found = scratch.stored(d.select("th", "text").mapInArrow(_find_anchors(anchors, unit), "th binary, places array<bigint>, fp long"), "anchors")
     spot = F.xxhash64("th")
     shared = (found.groupBy("fp").agg(F.min(spot).alias("x"), F.max(spot).alias("y"), F.max(F.size("places")).alias("n"))
               .filter("x <> y OR n > 1").select("fp"))
@@ -229,8 +298,11 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
     cut = scratch.stored(
         d.join(at, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id")))
         .select("th", "text", "at").mapInArrow(
-            _cut_contexts(span, anchors.width - 1),
+            _cut_contexts(span, anchors.width - 1, unit),
             "th binary, fp long, places array<bigint>, before long, context binary"), "contexts")
+    # texts with an anchor hold a string
+    whole = scratch.stored(per_text.filter("copies > 1").join(found.select("th").distinct(), "th", "left_semi")
+                           .select("th", F.lit(0).cast("long").alias("lo"), F.col("n_bytes").alias("hi")), "whole")
     scratch.drop("anchors")
     large = scratch.stored(cut.groupBy("fp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > PART), "large")
     few = large.count() <= BROADCAST_ROWS
@@ -241,8 +313,7 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
         "th", "fp", "places", "before", "context", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spans = (cut.repartition(n, "fp", "i", "j").sortWithinPartitions("fp", "i", "j")
-             .mapInArrow(_spans_of_blocks(span), SPANS))
-    whole = per_text.filter("copies > 1").select("th", F.lit(0).cast("long").alias("lo"), F.col("n_bytes").alias("hi"))
+             .mapInArrow(_spans_of_blocks(span, unit), SPANS))
     merged = F.aggregate(
         F.sort_array(F.collect_set(F.struct("lo", "hi"))),
         F.array().cast("array<struct<lo:bigint,hi:bigint>>"),
@@ -253,18 +324,18 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
         ).otherwise(F.concat(a, F.array(s))))
     spans = spans.unionByName(whole).groupBy("th").agg(merged.alias("spans"))
     spans = scratch.stored(spans, "spans")
-    scratch.drop("texts", "contexts", "large")
+    scratch.drop("texts", "contexts", "large", "whole")
     return d, spans
 
 
 def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
-        keep_all: bool = False) -> DataFrame:
+        keep_all: bool = False, unit: Bytes | Words = BYTES) -> DataFrame:
     """Per row: id (or all columns), n_bytes, n_removed, n_spans, kept_sha256; with ``keep_all`` these begin with _ and the
     kept text follows.
 
     In the kept text a character that lost some of its bytes goes whole; the digest is over the kept bytes.
     """
-    d, spans = find_spans(docs, span, id_col, text_col)
+    d, spans = find_spans(docs, span, id_col, text_col, unit)
     cols = docs.columns if keep_all else [id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = spans.select(F.col("th").alias("_th2"), F.col("spans").alias("_spans"))
@@ -281,9 +352,9 @@ def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str
             sizes, removed, counts, digests, kept_texts = [], [], [], [], []
             for text, found in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
                 raw, at, kept = text.encode(), 0, []
-                for s in found or []:
-                    kept.append(raw[at:s["lo"]])
-                    at = s["hi"]
+                for lo, hi in unit.bytes_of(raw, [(s["lo"], s["hi"]) for s in found]) if found else []:
+                    kept.append(raw[at:lo])
+                    at = hi
                 kept = b"".join([*kept, raw[at:]])
                 sizes.append(len(raw))
                 removed.append(len(raw) - len(kept))
@@ -299,9 +370,9 @@ def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str
 
 
 def cut_texts(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
-              length_col: str = "n_chars") -> DataFrame:
+              length_col: str = "n_chars", unit: Bytes | Words = BYTES) -> DataFrame:
     """``docs`` with the kept texts in place (null stays null), and their lengths if there is a column for them."""
-    out = cut(docs, span, id_col, text_col, keep_all=True)
+    out = cut(docs, span, id_col, text_col, keep_all=True, unit=unit)
     text = F.when(F.col(text_col).isNotNull(), F.col("_kept_text"))
     new = {text_col: text, length_col: F.when(F.col("_n_removed") > 0, F.length("_kept_text").cast(
         docs.schema[length_col].dataType)).otherwise(F.col(length_col))} if length_col in docs.columns else {text_col: text}

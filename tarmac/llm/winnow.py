@@ -1,10 +1,10 @@
-"""Content-defined anchors of byte texts: equal windows of ``span`` bytes pick the same anchor."""
+"""Content-defined anchors of texts: equal windows of ``span`` units (bytes, or words by hash) pick the same anchor."""
 
 from __future__ import annotations
 
 import numpy as np
 
-GRAM = 64  # bytes that a fingerprint covers
+GRAM = 64  # units that a fingerprint covers
 _R = 0x5851F42D4C957F2D  # odd, so powers can be undone
 _POS = np.uint64((1 << 24) - 1)
 
@@ -16,7 +16,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Anchors:
-    """Anchors for windows of ``span`` bytes; keeps tables of powers for texts joined up to their size."""
+    """Anchors for windows of ``span`` units; keeps tables of powers for texts joined up to their size."""
 
     def __init__(self, span: int, gram: int = GRAM):
         self.span, self.gram, self.width = span, gram, span - gram + 1
@@ -28,7 +28,7 @@ class Anchors:
             self.down = _powers(pow(_R, -1, 1 << 64), n)
 
     def fingerprints(self, raw: np.ndarray) -> np.ndarray:
-        """Mixed hash of the ``gram`` bytes at every place that has them."""
+        """Mixed hash of the ``gram`` units at every place that has them."""
         n = len(raw) - self.gram + 1
         self._tables(len(raw) + 1)
         sums = np.zeros(len(raw) + 1, dtype=np.uint64)
@@ -41,8 +41,11 @@ class Anchors:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text number, place, fingerprint) of the anchors: leftmost smallest fingerprint of every window."""
-        texts_at = np.cumsum(np.array([0] + [len(t) for t in texts], dtype=np.int64))
-        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        return self.of_units(np.frombuffer(b"".join(texts), dtype=np.uint8),
+                             np.cumsum(np.array([0] + [len(t) for t in texts], dtype=np.int64)))
+
+    def of_units(self, raw: np.ndarray, texts_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As for texts, of joined units (bytes, or word hashes); ``texts_at`` holds each text's first unit and the end."""
         if len(raw) < self.span:
             none = np.zeros(0, dtype=np.int64)
             return none, none, none.astype(np.uint64)

@@ -52,6 +52,50 @@ def test_suffix_dedup_parts_of_a_large_block(spark, docs, monkeypatch):
     assert sorted(map(str, suffix_dedup.cut(docs, 80).collect())) == want
 
 
+UNSPACED = "\u0e01-\u0eff\u1000-\u107f\u1780-\u17ff\u3001-\u9fff\U00020000-\U0010ffff"
+
+
+def _word_rows():
+    """A passage of 51 words in 101 bytes, one of 50 long words, other white space, characters as words."""
+    short, fifty = " ".join("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNO"), " ".join(["wordsoftwelve", "longerthanthat"] * 25)
+    assert len(short.split()) == 51 and len(fifty.split()) == 50 and len(fifty) > 600
+    han = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    rows = [(i, t) for i, (t, *_) in enumerate(r[1:] for r in edge_rows())]
+    for i in range(3):
+        rows.append((100 + i, f"{prose(20 + i, 30)} {short} {prose(30 + i, 20)} end{i}"))
+        rows.append((200 + i, f"{prose(40 + i, 30)} {fifty} {prose(50 + i, 20)}"))
+        rows.append((300 + i, f"{prose(60 + i, 9)}{han}x{prose(70 + i, 9)}\u0e01\u0e02 z"))
+        rows.append((400 + i, ["\n", " \u00a0\t", "\u3000"][i].join(f"gap{k}" for k in range(52))))
+        rows.append((500 + i, " ".join(f"gap{k}".upper() for k in range(52)) + f" {i}" * (2 * i)))
+    return rows
+
+
+@pytest.mark.parametrize("span", [20, 51])
+def test_suffix_dedup_over_words_equals_brute_force(spark, span):
+    words = [[(m.start(), m.group()) for m in re.finditer(f"[{UNSPACED}]|[^\\s{UNSPACED}]+", t or "")] for _, t in _word_rows()]
+    seen = collections.Counter(tuple(w for _, w in x[k:k + span]) for x in words for k in range(len(x) - span + 1))
+    want = []
+    for (i, t), x in zip(_word_rows(), words):
+        gone = [False] * len(x)
+        for k in range(len(x) - span + 1):
+            if seen[tuple(w for _, w in x[k:k + span])] > 1:
+                gone[k:k + span] = [True] * span
+        at = [0, *(a for a, _ in x[1:]), len(t or "")]
+        kept = "".join(t[at[k]:at[k + 1]] for k in range(len(x)) if not gone[k]) if any(gone) else t or ""
+        want.append((i, kept, sum(1 for k in range(len(x)) if gone[k] and (k == 0 or not gone[k - 1]))))
+    df = spark.createDataFrame(_word_rows(), "doc_id long, text string")
+    out = suffix_dedup.cut(df, span, keep_all=True, unit=suffix_dedup.WORDS).collect()
+    assert sorted((r["doc_id"], r["_kept_text"], r["_n_spans"]) for r in out) == sorted(want)
+
+
+def test_repeats_stage_counts_words(spark):
+    import corpus_pipeline as c
+
+    out = {r["doc_id"]: r["text"] for r in c.cut_repeats(spark, spark.createDataFrame(_word_rows(), "doc_id long, text string"), "").collect()}
+    assert out[100] == prose(20, 30) + " " + prose(30, 20) + " end0"  # 51 words of one letter
+    assert out[200] == dict(_word_rows())[200]  # 50 long words stay
+
+
 def _brute_topk(rows, k, is_query):
     q = {}
     for i, v in rows:
