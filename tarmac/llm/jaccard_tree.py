@@ -381,7 +381,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, s
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None,
           scratch: Scratch | None = None) -> DataFrame:
-    """Per row: id, n_shingles, component_id, text_hash."""
+    """Per row: id, n_shingles, component_id, text_hash, component.
+
+    ``component`` is the component's own key (its smallest class; null for an empty set): ids may be null or repeat.
+    """
     rule = rule or Rule()
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
@@ -408,11 +411,12 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule:
     of_class = classes.select("sig", "least").join(comps.withColumnRenamed("node", "sig"), "sig", "left")
     least = of_class.filter("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("all_least"))
     of_class = of_class.join(least, "root", "left").select(
-        "sig", F.coalesce("all_least", "least").alias("component_id"))
-    full = rows.select("id", "h", "n", "sig").join(of_class, "sig").select("id", "h", "n", "component_id")
-    empty = scanned.filter("kind = 0 AND n = 0").select("id", "h", "n", F.col("id").alias("component_id"))
+        "sig", F.coalesce("all_least", "least").alias("component_id"), F.coalesce("root", "sig").alias("component"))
+    full = rows.select("id", "h", "n", "sig").join(of_class, "sig").select("id", "h", "n", "component_id", "component")
+    empty = scanned.filter("kind = 0 AND n = 0").select(
+        "id", "h", "n", F.col("id").alias("component_id"), F.lit(None).cast("long").alias("component"))
     return full.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                                          F.col("h").alias("text_hash"))
+                                          F.col("h").alias("text_hash"), "component")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None) -> DataFrame:
@@ -422,7 +426,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     found = group(docs, id_col, text_col, rule, scratch)
-    whole = found.filter("n_shingles > 0").groupBy("component_id").agg(
+    whole = found.filter("n_shingles > 0").groupBy("component").agg(
         F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))).alias("k"))
     stay = whole.select("k.id", "k.h").unionByName(
         found.filter("n_shingles = 0").select(F.col(id_col).alias("id"), F.col("text_hash").alias("h")).distinct())
@@ -434,4 +438,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op10_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group(table(spark, sf_dir, "documents")).drop("text_hash")
+    return group(table(spark, sf_dir, "documents")).drop("text_hash", "component")

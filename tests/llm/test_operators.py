@@ -389,6 +389,16 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
         assert stage(spark, empty, SF_SMALL).count() == 0
 
 
+def test_near_copies_with_null_and_repeated_ids_lose_no_other_text(spark):
+    base = prose(91, 60)
+    rows = [(None, base), (None, base + " more"), (None, prose(92, 60)), (None, prose(93, 60)), (None, "short"),
+            (1, prose(94, 60)), (1, prose(95, 60)), (1, prose(94, 60)), (2, prose(95, 60) + " more"), (None, None), (3, None)]
+    kept = jaccard_tree.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), rule=jaccard_tree.Rule(5, 80, 100))
+    got = collections.Counter(tuple(r) for r in kept.collect())
+    assert sum(got[r] for r in rows[:2]) == 1
+    assert got - collections.Counter(rows[:2]) == collections.Counter([*rows[2:7], (None, None), (3, None)])
+
+
 def test_near_copies_leave_one_document_each(docs):
     kept = jaccard_tree.one_of_each(docs, rule=jaccard_tree.Rule(5, 80, 100)).toPandas()
     assert kept.columns.tolist() == docs.columns
