@@ -14,6 +14,7 @@ from tarmac.llm import (balanced_shards, bsi_topk, decontaminate, jaccard_tree,
                         revisits, suffix_dedup, toxicity)
 from tarmac.llm.queries import QUERIES, SQL
 from tarmac.llm.suffix_array import suffix_array
+from tarmac.llm.winnow import Anchors
 
 from .conftest import edge_rows, prose
 
@@ -55,6 +56,23 @@ def test_suffix_dedup_parts_of_a_large_block(spark, docs, monkeypatch):
 UNSPACED = "\u0e01-\u0eff\u1000-\u107f\u1780-\u17ff\u3001-\u9fff\U00020000-\U0010ffff"
 
 
+def test_anchors_of_long_texts_are_taken_in_steps():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 123, n, dtype=np.uint8).tobytes() for n in (50, 3000, 0, 79, 700, 80)] + [b"ab" * 400, b"z" * 200]
+    want = [x.tolist() for x in Anchors(80)(texts)]
+    assert len(want[0]) > 100
+    for step in (1, 7, 80, 1000, 5000):
+        assert [x.tolist() for x in Anchors(80, step=step)(texts)] == want
+    # a text of more than 16 MiB, and windows of it alone
+    long = rng.integers(97, 123, (1 << 24) + 5000, dtype=np.uint8).tobytes()
+    owner, place, fp = Anchors(400)([b"first", long])
+    assert set(owner.tolist()) == {1} and (np.diff(place) > 0).all() and np.diff(place).max() <= 400
+    some = {(p, f) for p, f in zip(place.tolist(), fp.tolist())}
+    for lo in (0, (1 << 21) - 300, (1 << 24) - 300):
+        part = [x.tolist() for x in Anchors(400)([long[lo:lo + 1500]])]
+        assert part[1] and {(lo + p, f) for p, f in zip(*part[1:])} <= some
+
+
 def _word_rows():
     """A passage of 51 words in 101 bytes, one of 50 long words, other white space, characters as words."""
     short, fifty = " ".join("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNO"), " ".join(["wordsoftwelve", "longerthanthat"] * 25)
