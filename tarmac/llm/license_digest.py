@@ -9,7 +9,8 @@ document's whole text and each of its lines (a notice standing alone).
 Defined results: null text has no digest and no license; an empty text has
 the digest of the empty string and no license (known texts are not empty);
 repeated rows are answered each; line licenses are distinct and sorted.  The
-known table is a handful of fixed texts, so it is broadcast; a caller's own
+known texts (whole licences with their usual titles, ``license_texts``, and
+notices) are a few hundred, so their digests are broadcast; a caller's own
 table above ``BROADCAST_ROWS`` rows is joined by shuffle.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.llm import license_texts
 from tarmac.llm.common import UPPER, ascii_lower, table
 
 BROADCAST_ROWS = 10_000
@@ -69,6 +71,10 @@ KNOWN = [
     ("GPL-3.0-notice", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
 ]
+# These and the forms of whole licences: every head of an id goes with every body.
+HEADS, BODIES = license_texts.heads_and_bodies(dict(KNOWN))
+HEADS = list(dict.fromkeys(HEADS + [(name, "\n") for name, _ in KNOWN]))
+BODIES = list(dict.fromkeys(BODIES + KNOWN))
 
 
 def lines_of(text: Column) -> Column:
@@ -86,8 +92,11 @@ def whole(lines: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(digest, license_id): one row per distinct canonical text, smallest id first."""
-    df = spark.createDataFrame(known or KNOWN, "license_id string, text string")
-    return (df.select("license_id", F.sha2(whole(lines_of(F.col("text"))), 256).alias("digest"))
+    heads = HEADS if known is None else sorted({(name, "") for name, _ in known})
+    heads = spark.createDataFrame(heads, "license_id string, head string").select("license_id", lines_of(F.col("head")).alias("_h"))
+    df = spark.createDataFrame(BODIES if known is None else known, "license_id string, text string")
+    df = df.select("license_id", lines_of(F.col("text")).alias("_b")).join(F.broadcast(heads), "license_id")
+    return (df.select("license_id", F.sha2(whole(F.concat("_h", "_b")), 256).alias("digest"))
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
@@ -134,6 +143,10 @@ def _sql_literal(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
+def _sql_rows(rows: list[tuple[str, str]]) -> str:
+    return ", ".join(f"({_sql_literal(a)}, {_sql_literal(b)})" for a, b in rows)
+
+
 def _sql_lines(col: str) -> str:
     t = f"translate({col}, '{UPPER}', '{UPPER.lower()}')"
     t = f"regexp_replace({t}, '(?m){COPYRIGHT}', '', 'g')"
@@ -144,9 +157,13 @@ def _sql_lines(col: str) -> str:
 
 
 SQL = f"""
-WITH known AS (
-  SELECT sha256(array_to_string({_sql_lines("text")}, ' ')) AS digest, min(license_id) AS license_id
-  FROM (VALUES {", ".join(f"({_sql_literal(a)}, {_sql_literal(b)})" for a, b in KNOWN)}) AS k(license_id, text)
+WITH heads AS (
+  SELECT license_id, {_sql_lines("head")} AS h FROM (VALUES {_sql_rows(HEADS)}) AS k(license_id, head)
+), bodies AS (
+  SELECT license_id, {_sql_lines("text")} AS b FROM (VALUES {_sql_rows(BODIES)}) AS k(license_id, text)
+), known AS (
+  SELECT sha256(array_to_string(list_concat(h, b), ' ')) AS digest, min(license_id) AS license_id
+  FROM heads JOIN bodies USING (license_id)
   GROUP BY 1
 ), d AS (
   SELECT row_number() OVER () AS r, doc_id, {_sql_lines("text")} AS l FROM documents

@@ -297,6 +297,33 @@ def test_license_digests_match_spellings_lines_and_edges(spark, no_docs):
     assert license_digest.scan(no_docs, license_digest.known_digests(spark)).count() == 0
 
 
+def test_whole_public_licenses_are_known_with_their_titles(spark, tmp):
+    import duckdb
+    from pathlib import Path
+
+    shipped = sorted(Path(license_digest.__file__).parent.joinpath("licenses").glob("*.txt"))
+    rows = [(p.stem, p.read_text()) for p in shipped]
+    assert len(rows) == 14
+    rows += [(n, t.upper().replace("\n", "\n\n  ")) for n, t in rows]
+    apache, gpl, bsd, mit = (dict(rows[:14] + license_digest.KNOWN)[n] for n in ("Apache-2.0", "GPL-2.0", "BSD-3-Clause", "MIT"))
+    rows += [("Apache-2.0", apache.split("   END OF TERMS")[0]), ("Apache-2.0", apache[apache.index("TERMS AND"):]),
+             ("GPL-2.0", gpl.split("\t    How to Apply")[0].split("            How to Apply")[0]),
+             ("GPL-2.0", gpl.replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA")),
+             ("GPL-2.0", gpl.replace("an appropriate\ncopyright notice", "an appropriate copyright\nnotice")),
+             ("MIT", "MIT License\n\nCopyright (c) 2021 Someone\n\n" + mit), ("MIT", "The MIT Licence (MIT)\nCopyright 2021 X\nAll rights reserved.\n" + mit),
+             ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\n" + bsd.split("\n", 1)[1]
+              .replace("the University nor", "the copyright owner nor").replace("THE REGENTS AND", "THE COPYRIGHT HOLDERS AND")
+              .replace("THE REGENTS OR", "THE COPYRIGHT OWNER OR").replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+             (None, apache.replace("perpetual", "brief")), (None, "MIT License")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_id"] for r in license_digest.scan(df, license_digest.known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(rows))] == [n for n, _ in rows]
+    df.write.parquet(tmp + "/documents")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp}/documents/*.parquet'")
+    assert dict(con.execute(f"select doc_id, license_id from ({license_digest.SQL})").fetchall()) == got
+
+
 def _brute_hits(texts, items):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     wins = collections.defaultdict(set)
