@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tarmac.llm import balanced_shards, bsi_topk, decontaminate, jaccard_tree, language_id, license_digest, packing, revisits, suffix_dedup, toxicity
+from tarmac.llm import (balanced_shards, bsi_topk, byte_bpe, decontaminate, hard_negatives, jaccard_tree, language_id, license_digest, packing,
+                        revisits, suffix_dedup, toxicity, whitening)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_license_digest": license_digest.op8_license_digest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_jaccard_tree": jaccard_tree.op10_jaccard_tree,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_byte_bpe": byte_bpe.op13_byte_bpe,
 }
 
 SQL = {
@@ -22,4 +26,5 @@ SQL = {
     "op6_revisits": revisits.SQL,
     "op8_license_digest": license_digest.SQL,
     "op9_decontaminate": decontaminate.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }
