@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +57,32 @@ class Scratch:
                 written.remove(path)
 
 
+def kept_by_worker(name: str | None, make: Callable | None = None):
+    """A table that a Python worker keeps between tasks (task code is shipped by value, so it stands in ``sys.modules``).
+
+    A worker keeps one at a time: one that is asked for next, or None, takes the former one's place, as workers go from
+    one operator's tasks to another's.
+    """
+    held = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__.setdefault("tables", {})
+    if name not in held:
+        held.clear()
+        if name is not None:
+            held[name] = make()
+    return held.get(name)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Let Spark hand whole texts to Python workers in small batches, from now on in this session."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that no name of theirs meets one of an operator's own; ``row.*`` is the rows again."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(c, UPPER, UPPER.lower())

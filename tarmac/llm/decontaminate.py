@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ascii_lower, stored, table
+from tarmac.llm.common import ascii_lower, stored, table, whole_row
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -112,8 +112,8 @@ def clean(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
                  .select(F.col(id_col).alias("_id"), F.col("text_md5").alias("_h")).distinct(), "contaminated")
     if bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         bad = F.broadcast(bad)
-    d = docs.withColumn("_key", F.col(id_col)).withColumn("_md5", F.md5(text_col))
-    return d.join(bad, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_h")), "left_anti").select(*docs.columns)
+    d = docs.select(whole_row(docs), F.col(id_col).alias("key"), F.md5(text_col).alias("md5"))
+    return d.join(bad, F.col("key").eqNullSafe(F.col("_id")) & (F.col("md5") == F.col("_h")), "left_anti").select("row.*")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tarmac.llm.common import Scratch, table
+from tarmac.llm.common import Scratch, kept_by_worker, table, whole_row
 from tarmac.llm.components import components
 from tarmac.llm.hashing import NO_SPACE, mix, text_chunks, word_hashes
 
@@ -45,6 +45,9 @@ SHINGLE = 4
 NUM, DEN = 85, 100  # link: DEN * intersection >= NUM * union
 BITS = 4096
 LEAF, FAN = 32, 8
+STEP = 8192  # pairs of rows compared at a time
+HELD_PAIRS = 1 << 16  # candidate pairs a task holds before it hands them on
+SEEN = 200_000  # sets a task remembers to send copies once
 BLOCK = 2048
 OFTEN_LOCAL = 4  # shingle seen in so many documents of a task's stretch
 STRETCH = 1 << 21  # shingles per stretch
@@ -127,6 +130,7 @@ class Rule:
                                                pa.array(c.astype(np.int64)), pa.array(v.view(np.int64)),
                                                pa.nulls(len(v), pa.binary()), pa.nulls(len(v), pa.binary())], names=names)
 
+        kept_by_worker(None)
         for batch in batches:
             for start, texts in text_chunks(batch.column("text")):
                 sets = shingle_sets(texts, self.width)
@@ -153,7 +157,7 @@ class Rule:
                         sig = set_hash(s)
                         if not len(s) or sig in seen:  # copies in this task send one prefix
                             continue
-                        if len(seen) < 1_000_000:
+                        if len(seen) < SEEN:
                             seen.add(sig)
                         if len(often):
                             at = np.minimum(np.searchsorted(often, s), len(often) - 1)
@@ -191,14 +195,16 @@ class Rule:
                           n[b] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
         return most >= need(n[a], n[b], self.num, self.den)
 
-    def neighbours(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a = np.concatenate([np.arange(len(n) - k) for k in (1, 2) if k < len(n)])
-        b = np.concatenate([np.arange(k, len(n)) for k in (1, 2) if k < len(n)])
-        ok = self.possible(n, bits, a, b)
-        return a[ok], b[ok]
+    def neighbours(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that stand one or two places apart, in steps."""
+        for k in (1, 2):
+            for lo in range(0, len(n) - k, STEP):
+                a = np.arange(lo, min(lo + STEP, len(n) - k))
+                ok = self.possible(n, bits, a, a + k)
+                yield a[ok], a[ok] + k
 
-    def traverse(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row pairs (sizes ascending) in different components that the tree cannot rule out."""
+    def traverse(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Row pairs (sizes ascending) in different components that the tree cannot rule out, in steps."""
         levels = [self._nodes([(i, min(i + LEAF, len(n))) for i in range(0, len(n), LEAF)], n, bits, comp)]
         while len(levels[-1]["lo"]) > 1:
             low = levels[-1]
@@ -214,19 +220,16 @@ class Rule:
                 cj = (j[:, None, None] * FAN + 0 * step[None, :, None] + step[None, None, :]).ravel()
                 ok = (ci <= cj) & (ci < width) & (cj < width)
                 i, j = ci[ok], cj[ok]
-        left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        leaf, step = levels[0], np.arange(LEAF)
-        for at in range(0, len(i), 32):
-            a = (leaf["lo"][i[at:at + 32]][:, None, None] + step[None, :, None] + 0 * step).ravel()
-            b = (leaf["lo"][j[at:at + 32]][:, None, None] + 0 * step[None, :, None] + step).ravel()
+        leaf, step, many = levels[0], np.arange(LEAF), STEP // LEAF ** 2
+        for at in range(0, len(i), many):
+            a = (leaf["lo"][i[at:at + many]][:, None, None] + step[None, :, None] + 0 * step).ravel()
+            b = (leaf["lo"][j[at:at + many]][:, None, None] + 0 * step[None, :, None] + step).ravel()
             ok = (a < b) & (b < len(n))
             a, b = a[ok], b[ok]
             ok = (n[b] * self.num <= n[a] * self.den) & (comp[a] != comp[b])
             a, b = a[ok], b[ok]
             ok = self.possible(n, bits, a, b)
-            left.append(a[ok])
-            right.append(b[ok])
-        return np.concatenate(left), np.concatenate(right)
+            yield a[ok], b[ok]
 
     @staticmethod
     def _nodes(spans: list[tuple[int, int]], n, bits, comp) -> dict[str, np.ndarray]:
@@ -250,30 +253,32 @@ class Rule:
         """Candidate pairs (a < b) of every block in rows sorted by block and size."""
         find = getattr(self, search)
 
-        def of_block(rows: pa.Table) -> tuple[list, list]:
+        def of_block(rows: pa.Table) -> Iterator[np.ndarray]:
             n, sig, comp, part = (rows.column(c).to_numpy() for c in ("n", "sig", "comp", "part"))
             bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype="<u8").reshape(len(n), -1)
-            a, b = find(n, bits, comp)
-            if rows.column("i")[0].as_py() != rows.column("j")[0].as_py():  # pairs inside a part have a block of their own
-                ok = part[a] != part[b]
-                a, b = a[ok], b[ok]
-            a, b = sig[a], sig[b]
-            ok = a != b
-            return np.minimum(a, b)[ok], np.maximum(a, b)[ok]
+            across = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()  # pairs inside a part have a block of their own
+            for a, b in find(n, bits, comp):
+                ok = sig[a] != sig[b]
+                if across:
+                    ok &= part[a] != part[b]
+                a, b = sig[a[ok]], sig[b[ok]]
+                if len(a):
+                    yield np.stack([np.minimum(a, b), np.maximum(a, b)])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found: set[tuple[int, int]] = set()
+            found: list[np.ndarray] = []
             rest: pa.Table | None = None
 
-            def take(rows: pa.Table) -> None:
-                if len(rows) > 1:
-                    found.update(zip(*(x.tolist() for x in of_block(rows))))
-
             def out() -> pa.RecordBatch:
-                pairs = list(found)
+                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
                 found.clear()
-                return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
-                                                   pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+                return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+            def take(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+                for pairs in of_block(rows) if len(rows) > 1 else ():
+                    found.append(pairs)
+                    if sum(p.shape[1] for p in found) > HELD_PAIRS or len(found) > 2000:
+                        yield out()
 
             for batch in batches:
                 rows = pa.Table.from_batches([batch])
@@ -282,12 +287,10 @@ class Rule:
                 edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
                 edge = [0, *edge.tolist()]
                 for lo, hi in zip(edge, edge[1:]):
-                    take(rows.slice(lo, hi - lo))
+                    yield from take(rows.slice(lo, hi - lo))
                 rest = rows.slice(edge[-1])  # a block may go on in the next batch
-                if len(found) > 50_000:
-                    yield out()
             if rest is not None:
-                take(rest)
+                yield from take(rest)
             if found:
                 yield out()
 
@@ -432,9 +435,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found.filter("n_shingles = 0").select(F.col(id_col).alias("id"), F.col("text_hash").alias("h")).distinct())
     stay = scratch.stored(stay.select(F.col("id").alias("_id"), F.col("h").alias("_h")), "stay")
     scratch.drop("profiles", "classes", "cc")
-    d = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(text_col))
-    kept = d.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_semi")
-    return kept.dropDuplicates(["_key", "_hash"]).select(*docs.columns)
+    d = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("key"), F.xxhash64(text_col).alias("hash"))
+    kept = d.join(stay, F.col("key").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_h")), "left_semi")
+    return kept.dropDuplicates(["key", "hash"]).select("row.*")
 
 
 def op10_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

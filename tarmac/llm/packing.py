@@ -23,8 +23,6 @@ encoded once per worker and cached, at most ``CACHE_WORDS`` of them.
 from __future__ import annotations
 
 import os
-import sys
-import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bucketed_rank, stored, table
+from tarmac.llm.common import bucketed_rank, kept_by_worker, stored, table
 
 WINDOW = 4096
 UNIT = 16
 END_ID = 2
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 48
 TOKENIZER = "word_bpe_49k.json"
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which can begin a token of letters
@@ -101,11 +99,8 @@ class WordEncoder(dict):
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder for a vocabulary file; task code is shipped by value, so it is kept in ``sys.modules``."""
-    kept = sys.modules.setdefault("_word_encoders", types.ModuleType("_word_encoders")).__dict__
-    if path not in kept:
-        kept[path] = WordEncoder(path)
-    return kept[path]
+    """The worker's encoder for a vocabulary file."""
+    return kept_by_worker(f"words {path}", lambda: WordEncoder(path))
 
 
 def cuts(n: int, window: int = WINDOW) -> list[tuple[int, int]]:

@@ -37,10 +37,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tarmac.llm.common import Scratch, table
+from tarmac.llm.common import Scratch, kept_by_worker, table, whole_row
 from tarmac.llm.hashing import exact_word_hashes, text_chunks, word_bounds
 from tarmac.llm.suffix_array import suffix_array
 from tarmac.llm.winnow import GRAM, Anchors
@@ -50,6 +51,7 @@ WORD_GRAM = 8  # words that a fingerprint covers
 LETTER = 80  # bytes of a letter of the suffix array
 PART = 8192
 BROADCAST_ROWS = 100_000  # fingerprints with large blocks sent to all tasks; beyond, a shuffle
+SEEN = 200_000  # texts a task remembers to send copies once
 BATCH = 16_384  # contexts that one suffix array holds, blocks permitting
 
 SPANS = "th binary, lo long, hi long"
@@ -174,6 +176,7 @@ def repeated(before: np.ndarray, contexts: list[bytes], span: int, size: int = 1
 
 def _find_anchors(anchors: Anchors, unit: Bytes | Words) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker(None)
         seen: set[bytes] = set()
         for batch in batches:
             for start, texts in text_chunks(batch.column("text")):
@@ -182,7 +185,7 @@ def _find_anchors(anchors: Anchors, unit: Bytes | Words) -> Callable:
                 for i, th in enumerate(hashes):  # copies in this task are sent once
                     if th not in seen and len(texts[i]) >= unit.fewest(anchors.span):
                         new.append(i)
-                        if len(seen) < 1_000_000:
+                        if len(seen) < SEEN:
                             seen.add(th)
                 owner, place, fp = unit.anchors(anchors, [texts[i] for i in new])
                 if not len(fp):
@@ -328,29 +331,20 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
     return d, spans
 
 
-def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
-        keep_all: bool = False, unit: Bytes | Words = BYTES) -> DataFrame:
-    """Per row: id (or all columns), n_bytes, n_removed, n_spans, kept_sha256; with ``keep_all`` these begin with _ and the
-    kept text follows.
-
-    In the kept text a character that lost some of its bytes goes whole; the digest is over the kept bytes.
-    """
-    d, spans = find_spans(docs, span, id_col, text_col, unit)
-    cols = docs.columns if keep_all else [id_col]
+def _cut(docs: DataFrame, row: Column, span: int, id_col: str, text_col: str, unit: Bytes | Words, with_text: bool) -> DataFrame:
+    """(row, n_bytes, n_removed, n_spans, kept_sha256, and the kept text if asked for)."""
+    _, spans = find_spans(docs, span, id_col, text_col, unit)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = spans.select(F.col("th").alias("_th2"), F.col("spans").alias("_spans"))
-    full = docs.select(*cols, text.alias("_text"), F.unhex(F.md5(text)).alias("_th")).join(
-        found, F.col("_th") == F.col("_th2"), "left")
-    mark = "_" if keep_all else ""
-    extra = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")]
-    schema = docs.select(*cols).schema
-    for name, kind in [(mark + n, k) for n, k in extra] + [("_kept_text", "string")] * keep_all:
-        schema = schema.add(name, kind)
+    found = spans.select(F.col("th").alias("th2"), "spans")
+    full = docs.select(row.alias("row"), text.alias("text"), F.unhex(F.md5(text)).alias("th")).join(
+        found, F.col("th") == F.col("th2"), "left").select("row", "text", "spans")
+    counted = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
+    schema = StructType([full.schema["row"], *StructType.fromDDL(counted).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
             sizes, removed, counts, digests, kept_texts = [], [], [], [], []
-            for text, found in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 raw, at, kept = text.encode(), 0, []
                 for lo, hi in unit.bytes_of(raw, [(s["lo"], s["hi"]) for s in found]) if found else []:
                     kept.append(raw[at:lo])
@@ -360,23 +354,37 @@ def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str
                 removed.append(len(raw) - len(kept))
                 counts.append(len(found or []))
                 digests.append(hashlib.sha256(kept).hexdigest())
-                if keep_all:
+                if with_text:
                     kept_texts.append(kept.decode("utf-8", "ignore") if found else text)
             out = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()),
-                   pa.array(digests, pa.string())] + [pa.array(kept_texts, pa.string())] * keep_all
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), *out], names=schema.names)
+                   pa.array(digests, pa.string())] + [pa.array(kept_texts, pa.string())] * with_text
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *out], names=schema.names)
+
+    return full.mapInArrow(run, schema)
 
-    return full.select(*cols, "_text", "_spans").mapInArrow(run, schema)
+
+def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
+        keep_all: bool = False, unit: Bytes | Words = BYTES) -> DataFrame:
+    """Per row: id (or all columns), n_bytes, n_removed, n_spans, kept_sha256; with ``keep_all`` these begin with _ and the
+    kept text follows.
+
+    In the kept text a character that lost some of its bytes goes whole; the digest is over the kept bytes.
+    """
+    out = _cut(docs, whole_row(docs) if keep_all else F.col(id_col), span, id_col, text_col, unit, keep_all)
+    if not keep_all:
+        return out.withColumnRenamed("row", id_col)
+    return out.select("row.*", *[F.col(c).alias("_" + c) for c in out.columns[1:]])
 
 
 def cut_texts(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
               length_col: str = "n_chars", unit: Bytes | Words = BYTES) -> DataFrame:
     """``docs`` with the kept texts in place (null stays null), and their lengths if there is a column for them."""
-    out = cut(docs, span, id_col, text_col, keep_all=True, unit=unit)
-    text = F.when(F.col(text_col).isNotNull(), F.col("_kept_text"))
-    new = {text_col: text, length_col: F.when(F.col("_n_removed") > 0, F.length("_kept_text").cast(
-        docs.schema[length_col].dataType)).otherwise(F.col(length_col))} if length_col in docs.columns else {text_col: text}
-    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    out = _cut(docs, whole_row(docs), span, id_col, text_col, unit, True)
+    new = {text_col: F.when(F.col("row")[text_col].isNotNull(), F.col("kept_text"))}
+    if length_col in docs.columns:
+        new[length_col] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema[length_col].dataType)).otherwise(
+            F.col("row")[length_col])
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import table
+from tarmac.llm.common import kept_by_worker, table, whole_row
 from tarmac.llm.hashing import LETTERS, text_chunks, word_hashes
 
 MAX_LABELLED = 10_000
@@ -226,9 +226,9 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
 def kept(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that the last category does not flag."""
-    d = docs.withColumn("_text", F.col(text_col))
-    names = [f"_p{i}" for i in range(len(chain.categories))]
-    return _scored(d, chain, names, "_flag", threshold).filter("NOT _flag").select(*docs.columns)
+    d = docs.select(whole_row(docs), F.col(text_col).alias("_text"))
+    names = [f"p{i}" for i in range(len(chain.categories))]
+    return _scored(d, chain, names, "flag", threshold).filter("NOT flag").select("row.*")
 
 
 def _scored(d: DataFrame, chain: Chain, names: list[str], flag: str, threshold: float) -> DataFrame:
@@ -238,6 +238,7 @@ def _scored(d: DataFrame, chain: Chain, names: list[str], flag: str, threshold:
     schema = schema.add(flag, "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker(None)
         for batch in batches:
             for start, texts in text_chunks(batch.column("_text")):
                 p = chain.predict(texts)
