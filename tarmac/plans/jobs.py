@@ -8,13 +8,16 @@ columns it needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.functions.cleaning import typed_flights
 from tarmac.operators import best, metrics, quality, ranking
 from tarmac.sinks.files import write_clean, write_flights
 from tarmac.sources.archives import read_archives
-from tarmac.sources.files import read_raw
+from tarmac.sources.files import ingest_raw
 
 
 def cleanup(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "parquet",
@@ -28,7 +31,9 @@ def cleanup(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "parquet"
     if source == "zip":
         rows, rejects = read_archives(spark, in_dir, with_source=False)
     else:
-        rows, rejects = read_raw(spark, in_dir), spark.createDataFrame([], "archive string, member string, error string")
+        rows, wrong = ingest_raw(spark, in_dir)
+        rejects = wrong.select(F.col("source_file").alias("archive"), F.lit(None).cast("string").alias("member"),
+                               F.concat("reason", F.lit(": "), "record").alias("error"))
     if fmt == "csv":
         write_clean(rows, out_dir)
     else:
@@ -50,28 +55,27 @@ RESULT_TABLES = {
 
 
 def result_frames(flights: DataFrame, year: int | None = best.BEST_FLIGHT_YEAR,
-                  n: int = ranking.TOP_N) -> dict[str, DataFrame]:
+                  n: int = ranking.TOP_N) -> dict[str, Callable[[], DataFrame]]:
+    """How to make each result; some run a job of their own, so nothing is built before it is asked for."""
     return {
-        "airport_popularity": metrics.airport_popularity(flights),
-        "airline_delays": metrics.carrier_arrival_delay(flights),
-        "airport_best_airlines": ranking.top_carriers(flights, n),
-        "airport_best_dest_airport": ranking.top_destinations(flights, n),
-        "src_dst_avg_delays": metrics.route_arrival_delay(flights),
-        "src_dst_best_flights_of_day": best.best_flights(flights, year),
-        "popularity_rank_frequency": ranking.popularity_rank_frequency(flights),
-        "quality_report": quality.quality_report(flights),
+        "airport_popularity": lambda: metrics.airport_popularity(flights),
+        "airline_delays": lambda: metrics.carrier_arrival_delay(flights),
+        "airport_best_airlines": lambda: ranking.top_carriers(flights, n),
+        "airport_best_dest_airport": lambda: ranking.top_destinations(flights, n),
+        "src_dst_avg_delays": lambda: metrics.route_arrival_delay(flights),
+        "src_dst_best_flights_of_day": lambda: best.best_flights(flights, year),
+        "popularity_rank_frequency": lambda: ranking.popularity_rank_frequency(flights),
+        "quality_report": lambda: quality.quality_report(flights),
     }
 
 
 def results(spark: SparkSession, flights_path: str, out_dir: str,
             year: int | None = best.BEST_FLIGHT_YEAR, n: int = ranking.TOP_N,
             only: list[str] | None = None) -> list[str]:
-    """Write every question's table as Parquet under ``out_dir/<table>``."""
+    """Write every question's table (or those of ``only``) as Parquet under ``out_dir/<table>``."""
     flights = spark.read.parquet(flights_path)
-    written = []
-    for name, df in result_frames(flights, year, n).items():
-        if only and name not in only:
-            continue
-        df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
-        written.append(name)
+    written = [name for name in RESULT_TABLES if not only or name in only]
+    frames = result_frames(flights, year, n)
+    for name in written:
+        frames[name]().write.mode("overwrite").parquet(f"{out_dir}/{name}")
     return written

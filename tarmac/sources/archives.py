@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA
 from tarmac.session import scratch_path
-from tarmac.sources.files import MissingColumnError, _local, read_raw
+from tarmac.sources.files import MissingColumnError, _local, ingest_raw
 
 MEMBER_SCHEMA = "archive string, member string, error string"
 STAGED_SCHEMA = "archive string, member string, id string, error string"
@@ -155,13 +155,12 @@ def read_archives(spark: SparkSession, path: str, staging: str | None = None, wi
         return df.withColumn("id", name).join(whole, "id").drop("id", "source_file")
 
     try:
-        rows = read_raw(spark, files, strict=strict, with_source=with_source, multi_line=multi_line)
-        records = read_raw(spark, files, strict=strict, multi_line=multi_line, rejects=True)
+        rows, records = ingest_raw(spark, files, strict=strict, with_source=with_source, multi_line=multi_line)
     except MissingColumnError as e:
         r = whole.filter(F.lit(str(e)).contains(F.col("id"))).first()
         raise MissingColumnError(f"{e} ({r['archive']}:{r['member']})") from e
     if with_source:
         rows = with_member(rows).select(*CLEAN_COLUMNS, "archive", "member")
     wrong = with_member(records).select(
-        "archive", "member", F.concat(F.lit("wrong number of fields: "), "record").alias("error"))
+        "archive", "member", F.concat("reason", F.lit(": "), "record").alias("error"))
     return rows, damaged.unionByName(wrong)

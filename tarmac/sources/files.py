@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.functions.cleaning import clean_values, drop_header_rows
 from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CORRUPT_COLUMN, CSV_OPTIONS, MISSING_MARKER
+from tarmac.session import scratch_path
 
 
 class MissingColumnError(ValueError):
@@ -143,20 +144,10 @@ def column_positions(header: list[str], example: str) -> dict[str, int]:
     return pos
 
 
-def read_raw(spark: SparkSession, path: str, strict: bool = False,
-             with_source: bool = False, glob: str = "*.csv", multi_line: bool = False,
-             rejects: bool = False) -> DataFrame:
-    """O2 + O5-O7: raw CSV files with any column layout -> cleaned twelve-column rows.
-
-    Blank lines are skipped.  A record with another number of fields than its
-    file's header fails the job when ``strict``; otherwise it is left out, and
-    ``rejects=True`` returns those records (source_file, record) instead of the
-    rows.  ``multi_line`` allows line breaks inside quoted fields; such files
-    are read whole by one task each, so it is off by default.
-    """
-    groups = file_headers(spark, path, glob)
+def _records(spark: SparkSession, path: str, strict: bool, glob: str, multi_line: bool) -> DataFrame:
+    """Every record of the raw files: the twelve columns as text, source_file, and ``record`` (its text, if it is malformed)."""
     parts = []
-    for line, files in sorted(groups.items()):
+    for line, files in sorted(file_headers(spark, path, glob).items()):
         header = parse_header(line)
         pos = column_positions(header, files[0])
         fields = [StructField(f"c{i}", StringType(), True) for i in range(len(header))]
@@ -168,28 +159,50 @@ def read_raw(spark: SparkSession, path: str, strict: bool = False,
         else:
             r = (r.schema(StructType([*fields, StructField(CORRUPT_COLUMN, StringType(), True)]))
                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
-        df = r.csv(sorted(files))
-        if rejects:
-            parts.append(df.filter(F.lit(False) if strict else F.col(CORRUPT_COLUMN).isNotNull() & (
-                F.length(F.concat_ws("", "c0")) >= 0)).select(
-                F.col("_metadata.file_path").alias("source_file"),
-                (F.lit(None).cast("string") if strict else F.col(CORRUPT_COLUMN)).alias("record")))
-            continue
-        if not strict:
-            # Spark allows no query on the corrupt column alone (a bare count); this always true test reads another
-            df = df.filter(F.col(CORRUPT_COLUMN).isNull() & (F.length(F.concat_ws("", "c0")) >= 0))
-        cols = [F.col(f"c{pos[c]}").alias(c) for c in CLEAN_COLUMNS]
-        if with_source:
-            cols.append(F.col("_metadata.file_path").alias("source_file"))
-        parts.append(df.select(*cols))
-    if not parts and rejects:
-        return spark.createDataFrame([], "source_file string, record string")
+        record = F.lit(None).cast("string") if strict else F.col(CORRUPT_COLUMN)
+        parts.append(r.csv(sorted(files)).select(*[F.col(f"c{pos[c]}").alias(c) for c in CLEAN_COLUMNS],
+                                                 F.col("_metadata.file_path").alias("source_file"), record.alias("record")))
     if not parts:
-        empty = spark.createDataFrame([], CLEAN_SCHEMA)
-        return empty.withColumn("source_file", F.lit(None).cast("string")) if with_source else empty
+        return spark.createDataFrame([], StructType([*CLEAN_SCHEMA.fields, *(StructField(c, StringType()) for c in ("source_file", "record"))]))
     out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if rejects:
-        return out
-    return drop_header_rows(clean_values(out, keep=["source_file"] if with_source else []))
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    # a line of blanks is no record; Spark allows no query on the corrupt column alone, and this reads another
+    return out.filter(F.col("record").isNull() | ((F.trim("record") != "") & (F.length(F.concat_ws("", CLEAN_COLUMNS[0])) >= 0)))
+
+
+def _accepted(records: DataFrame, with_source: bool) -> DataFrame:
+    rows = records.filter("record IS NULL").drop("record", *([] if with_source else ["source_file"]))
+    return drop_header_rows(clean_values(rows, keep=["source_file"] if with_source else []))
+
+
+def read_raw(spark: SparkSession, path: str, strict: bool = False,
+             with_source: bool = False, glob: str = "*.csv", multi_line: bool = False) -> DataFrame:
+    """O2 + O5-O7: raw CSV files with any column layout -> cleaned twelve-column rows.
+
+    Blank lines are skipped.  A record with another number of fields than its
+    file's header fails the job when ``strict``; otherwise it is left out
+    (``ingest_raw`` returns those records, too).  ``multi_line`` allows line
+    breaks inside quoted fields; such files are read whole by one task each,
+    so it is off by default.
+    """
+    return _accepted(_records(spark, path, strict, glob, multi_line), with_source)
+
+
+WRONG_COUNT = "wrong number of fields"
+
+
+def ingest_raw(spark: SparkSession, path: str, strict: bool = False, with_source: bool = False, glob: str = "*.csv",
+               multi_line: bool = False, staging: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """O2 + O11: (cleaned rows, rejects as source_file, record, reason) of one parse.
+
+    The files are parsed once and the records written once to ``staging``
+    (shared storage), told apart by whether they are malformed; both results
+    read that table, and a lost executor never parses again.
+    """
+    staging = staging or scratch_path(spark, "records")
+    records = _records(spark, path, strict, glob, multi_line).withColumn("rejected", F.col("record").isNotNull())
+    records.write.mode("overwrite").partitionBy("rejected").parquet(staging)
+    stored = spark.read.schema(records.schema).parquet(staging)
+    rejects = stored.filter("rejected").select("source_file", "record", F.lit(WRONG_COUNT).alias("reason"))
+    return _accepted(stored.filter("NOT rejected").drop("rejected"), with_source), rejects

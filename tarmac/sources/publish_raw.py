@@ -38,7 +38,27 @@ def _with_extras(df: DataFrame) -> DataFrame:
 
 
 def _layout_flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("_layout_b", F.xxhash64(*CLEAN_COLUMNS).bitwiseAND(F.lit(1).cast("bigint")) == F.lit(1).cast("bigint"))
+    return df.withColumn("_layout_b", F.col("Month").cast("int") % 2 == 1)
+
+
+def write_damaged_csv(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> None:
+    """As ``write_raw_csv``, as ``*.txt``: cancelled flights have a field too many, diverted ones a field too few.
+
+    Every file begins with its header; blank lines stand between.
+    """
+    n = files or max(2, spark.sparkContext.defaultParallelism)
+    raw = _layout_flag(_with_extras(raw_flights(spark, sf_dir)))
+    for sub, layout, flag in [("a", LAYOUT_A, False), ("b", LAYOUT_B, True)]:
+        text = lambda names: F.to_csv(F.struct(*names), {"emptyValue": "", **CSV_OPTIONS})
+        line = (F.when(F.col("Cancelled") == "1.00", F.concat(text(layout), F.lit(",more")))
+                .when(F.col("Diverted") == "1.00", text(layout[:-1])).otherwise(text(layout)))
+        rows = raw.filter(F.col("_layout_b") == F.lit(flag)).select(
+            F.pmod(F.xxhash64(*CLEAN_COLUMNS), F.lit(n)).alias("file"), F.lit(2).alias("at"), line.alias("value"))
+        starts = [(0, ",".join(layout)), (1, "   "), (3, "")]
+        heads = spark.range(n).select(F.col("id").alias("file"), F.explode(F.array(*[
+            F.struct(F.lit(at).alias("at"), F.lit(text).alias("value")) for at, text in starts])).alias("h")).select("file", "h.at", "h.value")
+        (rows.unionByName(heads).repartition(n, "file").sortWithinPartitions("file", "at").select("file", "value")
+         .write.mode("overwrite").partitionBy("file").text(f"{path}/{sub}"))
 
 
 def write_raw_csv(spark: SparkSession, sf_dir: str, path: str) -> None:

@@ -9,7 +9,7 @@ import pytest
 from tarmac.schema import CLEAN_COLUMNS
 from tarmac.sinks.files import write_clean, write_flights
 from tarmac.sources.archives import read_archives
-from tarmac.sources.files import MissingColumnError, read_clean, read_raw
+from tarmac.sources.files import MissingColumnError, ingest_raw, read_clean, read_raw
 
 EXTRA = ["FlightNum", "TailNum"]
 
@@ -162,7 +162,7 @@ def test_read_raw_wrong_field_count_is_a_reject_or_an_error(spark, tmp):
     good = csv_text(CLEAN_COLUMNS, [R1]).replace("\r", "")
     open(f"{tmp}/q.csv", "w").write(good + "1,2,3\n" + ",".join(["9"] * 14) + "\n")
     assert read_raw(spark, tmp).count() == 1
-    assert sorted(r["record"] for r in read_raw(spark, tmp, rejects=True).collect()) == ["1,2,3", ",".join(["9"] * 14)]
+    assert sorted(r["record"] for r in ingest_raw(spark, tmp)[1].collect()) == ["1,2,3", ",".join(["9"] * 14)]
     with pytest.raises(Exception):
         read_raw(spark, tmp, strict=True).collect()
 
