@@ -66,6 +66,8 @@ def main(argv=None) -> int:
     s.add_argument("--compact-every", type=int, default=None,
                    help="update-mode tables: fold into a base every N batches")
 
+    s.add_argument("--snapshot-prefix", default=None, help="also write each batch as CSV text below this folder")
+
     a = ap.parse_args(argv)
     spark = build_session(master=a.master, shuffle_partitions=None)
 
@@ -78,7 +80,7 @@ def main(argv=None) -> int:
         rejects.write.mode("overwrite").parquet(path)
         n = spark.read.parquet(path).count()
         if n:
-            print(f"{n} unreadable archives or members, listed in {path}", file=sys.stderr)
+            print(f"{n} unreadable archives, members or records, listed in {path}", file=sys.stderr)
     elif a.cmd == "results":
         from tarmac.plans.jobs import results
 
@@ -97,6 +99,7 @@ def main(argv=None) -> int:
         job = build(src, year=a.year) if a.question == "best_flights" else build(src)
         job.retain = a.retain
         job.compact_every = a.compact_every
+        job.snapshot_prefix = a.snapshot_prefix
         q = job.start(a.out, a.checkpoint, trigger={"processingTime": a.trigger}, name=a.question)
         q.awaitTermination()
     return 0

@@ -106,3 +106,11 @@ def rank_frequency_loglog(df: DataFrame, digits: int | None = None) -> DataFrame
     rf = popularity_rank_frequency(df)
     log = lambda c: F.ln(F.col(c)) if digits is None else F.round(F.ln(F.col(c)), digits)
     return rf.select("rank", log("rank").alias("ln_rank"), log("num_flights").alias("ln_count"))
+
+
+def rank_frequency_fit(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """The line through the log-log points by least squares (slope, intercept, r2, and how many points)."""
+    points = rank_frequency_loglog(df)
+    fit = points.agg(F.regr_slope("ln_count", "ln_rank").alias("slope"), F.regr_intercept("ln_count", "ln_rank").alias("intercept"),
+                     F.regr_r2("ln_count", "ln_rank").alias("r2"), F.count(F.lit(1)).alias("num_points"))
+    return fit if digits is None else fit.select(*[F.round(c, digits).alias(c) for c in ("slope", "intercept", "r2")], "num_points")

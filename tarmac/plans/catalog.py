@@ -70,9 +70,36 @@ def _archive_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     write_raw_archives(spark, sf_dir, path, damage_b=True)
     rows, rejects = read_archives(spark, path, staging=scratch_path(spark, "unpacked"))
-    good = rows.groupBy("member").agg(F.count(F.lit(1)).alias("num_rows")).withColumn("num_rejects", F.lit(0).cast("bigint"))
-    bad = rejects.groupBy("member").agg(F.count(F.lit(1)).alias("num_rejects"))
-    return good.unionByName(bad.select("member", F.lit(0).cast("bigint").alias("num_rows"), "num_rejects"))
+    good = rows.groupBy("member").agg(F.count(F.lit(1)).alias("num_rows")).withColumn("has_rejects", F.lit(False))
+    bad = rejects.select("member", F.lit(0).cast("bigint").alias("num_rows"), F.lit(True).alias("has_rejects")).distinct()
+    return good.unionByName(bad)
+
+
+def _raw_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 with records of a wrong length: rows and rejects of one parse, counted by layout."""
+    from pyspark.sql import functions as F
+
+    from tarmac.session import scratch_path
+    from tarmac.sources.files import ingest_raw
+    from tarmac.sources.publish_raw import write_damaged_csv
+
+    path = scratch_path(spark, "damaged-csv")
+    write_damaged_csv(spark, sf_dir, path)
+    rows, rejects = ingest_raw(spark, path, with_source=True, glob="*.txt")
+    layout = F.regexp_extract("source_file", r"/([ab])/file=", 1).alias("layout")
+    count = F.count(F.lit(1)).alias("num_records")
+    good = rows.groupBy(layout).agg(count).withColumn("reason", F.lit("accepted"))
+    return good.unionByName(rejects.groupBy(layout, "reason").agg(count)).select("layout", "reason", "num_records")
+
+
+def _replay(runner: str, pick: Callable = lambda df: df) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tarmac.streaming import replay
+
+        return pick(getattr(replay, runner)(spark, sf_dir))
+
+    run.__name__ = runner
+    return run
 
 
 def _stream(name: str) -> Query:
@@ -95,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "top_airports": _on_flights(lambda f: ranking.popularity_ranked(f, n=10)),
     "popularity_rank_frequency": _on_flights(ranking.popularity_rank_frequency),
     "rank_frequency_loglog": _on_flights(lambda f: ranking.rank_frequency_loglog(f, digits=9)),
+    "rank_frequency_fit": _on_flights(lambda f: ranking.rank_frequency_fit(f, digits=9)),
     "carrier_arrival_delay": _on_flights(metrics.carrier_arrival_delay),
     "bad_delay_count": _on_flights(metrics.bad_delay_count),
     "airport_delay_by_carrier": _on_flights(
@@ -107,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "best_flights_all_years": _on_flights(lambda f: best.best_flights(f, year=None)),
     "clean_csv_roundtrip": _clean_csv_roundtrip,
     "archive_rejects": _archive_rejects,
+    "raw_csv_rejects": _raw_csv_rejects,
     "best_events": lambda spark, d: best.best_events(fixture.events(spark, d)),
     "quality_report": _on_flights(quality.quality_report),
     "stream_popularity": _stream("stream_popularity"),
@@ -115,4 +144,11 @@ QUERIES: dict[str, Query] = {
     "stream_top_destinations": _stream("stream_top_destinations"),
     "stream_route_delay": _stream("stream_route_delay"),
     "stream_best_flights": _stream("stream_best_flights"),
+    "stream_restart": _replay("run_restart"),
+    "stream_batch_sizes": _replay("run_batch_sizes"),
+    "stream_bad_delays": _replay("run_bad_delays"),
+    "stream_snapshot": _replay("run_snapshot"),
+    "stream_clock": _replay("run_clock"),
+    "stream_rejects": _replay("run_ingest", lambda tables: tables[1]),
+    "stream_ingest": _replay("run_ingest", lambda tables: tables[0]),
 }

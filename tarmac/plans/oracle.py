@@ -191,3 +191,38 @@ for _s, _b in [
     ("stream_best_flights", "best_flights"),
 ]:
     SQL[_s] = SQL[_b]
+
+SQL["stream_restart"] = SQL["route_arrival_delay"]
+SQL["stream_snapshot"] = SQL["airport_popularity"]
+SQL["stream_clock"] = SQL["airport_popularity"]
+
+# The replay publishes its rows in three micro-batches.
+SQL["stream_batch_sizes"] = _BASE + """
+SELECT CAST(3 AS BIGINT) AS num_batches, CAST(count(*) AS BIGINT) AS input_rows, CAST(2 AS BIGINT) AS last_batch FROM clean"""
+SQL["stream_bad_delays"] = _BASE + """
+SELECT CAST(count(*) FILTER (WHERE "ArrDelay_bad") AS BIGINT) AS bad_arr_delay,
+       CAST(count(*) FILTER (WHERE "DepDelay_bad") AS BIGINT) AS bad_dep_delay FROM flights"""
+
+SQL["rank_frequency_fit"] = _BASE + ",\n" + _RANKED + """
+SELECT round(regr_slope(ln(num_flights), ln(rank)), 9) AS slope, round(regr_intercept(ln(num_flights), ln(rank)), 9) AS intercept,
+       round(regr_r2(ln(num_flights), ln(rank)), 9) AS r2, CAST(count(*) AS BIGINT) AS num_points
+FROM rf"""
+
+# Damaged inputs: cancelled flights have a field too many, diverted ones one too few; layout b holds the odd months.
+_LINE = "concat_ws(',', " + ", ".join(f"coalesce(\"{c}\", '_')" for c in _COLS) + ")"
+_SHORT = "concat_ws(',', " + ", ".join(f"coalesce(\"{c}\", '_')" for c in _COLS[:-1]) + ")"
+_DAMAGED = "(\"Cancelled\" = '1' OR \"Diverted\" = '1')"
+SQL["stream_rejects"] = _BASE + f"""
+SELECT CASE WHEN "Cancelled" = '1' THEN {_LINE} || ',more' ELSE {_SHORT} END AS record, 'wrong number of fields' AS reason
+FROM clean WHERE {_DAMAGED}"""
+SQL["stream_ingest"] = _BASE + """
+SELECT * FROM flights WHERE "Cancelled" <> 1 AND "Diverted" <> 1"""
+SQL["raw_csv_rejects"] = _BASE + f"""
+SELECT CASE WHEN CAST("Month" AS INTEGER) % 2 = 1 THEN 'b' ELSE 'a' END AS layout,
+       CASE WHEN {_DAMAGED} THEN 'wrong number of fields' ELSE 'accepted' END AS reason, CAST(count(*) AS BIGINT) AS num_records
+FROM clean GROUP BY 1, 2"""
+# the second member (odd months) of every archive is damaged and rejected whole
+SQL["archive_rejects"] = _BASE + """
+SELECT 'On_Time_a.csv' AS member, CAST(count(*) AS BIGINT) AS num_rows, FALSE AS has_rejects FROM clean WHERE CAST("Month" AS INTEGER) % 2 = 0
+UNION ALL
+SELECT DISTINCT 'On_Time_b.csv', CAST(0 AS BIGINT), TRUE FROM clean"""

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 MARKERS = "_batches"
 BASE = "_base"
@@ -85,6 +85,15 @@ def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None,
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
 
 
+def read_all(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of every finished batch of an append-mode table, with ``batch_id``."""
+    done = committed_batches(spark, path)
+    if done.limit(1).count() == 0:
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("batch_id", LongType())]))
+    stored = spark.read.option("basePath", path).schema(schema).parquet(f"{path}/batch_id=*")
+    return stored.withColumn("batch_id", F.col("batch_id").cast("long")).join(done, "batch_id", "left_semi")
+
+
 def latest_base(spark: SparkSession, path: str) -> int | None:
     """Highest finished base of an update-mode table, or None."""
     try:
@@ -161,15 +170,6 @@ def delete_path(path: str) -> None:
         filesystem.delete_dir(p)
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], out: str) -> None:
-    """Fold an update-mode table into one batch at ``out`` (same latest-per-key rows)."""
-    done = committed_batches(spark, path)
-    last = done.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return
-    upsert_batch(read_latest(spark, path, keys), int(last), out)
-
-
 def snapshot_batch(df: DataFrame, batch_id: int, prefix: str) -> None:
     """Full state of the batch as CSV text under ``prefix/batch_id=N``."""
     (
@@ -178,3 +178,20 @@ def snapshot_batch(df: DataFrame, batch_id: int, prefix: str) -> None:
         .option("nullValue", "_")
         .csv(f"{prefix}/batch_id={batch_id}")
     )
+
+
+def newest_snapshot(spark: SparkSession, prefix: str) -> int | None:
+    """Batch id of the newest whole snapshot; one cut short has no success marker."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{prefix}/batch_id=*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    ids = [int(f.getPath().getParent().getName().partition("=")[2]) for f in found or []]
+    return max(ids, default=None)
+
+
+def read_snapshot(spark: SparkSession, prefix: str, schema: StructType) -> DataFrame:
+    """The newest whole text snapshot below ``prefix``, empty if there is none."""
+    last = newest_snapshot(spark, prefix)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("header", True).option("nullValue", "_")
+            .option("mode", "FAILFAST").csv(f"{prefix}/batch_id={last}"))

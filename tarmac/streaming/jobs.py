@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.functions.cleaning import valid_delay
+from tarmac.functions.cleaning import bad_flag_name, valid_delay
 from tarmac.functions.flight import NOON, airport_endpoints, dep_hour, flight_date, padded_dep_time
 from tarmac.operators.best import BEST_FLIGHT_YEAR
 from tarmac.operators.metrics import mean_of
 from tarmac.operators.ranking import TOP_N, rank_within_airport
+from tarmac.schema import DELAY_COLUMNS
 from tarmac.sinks.tables import compact_in_place, expire_batches, snapshot_batch, upsert_batch
+from tarmac.streaming.source import accepted, parse_records, rejected
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -31,7 +33,7 @@ class StreamJob:
     """A streaming aggregate plus how its batches become table rows."""
 
     frame: DataFrame
-    mode: str  # "complete" or "update"
+    mode: str  # "complete", "update", or "append" (every batch stays)
     keys: list[str]
     post: Callable[[DataFrame], DataFrame] = lambda df: df
     large_state: bool = False
@@ -176,6 +178,38 @@ def stream_best_flights(src: DataFrame, year: int | None = BEST_FLIGHT_YEAR) ->
     return StreamJob(agg, "update", BEST_KEYS, large_state=True)
 
 
+def stream_bad_delays(src: DataFrame) -> StreamJob:
+    """Unparseable delays counted per batch, one row each; a replayed batch rewrites its own row.
+
+    The counts do not depend on progress reports, which Spark keeps for the
+    newest batches only and which a lost driver takes along.
+    """
+    flags = [bad_flag_name(c) for c in DELAY_COLUMNS]
+    return StreamJob(src.select(*flags), "append", [], post=lambda b: b.agg(
+        F.count_if("ArrDelay_bad").alias("bad_arr_delay"), F.count_if("DepDelay_bad").alias("bad_dep_delay")))
+
+
+@dataclass
+class IngestJob(StreamJob):
+    """Topic lines parsed once per batch into two keyed tables: flights (``rows``) and rejected lines (``rejects``)."""
+
+    def write_batch(self, path: str) -> Callable[[DataFrame, int], None]:
+        def run(batch: DataFrame, batch_id: int) -> None:
+            records = batch.persist()
+            try:
+                upsert_batch(rejected(records), batch_id, f"{path}/rejects")
+                upsert_batch(accepted(records), batch_id, f"{path}/rows")
+            finally:
+                records.unpersist()
+
+        return run
+
+
+def stream_ingest(lines: DataFrame) -> IngestJob:
+    """O4 + O11: every line of the topic ends up in one of two tables, none is lost without a trace."""
+    return IngestJob(parse_records(lines), "append", [])
+
+
 JOBS = {
     "stream_popularity": stream_popularity,
     "stream_carrier_delay": stream_carrier_delay,

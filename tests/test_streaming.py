@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from tarmac.operators.best import best_flights
 from tarmac.operators.metrics import airport_popularity
 from tarmac.sinks.files import publish
-from tarmac.sinks.tables import compact, read_latest, snapshot_batch, upsert_batch
+from tarmac.sinks.tables import compact_in_place, read_latest, snapshot_batch, upsert_batch
 from tarmac.sources.fixture import clean_flights, flights
 from tarmac.streaming.jobs import stream_best_flights, stream_popularity
 from tarmac.streaming.progress import observe_bad_delays, progress
@@ -62,8 +62,9 @@ def test_later_better_flight_replaces_and_compact(spark, tmp):
     upsert_batch(b1, 1, f"{tmp}/t")
     got = read_latest(spark, f"{tmp}/t", keys).collect()
     assert [(r["carrier"], r["arr_delay"]) for r in got] == [("ZZ", 3)]
-    compact(spark, f"{tmp}/t", keys, f"{tmp}/c")
-    assert rows(read_latest(spark, f"{tmp}/c", keys)) == rows(read_latest(spark, f"{tmp}/t", keys))
+    before = rows(read_latest(spark, f"{tmp}/t", keys))
+    compact_in_place(spark, f"{tmp}/t", keys)
+    assert rows(read_latest(spark, f"{tmp}/t", keys)) == before
 
 
 def test_uncommitted_batch_is_invisible(spark, tmp):
