@@ -18,8 +18,6 @@ A worker keeps the ids of at most ``CACHE_PIECES`` matches.
 from __future__ import annotations
 
 import base64
-import sys
-import types
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -29,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tarmac.llm.common import table
+from tarmac.llm.common import kept_by_worker, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 CACHE_PIECES = 300_000
@@ -96,7 +94,8 @@ class Vocabulary:
                 self._two[int.from_bytes(t, "big")] = True
             for k in range(len(t) - 2):
                 self._three[int.from_bytes(t[k:k + 3], "big")] = True
-        self.cache: dict[str, list[int]] = {}
+        self.whole = {t: r.to_bytes(4, "little") for t, r in self.ranks.items()}
+        self.cache: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
         self._once: list[str] = []
 
     # -- matches to ids
@@ -111,22 +110,26 @@ class Vocabulary:
             across[1:] |= three
         return across
 
-    def merge_rows(self, ids: np.ndarray) -> list[np.ndarray]:
-        """Merged ids of every row of a padded matrix."""
-        out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(ids)
+    def merge_rows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merged ids of the rows of a padded matrix, one row after the other, and how many each has."""
+        rows, sizes, flat = [], [], []
         row = np.arange(len(ids))
         ranks = self.pair(ids[:, :-1], ids[:, 1:])
         while len(ids):
-            at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(ids), dtype=np.int64)
-            least = ranks[np.arange(len(ids)), at] if ranks.shape[1] else np.full(len(ids), PAD)
+            n, width = ids.shape
+            at = ranks.argmin(axis=1) if width > 1 else np.zeros(n, dtype=np.int64)
+            least = ranks[np.arange(n), at] if width > 1 else np.full(n, PAD)
             over = least == PAD
             if over.any():
-                for r, done in zip(row[over].tolist(), ids[over]):
-                    out[r] = done[done != PAD]
+                done = ids[over]
+                real = done != PAD
+                rows.append(row[over])
+                sizes.append(real.sum(axis=1))
+                flat.append(done[real])
                 ids, ranks, row, at, least = ids[~over], ranks[~over], row[~over], at[~over], least[~over]
-                if not len(ids):
+                n = len(ids)
+                if not n:
                     break
-            n, width = ids.shape
             each = np.arange(n)
             keep = np.ones((n, width), dtype=bool)
             keep[each, at + 1] = False
@@ -138,7 +141,12 @@ class Vocabulary:
             left, right = at > 0, at < width - 2
             ranks[each[left], at[left] - 1] = self.pair(ids[each[left], at[left] - 1], ids[each[left], at[left]])
             ranks[each[right], at[right]] = self.pair(ids[each[right], at[right]], ids[each[right], at[right] + 1])
-        return out
+        row, size = np.concatenate(rows), np.concatenate(sizes)
+        back = np.argsort(row)
+        starts = (np.cumsum(size) - size)[back]
+        size = size[back]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return np.concatenate(flat)[np.repeat(starts, size) + place], size
 
     def merge_long(self, ids: np.ndarray) -> np.ndarray:
         """Merged ids of one long row: all pairs of least rank in a round, as far as that equals single merges."""
@@ -171,14 +179,14 @@ class Vocabulary:
             ranks[first] = self.pair(ids[first], ids[first + 1])
         return ranks
 
-    def merged(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of every match."""
-        out: list[list[int]] = [[]] * len(pieces)
+    def merged(self, pieces: list[bytes], whole: bool = True) -> list[bytes]:
+        """Ids of every match, as little-endian 32-bit integers; with ``whole`` a match that is a token stands for itself."""
+        out = [b""] * len(pieces)
         buckets: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
-            rank = self.ranks.get(p)
-            if rank is not None:
-                out[i] = [rank]
+            token = self.whole.get(p) if whole else None
+            if token is not None:
+                out[i] = token
             elif len(p) > LONG_BYTES:
                 out[i] = self._long(p)
             elif p:
@@ -191,26 +199,24 @@ class Vocabulary:
                 ids = np.full((len(part), int(lengths.max())), PAD, dtype=np.int64)
                 raw = np.frombuffer(b"".join([pieces[i] for i in part]), dtype=np.uint8)
                 ids[np.arange(ids.shape[1]) < lengths[:, None]] = self.single[raw]
-                for i, done in zip(part, self.merge_rows(ids)):
-                    out[i] = done.tolist()
+                flat, size = self.merge_rows(ids)
+                data, end = flat.astype("<i4").tobytes(), 0
+                for i, k in zip(part, (4 * size).tolist()):
+                    out[i] = data[end:end + k]
+                    end += k
         return out
 
-    def _long(self, piece: bytes) -> list[int]:
+    def _long(self, piece: bytes) -> bytes:
         raw = np.frombuffer(piece, dtype=np.uint8)
         ends = np.concatenate([np.flatnonzero(~self._spanned(raw)) + 1, [len(raw)]]).tolist()
         parts, lo = [], 0
         for hi in ends:
             parts.append((lo, hi))
             lo = hi
-        whole = [self.merge_long(self.single[raw[a:b]]).tolist() if b - a > LONG_BYTES else None for a, b in parts]
-        short = iter(self._parts([piece[a:b] for (a, b), w in zip(parts, whole) if w is None]))
-        return list(chain.from_iterable(next(short) if w is None else w for w in whole))
-
-    def _parts(self, parts: list[bytes]) -> list[list[int]]:
-        """As ``merged``: a part that is a token is reached by merges, too, as whatever it is made of is ranked."""
-        distinct = list(dict.fromkeys(parts))
-        ids = dict(zip(distinct, self.merged(distinct)))
-        return [ids[p] for p in parts]
+        distinct = list(dict.fromkeys(piece[a:b] for a, b in parts if b - a <= LONG_BYTES))
+        short = dict(zip(distinct, self.merged(distinct, whole=False)))
+        return b"".join(short[piece[a:b]] if b - a <= LONG_BYTES else self.merge_long(self.single[raw[a:b]]).astype("<i4").tobytes()
+                        for a, b in parts)
 
     # -- texts
 
@@ -232,7 +238,7 @@ class Vocabulary:
         for group in _groups(texts):
             short = [pattern.findall(t) if len(t) <= SLICE_PIECES else None for t in group]
             self.learn(set(chain.from_iterable(p for p in short if p)))
-            done = [None if p is None else np.fromiter(chain.from_iterable(map(self.cache.__getitem__, p)), dtype=np.int32) for p in short]
+            done = [None if p is None else np.frombuffer(b"".join(map(self.cache.__getitem__, p)), dtype="<i4") for p in short]
             self.trim()
             for text, ids in zip(group, done):
                 yield self._encode_long(text, pattern) if ids is None else ids
@@ -241,7 +247,7 @@ class Vocabulary:
         found, out = (m.group() for m in pattern.finditer(text)), []
         while pieces := list(islice(found, SLICE_PIECES)):
             self.learn(set(pieces))
-            out.append(np.fromiter(chain.from_iterable(map(self.cache.__getitem__, pieces)), dtype=np.int32))
+            out.append(np.frombuffer(b"".join(map(self.cache.__getitem__, pieces)), dtype="<i4"))
             self.trim()
         return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
 
@@ -269,11 +275,8 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
 
 
 def vocabulary(path: str) -> Vocabulary:
-    """The worker's tables of a rank file; task code is shipped by value, so they are kept in ``sys.modules``."""
-    kept = sys.modules.setdefault("_byte_vocabularies", types.ModuleType("_byte_vocabularies")).__dict__
-    if path not in kept:
-        kept[path] = Vocabulary(path)
-    return kept[path]
+    """The worker's tables of a rank file."""
+    return kept_by_worker(f"bytes {path}", lambda: Vocabulary(path))
 
 
 def _place(path: str | None) -> str:
