@@ -20,9 +20,11 @@ task holds one block of each, whatever the table's size.
 
 Defined results: null vectors and vectors with null or non-finite components
 take no part; vectors meet only vectors of equal length; rows repeating a
-vec_id count once (the smallest vector of that id); every row with the
-query's own vec_id is no candidate of it; null ids take no part; fewer than k
-candidates give all of them; empty tables give no rows.
+vec_id are rows like any other, and only a query's own row is no candidate of
+it; equal rows are stored once with their number, of which at most k + 1 are
+looked at, and a query row that occurs several times is answered as often;
+null ids take no part; fewer than k candidates give all of them; empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -40,10 +42,10 @@ from tarmac.llm.common import stored, table
 SCALE = 256
 K = 5
 BLOCK_ROWS = 8192
-BLOCK_QUERIES = 128
+QUERY_BYTES = 1 << 21  # of the queries' components in one block
 
 INDEX = "dim int, block int, rows int, bits int, low long, ids binary, slices binary"
-HITS = "query_id long, vec_id long, score long"
+HITS = "query long, query_id long, vec_id long, score long"
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -134,19 +136,26 @@ def top_rows(score: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndarray
     return np.concatenate([_set_bits(sure), _set_bits(maybe, k - n_sure)])
 
 
-def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, slices: np.ndarray,
+def _value(score: list[np.ndarray], at: int) -> int:
+    return sum(int(s[at >> 6] >> np.uint64(at & 63) & np.uint64(1)) << w for w, s in enumerate(score))
+
+
+def search_block(query_ids: np.ndarray, queries: np.ndarray, inside: np.ndarray, ids: np.ndarray, slices: np.ndarray,
                  low: int, k: int) -> Iterator[tuple[int, int, int]]:
+    """(number of the query, id, score) of the best rows of a block; ``inside`` tells which queries are rows of it."""
     everyone = _pack(np.ones(len(ids), dtype=bool))
-    for qid, q in zip(query_ids.tolist(), queries):
+    for i, (qid, q, own) in enumerate(zip(query_ids.tolist(), queries, inside.tolist())):
         allowed = everyone
-        own = np.searchsorted(ids, qid)
-        if own < len(ids) and ids[own] == qid:
-            allowed = everyone.copy()
-            allowed[own >> 6] &= ~np.uint64(1 << (int(own) & 63))
         score, const = score_slices(q, slices, low)
+        if own:  # one of the rows with the query's id and its score by itself is the query
+            self_score = sum(v * v for v in q.tolist()) - const
+            for at in range(*np.searchsorted(ids, [qid, qid + 1]).tolist()):
+                if _value(score, at) == self_score:
+                    allowed = everyone.copy()
+                    allowed[at >> 6] &= ~np.uint64(1 << (at & 63))
+                    break
         for at in top_rows(score, allowed, k).tolist():
-            value = sum(int(s[at >> 6] >> np.uint64(at & 63) & np.uint64(1)) << w for w, s in enumerate(score))
-            yield qid, int(ids[at]), value + const
+            yield i, int(ids[at]), _value(score, at) + const
 
 
 def _search(k: int):
@@ -154,52 +163,62 @@ def _search(k: int):
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 slices = np.frombuffer(r.slices, dtype="<u8").reshape(r.dim, r.bits, -(-r.rows // 64))
-                qids = np.frombuffer(r.query_ids, dtype="<i8")
-                hits = search_block(qids, np.frombuffer(r.queries, dtype="<i8").reshape(len(qids), r.dim),
+                keys, qids = np.frombuffer(r.keys, dtype="<i8"), np.frombuffer(r.query_ids, dtype="<i8")
+                inside = np.frombuffer(r.own, dtype="<i8") == r.block
+                hits = search_block(qids, np.frombuffer(r.queries, dtype="<i8").reshape(len(qids), r.dim), inside,
                                     np.frombuffer(r.ids, dtype="<i8"), slices, int(r.low), k)
-                yield pd.DataFrame(list(hits), columns=["query_id", "vec_id", "score"])
+                yield pd.DataFrame([(int(keys[i]), int(qids[i]), at, s) for i, at, s in hits],
+                                   columns=["query", "query_id", "vec_id", "score"])
 
     return run
 
 
+ASKED = "dim int, qblock int, keys binary, query_ids binary, own binary, queries binary"
+
+
 def _query_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("id")
     dim = int(pdf["dim"].iloc[0])
-    return pd.DataFrame([(dim, int(pdf["qblock"].iloc[0]), pdf["id"].to_numpy("<i8").tobytes(),
-                          np.array(pdf["q"].tolist(), dtype="<i8").reshape(len(pdf), dim).tobytes())],
-                        columns=["dim", "qblock", "query_ids", "queries"])
+    numbers = [pdf[c].to_numpy("<i8").tobytes() for c in ("key", "id", "block")]
+    return pd.DataFrame([(dim, int(pdf["qblock"].iloc[0]), *numbers, np.array(pdf["q"].tolist(), dtype="<i8").reshape(len(pdf), dim).tobytes())],
+                        columns=["dim", "qblock", "keys", "query_ids", "own", "queries"])
 
 
 def quantise(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """(id, q array<long>, dim) of the valid vectors, one row per id."""
+    """(id, q array<long>, dim, n, key) of the valid vectors, equal rows counted."""
     x = F.transform(vec_col, lambda v: v.cast("double"))
     ok = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return (
         vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).filter(ok)
         .select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("q"))
-        .groupBy("id").agg(F.min("q").alias("q")).withColumn("dim", F.size("q"))
+        .groupBy("id", "q").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("dim", F.size("q")).withColumn("key", F.xxhash64("id", "q"))
     )
 
 
 def topk(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
-         block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+         block_rows: int = BLOCK_ROWS, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """Rows (query_id, rank, vec_id, score); ``is_query`` is a column expression on ``id``."""
     spark = vectors.sparkSession
     q = stored(quantise(vectors, id_col, vec_col), "bsi-rows")
-    n, nq = q.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    blocks, qblocks = max(1, -(-n // block_rows)), max(1, -(-nq // block_queries))
-    lane = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
-    index = (q.withColumn("block", lane(blocks)).groupBy("dim", "block")
-             .applyInPandas(build_block, INDEX))
-    asked = (q.filter(is_query).withColumn("qblock", lane(qblocks)).groupBy("dim", "qblock")
-             .applyInPandas(_query_block, "dim int, qblock int, query_ids binary, queries binary"))
+    n, nq, size = q.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.sum(F.when(is_query, 8 * F.col("dim")))).first()
+    blocks = max(1, -(-n // block_rows))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as few query blocks as memory allows, as the index is sent to each; a small index is not left to a few tasks
+    qblocks = max(1, -(-(size or 0) // query_bytes), min(-(-partitions // blocks), nq))
+    q = q.withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k + 1)).cast("int")))
+    index = q.withColumn("copy", copies).select("dim", "block", "id", "q").groupBy("dim", "block").applyInPandas(build_block, INDEX)
+    asked = (q.filter(is_query).withColumn("qblock", F.pmod(F.xxhash64("key"), F.lit(qblocks)).cast("int"))
+             .select("dim", "qblock", "key", "id", "block", "q").groupBy("dim", "qblock").applyInPandas(_query_block, ASKED))
     index = stored(index, "bsi-index")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks * qblocks, 20_000))
+    tasks = max(partitions, min(blocks * qblocks, 20_000))
     left = index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1)))).repartition(tasks, "dim", "block", "qblock")
     right = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(tasks, "dim", "block", "qblock")
     hits = left.join(right, ["dim", "block", "qblock"]).mapInPandas(_search(k), HITS)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    w = Window.partitionBy("query", "query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    asked_often = q.filter(is_query).select(F.col("key").alias("query"), F.col("id").alias("query_id"), "n")
+    return (ranked.join(asked_often, ["query", "query_id"]).withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
             .select("query_id", "rank", "vec_id", "score"))
 
 
@@ -209,14 +228,17 @@ def op2_bsi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  SELECT *, row_number() OVER (ORDER BY vec_id, q) AS r
+  FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+  SELECT a.r AS ar, a.vec_id AS query_id, b.r AS br, b.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, br) AS rank FROM s) WHERE rank <= 5
 """

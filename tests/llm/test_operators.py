@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from conftest import SF_SMALL
@@ -115,16 +116,12 @@ def test_repeats_stage_counts_words(spark):
 
 
 def _brute_topk(rows, k, is_query):
-    q = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        z = tuple(int(np.floor(256 * float(np.float32(x)))) for x in v)
-        q[i] = min(q.get(i, z), z)
+    kept = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for a, x in q.items():
+    for at, (a, x) in enumerate(kept):
         if is_query(a):
-            s = sorted((-sum(m * n for m, n in zip(x, y)), b) for b, y in q.items() if b != a and len(y) == len(x))[:k]
+            s = sorted((-sum(m * n for m, n in zip(x, y)), b) for j, (b, y) in enumerate(kept) if j != at and len(y) == len(x))[:k]
             out += [(a, r + 1, b, -v) for r, (v, b) in enumerate(s)]
     return sorted(out)
 
@@ -132,12 +129,16 @@ def _brute_topk(rows, k, is_query):
 def test_topk_equals_brute_force_with_ties_nulls_and_repeats(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, 6)]) for i in range(300)]
-    rows += [(1000 + i, rows[3][1]) for i in range(40)] + [rows[5], rows[5]]
+    rows += [(1000 + i, rows[3][1]) for i in range(40)] + [rows[5], rows[5], rows[10], (20, rows[7][1]), (20, rows[8][1]), (21, rows[8][1])]
+    rows += [(30, [-x for x in rows[30][1]])] + [(40, rows[41][1])] * 30
     rows += [(2000, None), (2001, [float("nan")] * 6), (2002, [None] + [0.1] * 5), (2003, [float("inf")] * 6),
              (None, [0.1] * 6), (2010, [0.5, 0.5]), (2020, [0.5, -0.5]), (2030, []), (2040, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = bsi_topk.topk(df, F.col("id") % 10 == 0, 5, block_rows=64, block_queries=8)
+    got = bsi_topk.topk(df, F.col("id") % 10 == 0, 5, block_rows=64, query_bytes=400)
     assert sorted(tuple(r) for r in got.collect()) == _brute_topk(rows, 5, lambda i: i % 10 == 0)
+    duckdb.sql("CREATE OR REPLACE TEMP TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    duckdb.default_connection().executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert sorted(duckdb.sql(bsi_topk.SQL).fetchall()) == _brute_topk(rows, 5, lambda i: i % 50 == 0)
     assert bsi_topk.topk(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
@@ -456,3 +457,41 @@ def test_cut_texts_keep_nulls_and_lengths(docs):
     assert out.columns.tolist() == docs.columns and out["text"].isna().sum() == 2
     one = out[out["doc_id"] == 1].iloc[0]
     assert one["text"] == "" and one["n_chars"] == 0
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    """Extra columns with every name that the stages use inside come through unchanged."""
+    import corpus_pipeline
+
+    names = ["_text", "text2", "_key", "_hash", "key", "hash", "h", "_h", "_id", "id", "_md5", "md5", "_spans", "spans", "_n_bytes", "n_bytes",
+             "n_removed", "_kept_text", "kept_text", "th", "_th", "_th2", "th2", "row", "flag", "_flag", "_p0", "p0", "p1", "n_words", "a.b", "contaminated"]
+    rows = [(i, t, "en", "s", len(t) if t else None, *[f"{c}{i}" for c in names]) for i, t, *_ in edge_rows()]
+    columns = ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *[f"`{c}` string" for c in names]])
+    docs = spark.createDataFrame(rows, columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got, name
+        for r in got:
+            assert list(r)[5:] == [f"{c}{r['doc_id']}" for c in names], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() >= len(rows)
+
+
+def test_a_family_just_under_the_threshold_is_searched_in_steps():
+    """Sizes of the steps are bounded, and no pair that links is lost in them."""
+    rng = np.random.default_rng(5)
+    rule = jaccard_tree.Rule()
+    common = rng.integers(0, 1 << 62, 200, dtype=np.int64).astype(np.uint64)
+    sets = [np.unique(np.concatenate([common[: 180 + i % 21], rng.integers(0, 1 << 62, 12, dtype=np.int64).astype(np.uint64)])) for i in range(700)]
+    sets.sort(key=len)
+    n = np.array([len(s) for s in sets])
+    bits = np.stack([jaccard_tree.bitmap(s, rule.bits) for s in sets]).view("<u8")
+    steps = list(rule.traverse(n, bits, np.arange(len(n))))
+    assert max(len(a) for a, _ in steps) <= jaccard_tree.STEP
+    found = {(int(x), int(y)) for a, b in steps for x, y in zip(a, b)}
+    for i in range(0, 700, 7):
+        for j in range(i + 1, 700, 5):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * shared >= 85 * (len(sets[i]) + len(sets[j]) - shared):
+                assert (i, j) in found
