@@ -197,3 +197,41 @@ def test_replayed_batch_below_base_changes_nothing(spark, tmp):
     upsert_batch(b1, 1, f"{tmp}/t")  # replay of the last batch after compaction
     assert rows(read_latest(spark, f"{tmp}/t", keys)) == before
     assert len(before) == 2
+
+
+def test_manifest_names_what_is_finished_and_readers_list_no_other_folder(spark, tmp):
+    from tarmac.sinks.tables import Manifest, _write_manifest, read_manifest
+
+    m = Manifest()
+    for b in [3, 0, 1, 9, 2, 1]:
+        m.add(b)
+    assert m.ranges == [[0, 3], [9, 9]] and m.newest == 9 and m.after(2) == [3, 9]
+    m.drop_below(2)
+    assert m.ranges == [[2, 3], [9, 9]]
+
+    schema = "k string, v long"
+    upsert_batch(spark.createDataFrame([("a", 1), ("b", 1)], schema), 10_000, f"{tmp}/t")
+    _write_manifest(spark, f"{tmp}/t", Manifest([[0, 10_000]]))  # ten thousand batches; only the newest has a folder
+    assert rows(read_latest(spark, f"{tmp}/t")) == rows(spark.createDataFrame([("a", 1), ("b", 1)], schema))
+    assert os.path.getsize(f"{tmp}/t/_manifest") < 100
+    _write_manifest(spark, f"{tmp}/t", Manifest([[0, 10_000]], base=9_999))  # update mode: the base and one batch
+    spark.createDataFrame([("b", 0), ("c", 0)], schema).write.parquet(f"{tmp}/t/_base/upto=9999")
+    assert sorted(map(tuple, read_latest(spark, f"{tmp}/t", ["k"]).collect())) == [("a", 1), ("b", 1), ("c", 0)]
+    assert compact_in_place(spark, f"{tmp}/t", ["k"]) == 10_000
+    assert read_manifest(spark, f"{tmp}/t") == Manifest([[10_000, 10_000]], base=10_000)
+    assert sorted(os.listdir(f"{tmp}/t/_base"))[-1] == "upto=10000" and len(os.listdir(f"{tmp}/t/_base")) == 1
+    assert len(read_latest(spark, f"{tmp}/t", ["k"]).collect()) == 3
+
+
+def test_folder_that_no_manifest_names_is_not_read_and_is_swept(spark, tmp):
+    from tarmac.sinks.tables import expire_batches, read_all
+
+    df = spark.createDataFrame([("a", 1)], "k string, v long")
+    for b in range(4):
+        upsert_batch(df.withColumn("v", df.v + b), b, f"{tmp}/t")
+    df.write.parquet(f"{tmp}/t/batch_id=7")  # a driver lost before the manifest
+    assert read_latest(spark, f"{tmp}/t").first()["v"] == 4
+    assert sorted(r["batch_id"] for r in read_all(spark, f"{tmp}/t", df.schema).collect()) == [0, 1, 2, 3]
+    assert expire_batches(spark, f"{tmp}/t", keep=2) == [0, 1]
+    assert sorted(d for d in os.listdir(f"{tmp}/t") if d.startswith("batch_id=")) == ["batch_id=2", "batch_id=3", "batch_id=7"]
+    assert read_latest(spark, f"{tmp}/t").first()["v"] == 4
