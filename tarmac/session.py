@@ -65,3 +65,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tarmac/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system named: a bare path means the cluster's default one, not a task's own disk."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()

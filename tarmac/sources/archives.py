@@ -7,7 +7,9 @@ tasks.  Each task decompresses its members in bounded chunks, as bytes, to
 one plain file each in the staging folder (shared storage).  A file gets its
 final name only when the whole member has been read and its checksum agrees,
 so a member is there whole or is a reject, and a retried task writes the same
-file again.  The staged files are then ordinary raw CSV files (O2).
+file again.  Members with the same header line share a folder, so the staged
+files are read as one folder per layout and the driver sees the distinct
+headers, not the files.
 
 Damage inside an archive (bad structure, checksum, compressed data, an
 encrypted or unknown kind of member) makes a reject row.  Input and output
@@ -27,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA
-from tarmac.session import scratch_path
-from tarmac.sources.files import MissingColumnError, _local, ingest_raw
+from tarmac.session import qualified, scratch_path
+from tarmac.sources.files import _local, read_first_line, records_by_layout, split_records
 
 MEMBER_SCHEMA = "archive string, member string, error string"
-STAGED_SCHEMA = "archive string, member string, id string, error string"
+STAGED_SCHEMA = "archive string, member string, id string, header string, error string"
 CHUNK_BYTES = 1 << 20
 DAMAGE = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
@@ -64,20 +66,24 @@ def member_id(archive: str, member: str) -> str:
     return hashlib.sha256(f"{archive}\0{member}".encode()).hexdigest()
 
 
-def _copy_member(archive: str, member: str, staging: str, name: str) -> None:
-    """Unpack a member to ``staging/name.csv``; the file appears only when it is whole."""
+def layout_folder(header: str) -> str:
+    return "layout-" + hashlib.sha256(header.encode()).hexdigest()
+
+
+def _copy_member(archive: str, member: str, staging: str, name: str) -> str:
+    """Unpack a member to ``name.csv`` in its layout's folder; the file appears only when it is whole.  Its header line."""
     hidden = f"_{name}-{uuid.uuid4().hex}"  # readers skip names that begin so
     local = _local(staging)
     if local is not None:
         os.makedirs(local, exist_ok=True)
-        move, drop, out = os.replace, os.remove, lambda p: open(p, "wb")
+        folder, move, drop, out = lambda p: os.makedirs(p, exist_ok=True), os.replace, os.remove, lambda p: open(p, "wb")
         root = local
     else:
         from pyarrow import fs as pafs
 
         filesystem, root = pafs.FileSystem.from_uri(staging)
         filesystem.create_dir(root)
-        move, drop, out = filesystem.move, filesystem.delete_file, filesystem.open_output_stream
+        folder, move, drop, out = filesystem.create_dir, filesystem.move, filesystem.delete_file, filesystem.open_output_stream
     try:
         with open_random_access(archive) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw, \
                 out(f"{root}/{hidden}") as to:
@@ -86,7 +92,10 @@ def _copy_member(archive: str, member: str, staging: str, name: str) -> None:
     except DAMAGE:
         drop(f"{root}/{hidden}")
         raise
-    move(f"{root}/{hidden}", f"{root}/{name}.csv")
+    header = read_first_line(f"{staging}/{hidden}")
+    folder(f"{root}/{layout_folder(header)}")
+    move(f"{root}/{hidden}", f"{root}/{layout_folder(header)}/{name}.csv")
+    return header
 
 
 def _stage(staging: str):
@@ -94,14 +103,14 @@ def _stage(staging: str):
         for pdf in batches:
             out = []
             for archive, member, error in zip(pdf["archive"], pdf["member"], pdf["error"]):
-                name = None if error is not None else member_id(archive, member)
+                name, header = None if error is not None else member_id(archive, member), None
                 if name is not None:
                     try:
-                        _copy_member(archive, member, staging, name)
+                        header = _copy_member(archive, member, staging, name)
                     except DAMAGE as e:
                         error = f"{type(e).__name__}: {e}"
-                out.append((archive, member, name, error))
-            yield pd.DataFrame(out, columns=["archive", "member", "id", "error"])
+                out.append((archive, member, name, header, error))
+            yield pd.DataFrame(out, columns=["archive", "member", "id", "header", "error"])
 
     return run
 
@@ -121,7 +130,7 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
 def stage_archives(spark: SparkSession, path: str, staging: str | None = None,
                    members_per_task: int = 1) -> tuple[str, DataFrame]:
     """Unpack every ``*.zip`` below ``path`` (any depth); (folder of plain files, manifest of members and rejects)."""
-    staging = staging or scratch_path(spark, "unpacked")
+    staging = qualified(spark, staging or scratch_path(spark, "unpacked"))
     listed = scratch_path(spark, "members")
     list_members(spark, path).write.parquet(listed)
     members = spark.read.schema(MEMBER_SCHEMA).parquet(listed)
@@ -154,11 +163,11 @@ def read_archives(spark: SparkSession, path: str, staging: str | None = None, wi
         name = F.regexp_extract("source_file", r"([0-9a-f]{64})\.csv$", 1)
         return df.withColumn("id", name).join(whole, "id").drop("id", "source_file")
 
-    try:
-        rows, records = ingest_raw(spark, files, strict=strict, with_source=with_source, multi_line=multi_line)
-    except MissingColumnError as e:
-        r = whole.filter(F.lit(str(e)).contains(F.col("id"))).first()
-        raise MissingColumnError(f"{e} ({r['archive']}:{r['member']})") from e
+    layouts = (manifest.filter("error IS NULL").groupBy("header")
+               .agg(F.min(F.concat_ws(":", "archive", "member")).alias("example")).orderBy("header").collect())
+    records = records_by_layout(
+        spark, [(r["header"], r["example"], [f"{files}/{layout_folder(r['header'])}"]) for r in layouts], strict, multi_line)
+    rows, records = split_records(records, with_source)
     if with_source:
         rows = with_member(rows).select(*CLEAN_COLUMNS, "archive", "member")
     wrong = with_member(records).select(

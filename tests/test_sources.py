@@ -202,3 +202,46 @@ def test_topic_blank_and_short_lines_give_no_flight(spark):
     good = ",".join(R1[c] for c in CLEAN_COLUMNS)
     lines = spark.createDataFrame([(x,) for x in [good, "", "  ", "1,2,3", good + ",x,y"]], "value string")
     assert parse_lines(lines).count() == 1
+
+
+def test_ten_thousand_small_files_bring_no_path_to_the_driver(spark, tmp, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    layouts = [CLEAN_COLUMNS, EXTRA + CLEAN_COLUMNS, list(reversed(CLEAN_COLUMNS))]
+    for k in range(10_000):
+        if k % 1000 == 0:
+            os.makedirs(f"{tmp}/in/{k // 1000}")
+        with open(f"{tmp}/in/{k // 1000}/f {k}.csv", "w") as f:
+            f.write(csv_text(layouts[k % 3], [dict(R1, ArrDelay=str(k))]))
+    collected = []
+    plain = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: collected.append(plain(df)) or collected[-1])
+    df = read_raw(spark, f"{tmp}/in", with_source=True)
+    assert sum(map(len, collected)) <= 1 and "f 1" not in str(collected)
+    from pyspark.sql import functions as F
+
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("ArrDelay").cast("long")).alias("s"),
+                 F.count_distinct("source_file").alias("files"), F.min("Origin").alias("o"), F.max("Origin").alias("p")).first()
+    assert tuple(got) == (10_000, 10_000 * 9_999 // 2, 10_000, "ORD", "ORD")
+
+
+def test_record_of_another_files_width_is_a_reject_of_its_own(spark, tmp):
+    narrow, wide = CLEAN_COLUMNS, EXTRA + CLEAN_COLUMNS
+    line = lambda cols: ",".join(R1[c] for c in cols)
+    open(f"{tmp}/n.csv", "w").write("﻿" + csv_text(narrow, [R1]).replace("\n", "\r\n") + line(wide) + "\r\n \t \r\n")
+    open(f"{tmp}/w.csv", "w").write(csv_text(wide, [R1]) + line(narrow) + "\n")
+    rows, rejects = ingest_raw(spark, tmp, with_source=True)
+    assert sorted((os.path.basename(r["source_file"]), r["record"]) for r in rejects.collect()) == [("n.csv", line(wide)), ("w.csv", line(narrow))]
+    assert [(r["Origin"], r["ArrDelay"]) for r in rows.collect()] == [("ORD", "7")] * 2
+
+
+def test_layouts_too_large_to_broadcast_are_joined_by_sorting(spark, tmp):
+    open(f"{tmp}/a.csv", "w").write(csv_text(CLEAN_COLUMNS, [R1]))
+    open(f"{tmp}/b.csv", "w").write(csv_text(EXTRA + CLEAN_COLUMNS, [R2]))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert sorted(r["UniqueCarrier"] for r in read_raw(spark, tmp).collect()) == ["AA", "UA"]
+    finally:
+        spark.conf.set(key, prev)
