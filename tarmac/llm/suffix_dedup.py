@@ -24,6 +24,11 @@ whatever white space lies between, words are compared by all their bytes, and
 in scripts without spaces each character is a word (``hashing.word_bounds``).
 A cut then takes the white space up to the next word along.
 
+A rule of so many bytes and one of so many words mark different texts: 51
+short words can be 101 bytes, and 400 bytes can be 30 words.  ``passage``
+therefore counts, next to the bytes removed, the words of every text that
+stand in a passage of so many words that also starts elsewhere.
+
 Texts that occur twice or more are sent as one, and covered whole if they
 hold a string at all.  Defined results: a null text is empty; texts shorter
 than ``span`` lose nothing by themselves; repeated rows are copies of each
@@ -47,6 +52,7 @@ from tarmac.llm.suffix_array import suffix_array
 from tarmac.llm.winnow import GRAM, Anchors
 
 SPAN = 400
+PASSAGE = 51  # words of a passage that op1 counts: over fifty
 WORD_GRAM = 8  # words that a fingerprint covers
 LETTER = 80  # bytes of a letter of the suffix array
 PART = 8192
@@ -331,14 +337,25 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
     return d, spans
 
 
-def _cut(docs: DataFrame, row: Column, span: int, id_col: str, text_col: str, unit: Bytes | Words, with_text: bool) -> DataFrame:
-    """(row, n_bytes, n_removed, n_spans, kept_sha256, and the kept text if asked for)."""
+def _words_in(text: str, spans: list[dict] | None) -> int:
+    """Words of a text inside its spans of words (a span of a whole text may go on)."""
+    n = len(word_bounds([text.encode()])[1]) if spans else 0
+    return sum(min(s["hi"], n) - s["lo"] for s in spans or [])
+
+
+def _cut(docs: DataFrame, row: Column, span: int, id_col: str, text_col: str, unit: Bytes | Words, with_text: bool,
+         passage: int | None = None) -> DataFrame:
+    """(row, n_bytes, n_removed, n_spans, kept_sha256, and the kept text and the words in passages if asked for)."""
     _, spans = find_spans(docs, span, id_col, text_col, unit)
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = spans.select(F.col("th").alias("th2"), "spans")
+    if passage:  # both kinds of spans come with one join
+        _, more = find_spans(docs, passage, id_col, text_col, WORDS)
+        found = found.join(more.select(F.col("th").alias("th2"), F.col("spans").alias("passages")), "th2", "full")
     full = docs.select(row.alias("row"), text.alias("text"), F.unhex(F.md5(text)).alias("th")).join(
-        found, F.col("th") == F.col("th2"), "left").select("row", "text", "spans")
-    counted = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
+        found, F.col("th") == F.col("th2"), "left").select("row", "text", "spans", *(["passages"] if passage else []))
+    counted = ("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
+               + ", n_repeated_words long" * bool(passage))
     schema = StructType([full.schema["row"], *StructType.fromDDL(counted).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,19 +375,22 @@ def _cut(docs: DataFrame, row: Column, span: int, id_col: str, text_col: str, un
                     kept_texts.append(kept.decode("utf-8", "ignore") if found else text)
             out = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()),
                    pa.array(digests, pa.string())] + [pa.array(kept_texts, pa.string())] * with_text
+            if passage:
+                out.append(pa.array([_words_in(text, found) for text, found in zip(
+                    batch.column("text").to_pylist(), batch.column("passages").to_pylist())], pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("row"), *out], names=schema.names)
 
     return full.mapInArrow(run, schema)
 
 
 def cut(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
-        keep_all: bool = False, unit: Bytes | Words = BYTES) -> DataFrame:
+        keep_all: bool = False, unit: Bytes | Words = BYTES, passage: int | None = None) -> DataFrame:
     """Per row: id (or all columns), n_bytes, n_removed, n_spans, kept_sha256; with ``keep_all`` these begin with _ and the
-    kept text follows.
+    kept text follows; with ``passage`` n_repeated_words, the words in passages of so many words that also start elsewhere.
 
     In the kept text a character that lost some of its bytes goes whole; the digest is over the kept bytes.
     """
-    out = _cut(docs, whole_row(docs) if keep_all else F.col(id_col), span, id_col, text_col, unit, keep_all)
+    out = _cut(docs, whole_row(docs) if keep_all else F.col(id_col), span, id_col, text_col, unit, keep_all, passage)
     if not keep_all:
         return out.withColumnRenamed("row", id_col)
     return out.select("row.*", *[F.col(c).alias("_" + c) for c in out.columns[1:]])
@@ -388,4 +408,5 @@ def cut_texts(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_co
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(table(spark, sf_dir, "documents"))
+    """Removal by 400 bytes; the passages of over fifty words are counted, not removed."""
+    return cut(table(spark, sf_dir, "documents"), passage=PASSAGE)

@@ -93,18 +93,22 @@ def _word_rows():
 def test_suffix_dedup_over_words_equals_brute_force(spark, span):
     words = [[(m.start(), m.group()) for m in re.finditer(f"[{UNSPACED}]|[^\\s{UNSPACED}]+", t or "")] for _, t in _word_rows()]
     seen = collections.Counter(tuple(w for _, w in x[k:k + span]) for x in words for k in range(len(x) - span + 1))
-    want = []
+    want, repeated = [], []
     for (i, t), x in zip(_word_rows(), words):
         gone = [False] * len(x)
         for k in range(len(x) - span + 1):
             if seen[tuple(w for _, w in x[k:k + span])] > 1:
                 gone[k:k + span] = [True] * span
+        repeated.append((i, sum(gone)))
         at = [0, *(a for a, _ in x[1:]), len(t or "")]
         kept = "".join(t[at[k]:at[k + 1]] for k in range(len(x)) if not gone[k]) if any(gone) else t or ""
         want.append((i, kept, sum(1 for k in range(len(x)) if gone[k] and (k == 0 or not gone[k - 1]))))
     df = spark.createDataFrame(_word_rows(), "doc_id long, text string")
     out = suffix_dedup.cut(df, span, keep_all=True, unit=suffix_dedup.WORDS).collect()
     assert sorted((r["doc_id"], r["_kept_text"], r["_n_spans"]) for r in out) == sorted(want)
+    counted = suffix_dedup.cut(df, 400, passage=span).collect()
+    assert sorted((r["doc_id"], r["n_repeated_words"]) for r in counted) == sorted(repeated)
+    assert [r[:-1] for r in sorted(map(tuple, counted))] == sorted(map(tuple, suffix_dedup.cut(df, 400).collect()))
 
 
 def test_repeats_stage_counts_words(spark):
