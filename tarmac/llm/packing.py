@@ -2,20 +2,22 @@
 
 Texts become token ids (and one closing id).  Whole windows are cut off first;
 of the rest, half a window is cut off where it fits, so every other piece is
-shorter than half a window.  Lengths are counted in units of ``UNIT`` tokens,
-rounded up.  Shallow combinations of units that fill a window (three lengths,
-or copies of one length and a filler) are the columns of a matrix; solving it
-against the histogram with non-negative least squares gives how often to use
-each.  Repeats are rounded down, and the few pieces left are packed greedily,
-largest first, on counts.  The histogram has at most ``WINDOW / UNIT + 1``
-numbers, which is all the driver sees.
+shorter than half a window.  Lengths below ``FINE`` tokens count as they are,
+longer ones are rounded up to ``STEP`` tokens, so rounding costs a few percent
+of a window at most, whatever the lengths.  Shallow combinations of these sizes
+that fill a window (three sizes, or copies of one and a filler) are the
+columns of a matrix; solving it against the histogram with non-negative least
+squares gives how often to use each.  Repeats are rounded down, and the few
+pieces left are packed greedily, largest first, on counts.  The histogram has
+at most ``FINE + WINDOW / STEP`` numbers, which is all the driver sees.
 
 A piece's place follows from its rank among the pieces of its length: ranks
 are cut into stretches, one per use of the length in a combination.
 
 Sequences are padded to the window unless their length is a power of two.
 Defined results: a null text is empty and gives the closing id alone;
-repeated rows are packed each; an empty table gives no rows; a word's ids do
+repeated rows are packed each, pieces of one id and start in the order of their
+length and checksum; an empty table gives no rows; a word's ids do
 not depend on its neighbours (the tokenizer drops white space), so words are
 encoded once per worker and cached, at most ``CACHE_WORDS`` of them.
 """
@@ -25,6 +27,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import islice
 
@@ -36,7 +39,8 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import bucketed_rank, kept_by_worker, stored, table
 
 WINDOW = 4096
-UNIT = 16
+STEP = 16
+FINE = 256  # tokens; shorter pieces are not rounded
 END_ID = 2
 CACHE_WORDS = 200_000
 CACHE_CHARS = 48
@@ -146,23 +150,24 @@ def pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     return d.mapInArrow(run, schema)
 
 
-def combinations(units: int) -> list[dict[int, int]]:
-    """Shallow fillings of a window of ``units``: {length in units: copies}; lengths up to half a window."""
-    half = units // 2
-    found = {(units,): {units: 1}, (half, half): {half: 2}}
-    for a in range(1, half + 1):
-        for b in range(a, half + 1):
-            c = units - a - b
-            if b <= c <= half:
-                found[(a, b, c)] = {x: (a, b, c).count(x) for x in (a, b, c)}
-        most = units // a
+def combinations(sizes: list[int], window: int) -> list[dict[int, int]]:
+    """Shallow fillings of a window by ``sizes`` (ascending): {size: copies}; three sizes, or copies of one and a filler."""
+    there, found = set(sizes), {}
+
+    def add(*parts: int) -> None:
+        found[tuple(sorted(parts))] = {x: parts.count(x) for x in parts}
+
+    for i, a in enumerate(sizes):
+        for b in sizes[i:]:
+            c = window - a - b
+            if c < b:
+                break
+            if c in there:
+                add(a, b, c)
+        most = window // a
         for k in {most, max(1, most - 1), max(1, most - 2), max(1, 3 * most // 4), max(1, most // 2 + 1)}:
-            rest = units - k * a
-            if 0 <= rest <= half:
-                use = {a: k}
-                if rest:
-                    use[rest] = use.get(rest, 0) + 1
-                found[tuple(sorted(use.items()))] = use
+            filler = bisect_right(sizes, window - k * a)
+            add(*[a] * k, *sizes[max(0, filler - 1):filler])
     return list(found.values())
 
 
@@ -193,8 +198,8 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:
     return x
 
 
-def plan(histogram: dict[int, int], units: int) -> list[tuple[dict[int, int], int]]:
-    """[(combination, repeats)] that uses every counted piece exactly once."""
+def plan(histogram: dict[int, int], window: int) -> list[tuple[dict[int, int], int]]:
+    """[(combination, repeats)] that uses every counted piece exactly once; ``histogram`` is {size: pieces}."""
     left = {u: n for u, n in histogram.items() if n}
     out: list[tuple[dict[int, int], int]] = []
 
@@ -204,13 +209,14 @@ def plan(histogram: dict[int, int], units: int) -> list[tuple[dict[int, int], in
             for u, k in combo.items():
                 left[u] -= k * times
 
-    combos = [c for c in combinations(units) if all(u in left for u in c)]
-    if combos and left:
-        rows = sorted(left)
+    rows = sorted(left)
+    combos = combinations(rows, window)
+    if combos:
+        place = {u: i for i, u in enumerate(rows)}
         a = np.zeros((len(rows), len(combos)))
         for j, c in enumerate(combos):
             for u, k in c.items():
-                a[rows.index(u), j] = k
+                a[place[u], j] = k
         h = np.array([left[u] for u in rows], dtype=float)
         weight = np.array(rows, dtype=float)[:, None]  # a misplaced piece costs its length
         x = nnls(a * weight, h * weight[:, 0])
@@ -218,7 +224,7 @@ def plan(histogram: dict[int, int], units: int) -> list[tuple[dict[int, int], in
             fits = min(left[u] // k for u, k in combos[j].items())
             use(combos[j], min(int(x[j] + 1e-6), fits))
     while any(left.values()):
-        combo, room = {}, units
+        combo, room = {}, window
         for u in sorted(left, reverse=True):
             k = min(left[u], room // u)
             if k:
@@ -227,19 +233,20 @@ def plan(histogram: dict[int, int], units: int) -> list[tuple[dict[int, int], in
     return out
 
 
-def pack(found: DataFrame, id_col: str = "doc_id", window: int = WINDOW, unit: int = UNIT) -> DataFrame:
+def pack(found: DataFrame, id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """Give every piece its ``sequence_id`` and ``offset``."""
     spark = found.sparkSession
-    p = found.withColumn("_u", F.ceil(F.col("length") / unit).cast("int"))
+    rounded = F.least(F.ceil(F.col("length") / STEP) * STEP, F.lit(window))
+    p = found.withColumn("_u", F.when(F.col("length") < FINE, F.col("length")).otherwise(rounded).cast("int"))
     histogram = {r["_u"]: r["n"] for r in p.groupBy("_u").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots, base, used = [], 0, dict.fromkeys(histogram, 0)
-    for combo, times in plan(histogram, window // unit):
+    for combo, times in plan(histogram, window):
         for u, k in combo.items():
             slots.append((u, used[u], used[u] + k * times, base, times))
             used[u] += k * times
         base += times
     slots = spark.createDataFrame(slots, "_u int, _lo long, _hi long, _base long, _times long")
-    ranked = bucketed_rank(p, ["_u"], [id_col, "start"], "_rank", buckets=512)
+    ranked = bucketed_rank(p, ["_u"], [id_col, "start", "length", "ids_crc32"], "_rank", buckets=512)
     placed = ranked.join(F.broadcast(slots), [  # one row per use of a length, bounded by the plan
         ranked["_u"] == slots["_u"], F.col("_rank") >= F.col("_lo"), F.col("_rank") < F.col("_hi")]
     ).withColumn("sequence_id", F.col("_base") + (F.col("_rank") - F.col("_lo")) % F.col("_times"))

@@ -281,6 +281,25 @@ def test_plan_uses_every_piece_once_with_little_padding():
         assert windows <= sum(sizes) / 256 * 1.02 + 2
 
 
+def test_packing_of_short_texts_pads_little(spark):
+    rows = [(i, " ".join(["word"] * (1 + i * 7 % 9))) for i in range(20_000)] + [(i, "one two") for i in range(5)] * 2
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert len(got) == len(rows) and got["length"].max() < 20
+    by = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
+    for _, seq in by:
+        assert seq["offset"].tolist() == [0, *seq["length"].cumsum().tolist()[:-1]] and seq["length"].sum() <= 4096
+    assert got["length"].sum() >= 0.97 * 4096 * by.ngroups
+
+
+def test_plan_of_short_and_long_pieces_pads_little():
+    rng = np.random.default_rng(5)
+    for lengths in (rng.integers(1, 256, 20_000), rng.integers(1, 2048, 100_000), rng.lognormal(4, 1.5, 50_000).astype(int) % 2047 + 1):
+        size = np.where(lengths < packing.FINE, lengths, -(-lengths // packing.STEP) * packing.STEP)
+        out = packing.plan(dict(collections.Counter(size.tolist())), 4096)
+        assert sum(t * k for combo, t in out for k in combo.values()) == len(lengths)
+        assert sum(t for _, t in out) * 4096 <= lengths.sum() * 1.02 + 4096
+
+
 def test_nnls_beats_zero_and_is_non_negative():
     rng = np.random.default_rng(0)
     a, truth = rng.random((12, 30)), np.maximum(0, rng.normal(size=30))
