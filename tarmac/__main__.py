@@ -1,7 +1,7 @@
 """Command line: ``python -m tarmac <command> ...``.
 
-  cleanup IN OUT [--csv] [--raw-csv]       archives (or raw CSV) -> cleaned flights
-  results FLIGHTS OUT [--year Y] [--n N]   all result tables from stored flights
+  cleanup IN OUT [--csv] [--raw-csv] [--lineage]  archives (or raw CSV) -> cleaned flights
+  results FLIGHTS OUT [--year Y] [--n N] [--csv]  all result tables from stored flights or cleaned CSV
   publish CLEAN --format kafka --option k=v ...   cleaned CSV rows -> topic
   stream QUESTION --out PATH --checkpoint PATH --format kafka --option k=v ...
                                            running result table (one-second batches)
@@ -37,6 +37,7 @@ def main(argv=None) -> int:
     c.add_argument("out")
     c.add_argument("--csv", action="store_true")
     c.add_argument("--raw-csv", action="store_true")
+    c.add_argument("--lineage", action="store_true", help="keep the archive and member, or file, of every row")
 
     r = sub.add_parser("results")
     r.add_argument("flights")
@@ -44,6 +45,7 @@ def main(argv=None) -> int:
     r.add_argument("--year", type=int, default=2008)
     r.add_argument("--all-years", action="store_true")
     r.add_argument("--n", type=int, default=10)
+    r.add_argument("--csv", action="store_true", help="FLIGHTS is a folder of cleaned CSV files")
 
     p = sub.add_parser("publish")
     p.add_argument("clean")
@@ -75,7 +77,7 @@ def main(argv=None) -> int:
         from tarmac.plans.jobs import cleanup
 
         rejects = cleanup(spark, a.inp, a.out, "csv" if a.csv else "parquet",
-                          "csv" if a.raw_csv else "zip")
+                          "csv" if a.raw_csv else "zip", a.lineage)
         path = a.out.rstrip("/") + "_rejects"
         rejects.write.mode("overwrite").parquet(path)
         n = spark.read.parquet(path).count()
@@ -84,7 +86,7 @@ def main(argv=None) -> int:
     elif a.cmd == "results":
         from tarmac.plans.jobs import results
 
-        results(spark, a.flights, a.out, None if a.all_years else a.year, a.n)
+        results(spark, a.flights, a.out, None if a.all_years else a.year, a.n, source="csv" if a.csv else "parquet")
     elif a.cmd == "publish":
         from tarmac.sinks.files import publish
         from tarmac.sources.files import read_clean

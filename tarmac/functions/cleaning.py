@@ -14,6 +14,7 @@ from tarmac.schema import (
     DELAY_COLUMNS,
     HEADER_FIRST_FIELD,
     INT_COLUMNS,
+    NAME_COLUMNS,
 )
 
 # The suffix removed from every field ("<int>.00" -> "<int>"), and a field that is
@@ -76,7 +77,9 @@ def typed_flights(clean: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     The flags keep "present but unparseable" apart from "missing" after the
     text is gone, so bad-record counts read two boolean columns instead of
     re-parsing text.  Store this frame once (Parquet, partitioned by Year);
-    every query reads it with pruned columns and pushed filters.
+    every query reads it with pruned columns and pushed filters.  Carriers
+    and airports are trimmed here, once, so that ``"AA "`` and ``"AA"`` are
+    one key in every question (blanks alone are an empty name, not a missing one).
     """
     cols = []
     for c in CLEAN_COLUMNS:
@@ -84,6 +87,8 @@ def typed_flights(clean: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
             cols.append(parse_int(c, "int").alias(c))
         elif c in DELAY_COLUMNS:
             cols.append(parse_int(c, "bigint").alias(c))
+        elif c in NAME_COLUMNS:
+            cols.append(F.trim(c).alias(c))
         else:
             cols.append(F.col(c))
     cols += [is_bad(c, "bigint").alias(bad_flag_name(c)) for c in DELAY_COLUMNS]

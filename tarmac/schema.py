@@ -35,7 +35,8 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 INT_COLUMNS = ["Year", "Month", "DayofMonth", "DayOfWeek", "Cancelled", "Diverted"]
 DELAY_COLUMNS = ["DepDelay", "ArrDelay"]
-KEY_COLUMNS = ["UniqueCarrier", "Origin", "Dest", "CRSDepTime"]
+NAME_COLUMNS = ["UniqueCarrier", "Origin", "Dest"]
+KEY_COLUMNS = [*NAME_COLUMNS, "CRSDepTime"]
 
 # One CSV dialect everywhere: a quote inside a quoted field is doubled, a backslash is a plain character.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}

@@ -37,14 +37,15 @@ class MissingColumnError(ValueError):
     pass
 
 
-def read_clean(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def read_clean(spark: SparkSession, path: str, strict: bool = False, glob: str | None = None) -> DataFrame:
     """O3: cleaned CSV rows (header per file, ``_`` = missing), header rows dropped.
 
     Each file's header must name the twelve columns in order
     (``enforceSchema=false``); a file with another header fails, naming the
     file, instead of reading values into the wrong columns.
     ``strict=True`` fails on a row with the wrong field count (FAILFAST);
-    otherwise such a row keeps its text in ``_corrupt_record``.
+    otherwise such a row keeps its text in ``_corrupt_record``.  ``glob``
+    leaves out files of other names (``*.csv``).
     """
     r = (
         spark.read.option("header", True)
@@ -58,6 +59,8 @@ def read_clean(spark: SparkSession, path: str, strict: bool = False) -> DataFram
     else:
         schema = StructType(CLEAN_SCHEMA.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
         r = r.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     df = r.csv(path)
     cleaned = df.select(
         *[F.col(c) for c in CLEAN_COLUMNS], *([] if strict else [F.col(CORRUPT_COLUMN)])
