@@ -5,7 +5,9 @@ non-ASCII character.  A benchmark window is 13 consecutive words of an item,
 or the whole item if it has fewer (but some).  Every window gets a 64-bit key
 of three of its words; the keys are a hash set that is broadcast while it has
 at most ``BROADCAST_ROWS`` rows (checked) and joined by shuffle beyond.
-Document windows are looked up by the same key and then verified word by word.
+Every word position of a document is first looked up by the words that windows
+begin with, which gives the lengths to try there; windows of these lengths are
+looked up by key and then verified word by word.
 
 A word is hit if it lies in any occurrence of a window; a document is
 contaminated if hits are at least a twentieth of its words.  Defined results:
@@ -13,9 +15,12 @@ null or wordless texts have no words and are clean; null or wordless items
 have no windows; item ids that share a window are all reported; repeated rows
 are answered each; empty tables give clean documents or no rows.
 
-One pass over the texts: each document also sends one marker row through the
-lookup, so clean documents come out of the same grouping.  The grouping
-shuffles one row per document and one per verified occurrence.
+One pass over the texts: each document also sends one marker row (position
+-1) through the lookups, so clean documents come out of the same grouping.
+The grouping shuffles one row per document and one per verified occurrence.
+Positions are generated inside the code of the scanning stage, so no row of a
+window carries the document's words; beyond the broadcast a row has the words
+of its own window.
 """
 
 from __future__ import annotations
@@ -23,23 +28,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ascii_lower, stored, table, whole_row
+from tarmac.llm.common import UPPER, stored, table, whole_row
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# ASCII characters that are no part of a word; A-Z are made a-z in the same step.
+BETWEEN = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 WINDOW = 13
 BROADCAST_ROWS = 500_000
+LEAD = 2  # words that a position is first looked up by, or the shortest window's
 SHARE = 20  # contaminated: SHARE * n_hit >= n_words
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+    """Array of the words, by one translation and a split at blanks (a pattern takes several times as long)."""
+    plain = F.translate(text, UPPER + BETWEEN, UPPER.lower() + " " * len(BETWEEN))
+    return F.array_remove(F.split(plain, " "), "")
 
 
-def _keys(w: Column, n: int) -> Column:
-    """Key of every window of ``n`` words, by start: first, middle and last word."""
-    at = lambda i, k: F.get(w, i + k)
-    starts = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n))
-    return F.transform(starts, lambda i: F.xxhash64(F.lit(n), at(i, 0), at(i, n // 2), at(i, n - 1)))
+def _key(w: Column, start: Column, n: Column) -> Column:
+    """Key of the window of ``n`` words from ``start``: first, middle and last word."""
+    at = lambda k: F.get(w, (start + k).cast("int"))
+    return F.xxhash64(n, at(F.lit(0)), at(F.floor(n / 2)), at(n - 1))
+
+
+def _lead(w: Column, start: Column, n: int) -> Column:
+    """Hash of the ``n`` words from ``start``."""
+    return F.xxhash64(*[F.get(w, start + k) for k in range(n)])
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
@@ -50,9 +63,8 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     w = b.filter(F.size("w") > 0).select(
         "item", n.alias("n"), F.explode(F.sequence(F.lit(0), F.size("w") - n)).alias("i"), "w")
     w = w.select("item", "n", F.slice("w", F.col("i") + 1, F.col("n")).alias("window"))
-    key = F.xxhash64(F.col("n"), F.get("window", F.lit(0)), F.get("window", F.floor(F.col("n") / 2).cast("int")),
-                     F.get("window", F.col("n") - 1))
-    return w.groupBy("n", "window").agg(F.collect_set("item").alias("items")).withColumn("key", key)
+    return (w.groupBy("n", "window").agg(F.collect_set("item").alias("items"))
+            .withColumn("key", _key(F.col("window"), F.lit(0), F.col("n"))))
 
 
 def find(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -62,33 +74,34 @@ def find(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
     ``spans`` are word positions of the verified occurrences.
     """
     lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most ``window`` numbers
-    count = windows.limit(BROADCAST_ROWS + 1).count()
-    by_key = windows.groupBy("key").agg(F.collect_list(F.struct("n", "window", "items")).alias("cands"))
-    if count <= BROADCAST_ROWS:
-        by_key = F.broadcast(by_key)
+    lead = min([LEAD, *lengths])
+    firsts = (windows.select(_lead(F.col("window"), F.lit(0), lead).alias("lead"), "n")
+              .groupBy("lead").agg(F.collect_set("n").alias("lens")))
+    known = windows.select("key", F.col("n").alias("k"), "window", "items")
+    if windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        firsts, known = F.broadcast(firsts), F.broadcast(known)
 
     d = docs.select(F.struct(F.col(id_col)).alias("row"), F.coalesce(F.md5(text_col), F.lit("null")).alias("h"),
                     F.coalesce(words(F.col(text_col)), F.array().cast("array<string>")).alias("w"))
-    none = F.array().cast("array<struct<pos:int,key:bigint>>")
-    grams = [F.coalesce(F.transform(_keys(F.col("w"), n), lambda k, i: F.struct(i.cast("int").alias("pos"), k.alias("key"))),
-                        none) for n in lengths]
-    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("bigint").alias("key")))
-    d = d.select("row", "h", "w", F.explode(F.concat(marker, *grams)).alias("g"))
-    d = d.select("row", "h", "w", "g.pos", "g.key")
-    # the marker has no key: it passes the left join; other rows need a candidate
-    d = d.join(by_key, "key", "left").filter("pos < 0 OR cands IS NOT NULL")
-    real = F.filter("cands", lambda c: F.slice(F.col("w"), F.col("pos") + 1, c["n"]) == c["window"])
-    d = d.select(
-        "row", "h", "pos", F.when(F.col("pos") < 0, F.size("w")).alias("n_words"),
-        F.transform(F.when(F.col("pos") >= 0, real), lambda c: F.struct(c["n"].alias("n"), c["items"].alias("items"))).alias("real"),
-    ).filter("pos < 0 OR size(real) > 0")
+    d = d.select("row", "h", "w", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("pos"))
+    # the marker has no lead and no key: it passes the left joins; other rows need a partner
+    if firsts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        d = d.withColumn("lead", F.when(F.col("pos") >= 0, _lead(F.col("w"), F.col("pos"), lead)))
+        d = d.join(F.broadcast(firsts), "lead", "left").filter("pos < 0 OR lens IS NOT NULL")
+        tries = F.coalesce("lens", F.array(F.lit(0)))
+    else:
+        tries = F.when(F.col("pos") < 0, F.array(F.lit(0))).otherwise(F.array(*[F.lit(n) for n in lengths]))
+    d = d.select("row", "h", "w", "pos", F.explode(tries).alias("n"))
+    d = d.filter("n = 0 OR pos + n <= size(w)").select(
+        "row", "h", "pos", "n", F.when(F.col("pos") < 0, F.size("w")).alias("n_words"),
+        F.when(F.col("n") > 0, _key(F.col("w"), F.col("pos"), F.col("n"))).alias("key"),
+        F.when(F.col("n") > 0, F.slice("w", F.col("pos") + 1, F.col("n"))).alias("here"))
+    d = d.join(known, "key", "left").filter("n = 0 OR (k = n AND here = window)")
     per = d.groupBy("row", "h").agg(
         F.sum(F.when(F.col("pos") < 0, 1).otherwise(0)).alias("copies"),
         F.max("n_words").alias("n_words"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.transform(
-            "real", lambda c: F.struct(F.col("pos").alias("pos"), c["n"].alias("n"))))))).alias("spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.flatten(F.collect_set(
-            F.transform("real", lambda c: c["items"])))))).alias("items"),
+        F.sort_array(F.collect_set(F.when(F.col("n") > 0, F.struct("pos", "n")))).alias("spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
