@@ -1,7 +1,11 @@
 """License scans: canonical digest lookup of entire texts (SQL functions only).
 
-``canonical`` lower-cases A-Z, drops copyright lines, replaces punctuation by
-blanks, maps equivalent spellings to one form and collapses blanks.  Texts
+``canonical`` lower-cases A-Z, drops copyright statements (lines that start
+with the word and a sign, year or holder; not lines of a wrapped text that
+start with the word), replaces punctuation by blanks, maps equivalent spellings to one form
+and collapses blanks, so the width that a text is wrapped at does not
+matter.  A holder's statement that is itself broken over lines goes up to the
+first break only.  Texts
 with equal canonical forms share a SHA-256 digest, and documents are
 hash-joined to the digests of the known texts.  Two units are looked up: the
 document's whole text and each of its lines (a notice standing alone).
@@ -35,8 +39,19 @@ SPELLINGS = [
     ("copyright owner", "copyright holder"),
 ]
 
-# A line is a copyright line if it starts with the word, with or without (c) and signs before it.
-COPYRIGHT = r"^[^0-9a-z\n]*(c\)[^0-9a-z\n]*)?copyright([ :(,]|$)[^\n]*"
+# A statement that fills a line: "copyright" and a sign, a colon, a placeholder, "by" or a year
+# (next or last), or a sign and a year.
+COPYRIGHT = (r"^[^0-9a-z\n]*((c\)|©)[^0-9a-z\n]*)?copyright[ \t]*(\(c\)|©|:|[0-9<{\[]|by[ \t]|[^\n]*[^0-9](19|20)[0-9][0-9][^0-9a-z\n]*$)[^\n]*"
+             r"|^[^0-9a-z\n]*(c\)|©)[ \t]*(19|20)[0-9][0-9][^\n]*")
+# Statements known by their words, however they are wrapped ("B" stands for blanks): the Foundation's with its
+# address, those of the examples in its licences, and the reservation of rights.
+STATEMENTS = "|".join([
+    r"copyrightB\(c\)B[0-9, \t\n]+freeBsoftwareBfoundation,Binc\.,?(B<https?://fsf\.org/>)?(B(51|59|675)B[0-9a-z \t\n,.-]*?usa)?",
+    r"copyrightB\(c\)B<?(year|19yy|19xx)>?B<?(nameBofBauthor|yourBname)>?\.?",
+    r"allBrightsBreserved\.?",
+]).replace("B", r"[ \t\n]+")
+# What follows a statement starts a line of its own.
+FOLLOWING = ["everyone is permitted to copy", "permission is hereby granted", "redistribution and use"]
 # ASCII characters that are neither letter, digit nor line feed.
 SIGNS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -79,7 +94,10 @@ BODIES = list(dict.fromkeys(BODIES + KNOWN))
 
 def lines_of(text: Column) -> Column:
     """Array of the canonical lines: no copyright lines, no blank lines."""
-    t = F.regexp_replace(ascii_lower(text), "(?md)" + COPYRIGHT, "")
+    t = F.regexp_replace(ascii_lower(text), STATEMENTS, "\n")
+    for x in FOLLOWING:
+        t = F.replace(t, F.lit(x), F.lit("\n" + x))
+    t = F.regexp_replace(t, "(?md)" + COPYRIGHT, "")
     t = F.regexp_replace(t, SIGNS, " ")
     for a, b in SPELLINGS:
         t = F.replace(t, F.lit(a), F.lit(b))
@@ -87,7 +105,11 @@ def lines_of(text: Column) -> Column:
 
 
 def whole(lines: Column) -> Column:
-    return F.array_join(lines, " ")
+    """The lines as one text, with the spellings that stood across lines."""
+    t = F.array_join(lines, " ")
+    for a, b in SPELLINGS:
+        t = F.replace(t, F.lit(a), F.lit(b)) if " " in a else t
+    return t
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -149,6 +171,9 @@ def _sql_rows(rows: list[tuple[str, str]]) -> str:
 
 def _sql_lines(col: str) -> str:
     t = f"translate({col}, '{UPPER}', '{UPPER.lower()}')"
+    t = f"regexp_replace({t}, '{STATEMENTS}', chr(10), 'g')"
+    for x in FOLLOWING:
+        t = f"replace({t}, '{x}', chr(10) || '{x}')"
     t = f"regexp_replace({t}, '(?m){COPYRIGHT}', '', 'g')"
     t = f"regexp_replace({t}, '{SIGNS}', ' ', 'g')"
     for a, b in SPELLINGS:
@@ -156,19 +181,26 @@ def _sql_lines(col: str) -> str:
     return f"list_filter(list_transform(string_split({t}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
 
 
+def _sql_whole(lines: str) -> str:
+    t = f"array_to_string({lines}, ' ')"
+    for a, b in SPELLINGS:
+        t = f"replace({t}, '{a}', '{b}')" if " " in a else t
+    return t
+
+
 SQL = f"""
 WITH heads AS (
   SELECT license_id, {_sql_lines("head")} AS h FROM (VALUES {_sql_rows(HEADS)}) AS k(license_id, head)
 ), bodies AS (
   SELECT license_id, {_sql_lines("text")} AS b FROM (VALUES {_sql_rows(BODIES)}) AS k(license_id, text)
 ), known AS (
-  SELECT sha256(array_to_string(list_concat(h, b), ' ')) AS digest, min(license_id) AS license_id
+  SELECT sha256({_sql_whole("list_concat(h, b)")}) AS digest, min(license_id) AS license_id
   FROM heads JOIN bodies USING (license_id)
   GROUP BY 1
 ), d AS (
   SELECT row_number() OVER () AS r, doc_id, {_sql_lines("text")} AS l FROM documents
 ), w AS (
-  SELECT r, doc_id, sha256(array_to_string(l, ' ')) AS canonical_sha256, l FROM d
+  SELECT r, doc_id, sha256({_sql_whole("l")}) AS canonical_sha256, l FROM d
 ), lines AS (
   SELECT DISTINCT u.r, k.license_id
   FROM (SELECT r, sha256(unnest(l)) AS digest FROM w) u JOIN known k USING (digest)

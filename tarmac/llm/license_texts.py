@@ -3,8 +3,7 @@
 A form is a title (or none), with or without the "All rights reserved." line,
 then the text, whole or without its appendix on how to apply it.  The other
 published addresses of the Free Software Foundation, http and https, numbered
-or bulleted clauses, and texts wrapped so that no line starts with
-"copyright" (such lines are dropped) are forms too.
+or bulleted clauses are forms too.
 """
 
 from __future__ import annotations
@@ -40,8 +39,6 @@ RESERVED = "All rights reserved."
 WITH_RESERVED = ("BSD-3-Clause", "BSD-2-Clause", "MIT", "ISC", "0BSD")
 APPENDIX = r"\n[^\n]*(APPENDIX: How to apply|How to Apply These Terms|ADDENDUM: How to use)"
 END = r"\n *END OF TERMS AND CONDITIONS *$"
-# a line of the text itself, not a copyright line, that starts with the word
-STARTS_WITH_COPYRIGHT = r"\n[^0-9A-Za-z\n]*(?=[Cc]opyright (?!\([Cc]\)|\[yyyy\]))"
 ADDRESS = r"51 Franklin St(reet)?, Fifth Floor, Boston,? MA +02110-1301 +USA"
 ADDRESSES = ["59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "675 Mass Ave, Cambridge, MA 02139, USA"]
 REGENTS = [("the University nor", "the copyright holder nor"), ("THE REGENTS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS"),
@@ -86,7 +83,6 @@ def heads_and_bodies(known: dict[str, str]) -> tuple[list[tuple[str, str]], list
     all_heads, all_bodies = [], []
     for name, (_, titles) in TITLES.items():
         own, bodies = _bodies(name, known)
-        bodies = bodies + [re.sub(STARTS_WITH_COPYRIGHT, " ", b) for b in bodies]
         bodies = bodies + [re.sub(ADDRESS, a, b) for b in bodies for a in ADDRESSES if re.search(ADDRESS, b)]
         bodies = bodies + [b.replace(x, y) for b in bodies for x, y in (("http://", "https://"), ("https://", "http://"))]
         heads = [f"{t}\n{line}" for t in [own, *titles] for line in ["", RESERVED][: 1 + (name in WITH_RESERVED)]]

@@ -348,6 +348,22 @@ def test_whole_public_licenses_are_known_with_their_titles(spark, tmp):
     assert dict(con.execute(f"select doc_id, license_id from ({license_digest.SQL})").fetchall()) == got
 
 
+def test_licenses_are_known_at_every_width(spark):
+    import textwrap
+    from pathlib import Path
+
+    rows = []
+    for p in sorted(Path(license_digest.__file__).parent.joinpath("licenses").glob("*.txt")):
+        parts = re.split(r"\n[ \t\f]*\n", p.read_text().replace("\f", "\n"))
+        rows += [(p.stem, w, "\n\n".join(textwrap.fill(x, w, break_long_words=False) for x in parts)) for w in range(50, 121, 5)
+                 if p.stem != "BSD-3-Clause" or w >= 60]  # its statement alone has 59 characters
+    mit = dict(license_digest.KNOWN)["MIT"]
+    rows += [("MIT", w, "Copyright (c) 2020 A Person\n\n" + "\n\n".join(textwrap.fill(x, w) for x in mit.split("\n"))) for w in range(50, 121)]
+    df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_id"] for r in license_digest.scan(df, license_digest.known_digests(spark)).collect()}
+    assert [] == [(n, w) for i, (n, w, _) in enumerate(rows) if got[i] != n]
+
+
 def _brute_hits(texts, items):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     wins = collections.defaultdict(set)
