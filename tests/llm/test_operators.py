@@ -385,7 +385,9 @@ def _brute_hits(texts, items):
     return sorted(out, key=str)
 
 
-def test_decontamination_equals_brute_force(spark, docs, no_docs):
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_ROWS, 10, 0])
+def test_decontamination_equals_brute_force(spark, docs, no_docs, most, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", most)
     items = [(1, prose(1, 20)), (10, prose(1, 20)), (2, "one two"), (3, None), (4, "?!"), (5, "Café İstanbul"), (9, prose(9, 14))]
     windows = decontaminate.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
     got = decontaminate.find(docs, windows).drop("spans", "text_md5").collect()
