@@ -14,25 +14,41 @@ from tarmac.schema import (
     DELAY_COLUMNS,
     HEADER_FIRST_FIELD,
     INT_COLUMNS,
+    MISSING_MARKER,
     NAME_COLUMNS,
 )
 
-# The suffix removed from every field ("<int>.00" -> "<int>"), and a field that is
+# The suffix removed from every field ("<int>.00" -> "<int>"); as a pattern, with a field that is
 # nothing but the missing marker.
-ZERO_CENTS = r"^_\z|\.00\z"
+ZERO_CENTS = ".00"
+ZERO_CENTS_OR_MISSING = r"^_\z|\.00\z"
 
 
-def clean_value(c: Column | str) -> Column:
+def clean_value(c: Column | str, filtered: bool = False) -> Column:
     """O6 + O7: strip a trailing ``.00``; empty (also a bare ``.00`` or ``_``) becomes null.
 
-    One ``regexp_replace`` that references its input once.  A suffix test
-    plus substring (four references) is faster on a plain column, but when
-    the input is itself a derived expression Catalyst inlines it into every
-    reference, and the generated code grows past the method-size limit
-    (measured: e2e best flights 8 s -> 17 s at sf0.1).
+    Plain string functions: a regular expression for every field costs more
+    than all else in a fixture row.  They read the field four times, so a field
+    that questions filter on (``filtered``) has one ``regexp_replace``, which
+    reads it once: Catalyst copies the expression of a pushed filter into every
+    reference, and generated code past the method-size limit is not compiled.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.nullif(F.regexp_replace(c, ZERO_CENTS, ""), F.lit(""))
+    if filtered:
+        return F.nullif(F.regexp_replace(c, ZERO_CENTS_OR_MISSING, ""), F.lit(""))
+    bare = F.when(c.endswith(ZERO_CENTS), F.left(c, F.length(c) - len(ZERO_CENTS))).when(c != MISSING_MARKER, c)
+    return F.nullif(bare, F.lit(""))
+
+
+def once(df: DataFrame, *cols: Column | str) -> DataFrame:
+    """``df.select(*cols)``, with every column worked out once a row.
+
+    Catalyst pushes a filter below the projection it reads, and then works out
+    the filtered column's whole expression again for each reference (measured:
+    34 parses of every raw CSV line).  A filter on what a generator puts out
+    stays above it.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols))))
 
 
 def project_clean(df: DataFrame) -> DataFrame:
@@ -42,7 +58,7 @@ def project_clean(df: DataFrame) -> DataFrame:
 
 def clean_values(df: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     """O5-O7 over a raw all-text frame: twelve columns, cleaned values (plus ``keep`` as is)."""
-    return df.select(*[clean_value(c).alias(c) for c in CLEAN_COLUMNS], *keep)
+    return df.select(*[clean_value(c, c in DELAY_COLUMNS).alias(c) for c in CLEAN_COLUMNS], *keep)
 
 
 def drop_header_rows(df: DataFrame, first: str = CLEAN_COLUMNS[0]) -> DataFrame:

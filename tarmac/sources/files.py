@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tarmac.functions.cleaning import clean_values, drop_header_rows
+from tarmac.functions.cleaning import clean_values, drop_header_rows, once
 from tarmac.schema import (
     CLEAN_COLUMNS,
     CLEAN_SCHEMA,
@@ -213,8 +213,8 @@ def _by_line(spark: SparkSession, path: str, strict: bool, glob: str) -> DataFra
     whole = [F.when(F.col(f"w{w}").isNotNull(), F.array(*[F.col(f"w{w}.c{i}") for i in range(w)])) for w in widths]
     record = F.lit(None).cast("string") if strict else F.coalesce(*[F.col(f"w{w}.{CORRUPT_COLUMN}") for w in widths])
     fields = parsed.select("source_file", "positions", F.coalesce(*whole).alias("fields"), record.alias("record"))
-    return fields.select(*[F.get("fields", F.get("positions", F.lit(k))).alias(c) for k, c in enumerate(CLEAN_COLUMNS)],
-                         "source_file", "record")
+    return once(fields, *[F.get("fields", F.get("positions", F.lit(k))).alias(c) for k, c in enumerate(CLEAN_COLUMNS)],
+                "source_file", "record")
 
 
 RECORD_SCHEMA = StructType([*CLEAN_SCHEMA.fields, *(StructField(c, StringType()) for c in ("source_file", "record"))])
