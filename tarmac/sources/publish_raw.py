@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 import io
+import math
 import os
 import zipfile
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schema import CLEAN_COLUMNS, CSV_OPTIONS
+from tarmac.session import scratch_path
 from tarmac.sources.files import _local
 from tarmac.sources.fixture import raw_flights
 
@@ -27,6 +29,9 @@ EXTRA_COLUMNS = ["FlightNum", "TailNum", "Remark"]
 # Texts of the remark column, with the characters that CSV must quote.
 REMARKS = ["", "on time, gate 4", 'say "hi", ok', "ends in a backslash\\", '"', "C:\\temp,x"]
 
+#: rows of a damaged file of both layouts; a task sorts a few files, as several may hash to it
+ROWS_PER_FILE = 500_000
+
 LAYOUT_A = EXTRA_COLUMNS[:1] + CLEAN_COLUMNS + EXTRA_COLUMNS[1:]
 LAYOUT_B = list(reversed(CLEAN_COLUMNS)) + EXTRA_COLUMNS
 
@@ -41,13 +46,21 @@ def _layout_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("_layout_b", F.col("Month").cast("int") % 2 == 1)
 
 
+def _rows_by_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows with extras, joined once and written to shared scratch by layout; rows without a month have none."""
+    raw = _layout_flag(_with_extras(raw_flights(spark, sf_dir)))
+    at = scratch_path(spark, "raw-rows")
+    raw.write.partitionBy("_layout_b").parquet(at)
+    return spark.read.schema(raw.schema).parquet(at)
+
+
 def write_damaged_csv(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> None:
     """As ``write_raw_csv``, as ``*.txt``: cancelled flights have a field too many, diverted ones a field too few.
 
     Every file begins with its header; blank lines stand between.
     """
-    n = files or max(2, spark.sparkContext.defaultParallelism)
-    raw = _layout_flag(_with_extras(raw_flights(spark, sf_dir)))
+    raw = _rows_by_layout(spark, sf_dir)
+    n = files or max(2, spark.sparkContext.defaultParallelism, math.ceil(raw.count() / ROWS_PER_FILE))
     for sub, layout, flag in [("a", LAYOUT_A, False), ("b", LAYOUT_B, True)]:
         text = lambda names: F.to_csv(F.struct(*names), {"emptyValue": "", **CSV_OPTIONS})
         line = (F.when(F.col("Cancelled") == "1.00", F.concat(text(layout), F.lit(",more")))
@@ -63,7 +76,7 @@ def write_damaged_csv(spark: SparkSession, sf_dir: str, path: str, files: int |
 
 def write_raw_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Raw rows as header CSV in two column layouts under ``path/a`` and ``path/b``."""
-    raw = _layout_flag(_with_extras(raw_flights(spark, sf_dir)))
+    raw = _rows_by_layout(spark, sf_dir)
     for sub, layout, flag in [("a", LAYOUT_A, False), ("b", LAYOUT_B, True)]:
         (
             raw.filter(F.col("_layout_b") == F.lit(flag))
