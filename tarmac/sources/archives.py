@@ -32,9 +32,12 @@ from tarmac.schema import CLEAN_COLUMNS, CLEAN_SCHEMA
 from tarmac.session import qualified, scratch_path
 from tarmac.sources.files import _local, read_first_line, records_by_layout, split_records
 
-MEMBER_SCHEMA = "archive string, member string, error string"
+MEMBER_SCHEMA = "archive string, member string, size long, error string"
 STAGED_SCHEMA = "archive string, member string, id string, header string, error string"
 CHUNK_BYTES = 1 << 20
+#: what a task unpacks where there are more members than a few for every core
+TASK_BYTES = 64 << 20
+TASKS_PER_CORE = 16
 DAMAGE = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
 
@@ -54,11 +57,10 @@ def _list_members(batches):
         for archive in pdf["path"]:
             try:
                 with open_random_access(archive) as fh, zipfile.ZipFile(fh) as zf:
-                    names = [i.filename for i in zf.infolist() if i.filename.endswith(".csv")]
-                yield pd.DataFrame({"archive": [archive] * len(names), "member": names,
-                                    "error": [None] * len(names)})
+                    found = [(archive, i.filename, i.file_size, None) for i in zf.infolist() if i.filename.endswith(".csv")]
+                yield pd.DataFrame(found, columns=["archive", "member", "size", "error"])
             except DAMAGE as e:
-                yield pd.DataFrame({"archive": [archive], "member": [None],
+                yield pd.DataFrame({"archive": [archive], "member": [None], "size": [0],
                                     "error": [f"{type(e).__name__}: {e}"]})
 
 
@@ -128,13 +130,19 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stage_archives(spark: SparkSession, path: str, staging: str | None = None,
-                   members_per_task: int = 1) -> tuple[str, DataFrame]:
-    """Unpack every ``*.zip`` below ``path`` (any depth); (folder of plain files, manifest of members and rejects)."""
+                   members_per_task: int | None = None) -> tuple[str, DataFrame]:
+    """Unpack every ``*.zip`` below ``path`` (any depth); (folder of plain files, manifest of members and rejects).
+
+    By default a member has a task of its own until there are many: then a task unpacks about ``TASK_BYTES``.
+    """
     staging = qualified(spark, staging or scratch_path(spark, "unpacked"))
     listed = scratch_path(spark, "members")
     list_members(spark, path).write.parquet(listed)
     members = spark.read.schema(MEMBER_SCHEMA).parquet(listed)
-    tasks = max(1, -(-members.count() // members_per_task))
+    found = members.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    tasks = max(1, -(-found["n"] // (members_per_task or 1)))
+    if not members_per_task:
+        tasks = min(tasks, max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, found["size"] // TASK_BYTES))
     manifest = f"{staging}/_manifest"
     (members.repartition(tasks, "archive", "member").mapInPandas(_stage(f"{staging}/files"), STAGED_SCHEMA)
      .write.mode("overwrite").parquet(manifest))
@@ -160,7 +168,7 @@ def read_archives(spark: SparkSession, path: str, staging: str | None = None, wi
         return empty, damaged
 
     def with_member(df: DataFrame) -> DataFrame:
-        name = F.regexp_extract("source_file", r"([0-9a-f]{64})\.csv$", 1)
+        name = F.substring("source_file", -68, 64)  # <64 characters of hash>.csv
         return df.withColumn("id", name).join(whole, "id").drop("id", "source_file")
 
     layouts = (manifest.filter("error IS NULL").groupBy("header")

@@ -100,6 +100,20 @@ def _open_write(path: str):
     return filesystem.open_output_stream(p)
 
 
+def _member_rows(part: pd.DataFrame, layout: list[str], text: io.StringIO):
+    """The records of a member for a CSV writer on ``text``, with inner header rows; blank lines are written on the way."""
+    remark = layout.index("Remark")
+    yield layout
+    for k, row in enumerate(part[layout].to_numpy().tolist()):
+        if k % 5 == 0:
+            row[remark] = "two\nlines"
+        if k % 7 == 0:
+            text.write("\n")
+        if k % 50 == 0:
+            yield layout  # an inner header row
+        yield row
+
+
 def _zip_writer(root: str, damage_b: bool = False):
     def write(batches):
         from pyspark import TaskContext
@@ -112,21 +126,11 @@ def _zip_writer(root: str, damage_b: bool = False):
                 continue
             name = f"{pid:05d}{i:05d}"
             buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
+            with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as z:
                 for member, layout, flag in [("a", LAYOUT_A, False), ("b", LAYOUT_B, True)]:
                     part = pdf[pdf["_layout_b"] == flag]
                     text = io.StringIO()
-                    w = csv.writer(text, lineterminator="\n")
-                    w.writerow(layout)
-                    for k, row in enumerate(part[layout].itertuples(index=False, name=None)):
-                        row = list(row)
-                        if k % 5 == 0:
-                            row[layout.index("Remark")] = "two\nlines"
-                        if k % 7 == 0:
-                            text.write("\n")
-                        if k % 50 == 0:
-                            w.writerow(layout)  # an inner header row
-                        w.writerow(row)
+                    csv.writer(text, lineterminator="\n").writerows(_member_rows(part, layout, text))
                     z.writestr(f"On_Time_{member}.csv", text.getvalue())
             if damage_b:  # the last member's data changes, its checksum does not
                 at = len(buf.getvalue()) - 1
