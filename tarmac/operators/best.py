@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.cleaning import valid_delay
+from tarmac.functions.cleaning import once, valid_delay
 from tarmac.functions.flight import dep_hour, flight_date, padded_dep_time, NOON
 
 # Fixed value: the year the best-flight question asks about.
 BEST_FLIGHT_YEAR = 2008
 
+# The columns that best flights are made of.  They are worked out before the date and the half-day:
+# in one step with these, Spark's generated code for a row is too long to be compiled.
+BEST_COLUMNS = ["Year", "Month", "DayofMonth", "Origin", "Dest", "UniqueCarrier", "CRSDepTime", "ArrDelay"]
+
 
 def best_row(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
     """The first row of each key group under ``order`` (a total order wins ties).
@@ -31,7 +35,8 @@ def best_flights(df: DataFrame, year: int | None = BEST_FLIGHT_YEAR) -> DataFram
     ``quality_report`` counts them.  ``year=None`` keeps all years.
     """
     f = df if year is None else df.filter(F.col("Year") == F.lit(year))
-    f = valid_delay(f, "ArrDelay").select(
+    f = once(
+        once(valid_delay(f, "ArrDelay"), *BEST_COLUMNS),
         F.col("Origin").alias("src"),
         F.col("Dest").alias("dst"),
         flight_date().alias("date"),
