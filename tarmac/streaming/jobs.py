@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.functions.cleaning import bad_flag_name, valid_delay
+from tarmac.functions.cleaning import bad_flag_name, once, valid_delay
 from tarmac.functions.flight import NOON, airport_endpoints, dep_hour, flight_date, padded_dep_time
-from tarmac.operators.best import BEST_FLIGHT_YEAR
+from tarmac.operators.best import BEST_COLUMNS, BEST_FLIGHT_YEAR
 from tarmac.operators.metrics import mean_of
 from tarmac.operators.ranking import TOP_N, rank_within_airport
 from tarmac.schema import DELAY_COLUMNS
@@ -159,7 +159,8 @@ def stream_best_flights(src: DataFrame, year: int | None = BEST_FLIGHT_YEAR) ->
     the table reader takes the newest row per key.
     """
     f = src if year is None else src.filter(F.col("Year") == F.lit(year))
-    f = valid_delay(f, "ArrDelay").select(
+    f = once(
+        once(valid_delay(f, "ArrDelay"), *BEST_COLUMNS),
         F.col("Origin").alias("src"),
         F.col("Dest").alias("dst"),
         flight_date().alias("date"),

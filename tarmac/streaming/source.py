@@ -15,9 +15,10 @@ def parse_records(lines: DataFrame, value: str = "value") -> DataFrame:
     text = F.col(value).cast("string")
     return lines.filter(F.trim(text) != "").select(
         text.alias("record"),
-        F.from_csv(text, f"{CLEAN_DDL}, `{CORRUPT_COLUMN}` STRING",
-                   {"nullValue": MISSING_MARKER, "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-                    **FROM_CSV_OPTIONS}).alias("r"))
+        # exploded, so that no later filter parses the line again (as ``functions.cleaning.once``)
+        F.explode(F.array(F.from_csv(text, f"{CLEAN_DDL}, `{CORRUPT_COLUMN}` STRING",
+                                     {"nullValue": MISSING_MARKER, "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+                                      **FROM_CSV_OPTIONS}))).alias("r"))
 
 
 def accepted(records: DataFrame) -> DataFrame:
