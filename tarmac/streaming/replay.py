@@ -18,21 +18,29 @@ from tarmac.schema import CLEAN_COLUMNS, CSV_OPTIONS, MISSING_MARKER
 from tarmac.session import scratch_path
 from tarmac.sinks.files import publish
 from tarmac.sinks.tables import committed_batches, read_all, read_latest, read_snapshot
-from tarmac.sources.fixture import clean_flights
+from tarmac.sources.fixture import clean_flights, table
 from tarmac.streaming.jobs import JOBS, StreamJob, stream_bad_delays, stream_ingest, stream_popularity
 from tarmac.streaming.progress import BatchLog, read_batch_log
 from tarmac.streaming.source import accepted, parse_records, rejected, stream_clean, stream_lines
 
 MICRO_BATCHES = 3
+#: rows of a published file, about 70 MB of text
+ROWS_PER_FILE = 1_000_000
+
+
+def files_per_batch(spark: SparkSession, sf_dir: str, batches: int = MICRO_BATCHES) -> int:
+    """Files of a micro-batch: one per core at least, more where the flights (one a lineitem) would make them large."""
+    rows = table(spark, sf_dir, "lineitem").count()  # of the Parquet footers
+    return max(2, spark.sparkContext.defaultParallelism, math.ceil(rows / batches / ROWS_PER_FILE))
 
 
 def publish_fixture(spark: SparkSession, sf_dir: str, path: str, num_files: int | None = None) -> int:
     """Write the cleaned fixture rows as topic lines into ``num_files`` text files.
 
-    By default one file per core for each of the micro-batches, so every
-    micro-batch reads with the whole cluster.
+    By default at least one file per core for each of the micro-batches, so
+    every micro-batch reads with the whole cluster, and of bounded size.
     """
-    n = num_files or MICRO_BATCHES * max(2, spark.sparkContext.defaultParallelism)
+    n = num_files or MICRO_BATCHES * files_per_batch(spark, sf_dir)
     publish(clean_flights(spark, sf_dir).repartition(n), fmt="text", path=path)
     return n
 
@@ -159,7 +167,7 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """O4 + O11: (flights, rejected lines) of a damaged topic."""
     base = scratch_path(spark, "stream_ingest")
-    n = MICRO_BATCHES * max(2, spark.sparkContext.defaultParallelism)
+    n = MICRO_BATCHES * files_per_batch(spark, sf_dir)
     damaged_lines(spark, sf_dir).repartition(n).write.text(f"{base}/input")
     lines = stream_lines(spark, "text", {"maxFilesPerTrigger": str(math.ceil(n / MICRO_BATCHES))}, f"{base}/input")
     run_to_end(stream_ingest(lines), f"{base}/tables", f"{base}/checkpoint")
