@@ -18,15 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting (4.1 on) that deletes the shuffle files of a run at its end; else they stay until the driver collects garbage
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and read it back; what it shuffled goes at once, as only the written files are read again."""
+    conf = df.sparkSession.conf
+    was = conf.get(RELEASE, None)
+    conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(RELEASE) if was is None else conf.set(RELEASE, was)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     This cuts the lineage with files that every executor sees, so a lost
     executor costs its running tasks only.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, scratch_path(df.sparkSession, name))
 
 
 class Scratch:
@@ -40,8 +54,7 @@ class Scratch:
         self._n += 1
         path = f"{self._root}/{name}-{self._n}"
         self._paths.setdefault(name, []).append(path)
-        df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        return _written(df, path)
 
     def drop(self, *names: str, but_last: bool = False) -> None:
         """Delete the tables of these names; with ``but_last`` the newest of each stays.

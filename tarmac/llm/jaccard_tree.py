@@ -33,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -433,11 +433,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))).alias("k"))
     stay = whole.select("k.id", "k.h").unionByName(
         found.filter("n_shingles = 0").select(F.col(id_col).alias("id"), F.col("text_hash").alias("h")).distinct())
-    stay = scratch.stored(stay.select(F.col("id").alias("_id"), F.col("h").alias("_h")), "stay")
+    # plain equal keys without nulls: rows dealt out for the join lie right for dropping repeats, so texts move once
+    def keys(key: Column, h: Column) -> list[Column]:
+        return [F.coalesce(key, F.lit(0).cast("long")).alias("key"), key.isNull().alias("none"), h.alias("hash")]
+
+    stay = scratch.stored(stay.select(*keys(F.col("id"), F.col("h"))), "stay")
     scratch.drop("profiles", "classes", "cc")
-    d = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("key"), F.xxhash64(text_col).alias("hash"))
-    kept = d.join(stay, F.col("key").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_h")), "left_semi")
-    return kept.dropDuplicates(["key", "hash"]).select("row.*")
+    d = docs.select(whole_row(docs), *keys(F.col(id_col).cast("long"), F.xxhash64(text_col)))
+    return d.join(stay, ["key", "none", "hash"], "left_semi").dropDuplicates(["key", "none", "hash"]).select("row.*")
 
 
 def op10_jaccard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -486,6 +486,37 @@ def test_near_copies_with_null_and_repeated_ids_lose_no_other_text(spark):
     assert got - collections.Counter(rows[:2]) == collections.Counter([*rows[2:7], (None, None), (3, None)])
 
 
+def test_near_copies_deal_out_the_texts_once(spark, docs):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jaccard_tree.one_of_each(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    sides = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(sides) == 2, plan  # the texts and the rows that stay; no further one for the repeated rows
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    from pathlib import Path
+
+    from tarmac.llm import common
+
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(d.toString()) for d in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for d in folders for f in d.rglob("shuffle_*.data")}
+
+    before, was = shuffled(), spark.conf.get(common.RELEASE)
+    for write in (common.Scratch(spark, "release").stored, common.stored):
+        rows = write(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "t")
+        assert rows.count() == 7
+    left = [f for f in shuffled() - before if f.stat().st_size > 200]  # the counts above leave a few bytes
+    assert not left
+    assert spark.conf.get(common.RELEASE) == was
+
+
 def test_near_copies_leave_one_document_each(docs):
     kept = jaccard_tree.one_of_each(docs, rule=jaccard_tree.Rule(5, 80, 100)).toPandas()
     assert kept.columns.tolist() == docs.columns
