@@ -11,7 +11,9 @@ documents.  All occurrences go.
    contexts of one fingerprint meet in a block.  Fingerprints with more than
    ``PART`` contexts are dealt out as pairs of parts, so each two contexts
    still meet and a task holds a bounded number.
-3. A block's right sides (from the anchor on) are put in order by a suffix
+3. Contexts that share too little around the anchor with any other to hold a
+   repeated string are left out (``may_repeat``).  Of the others, a block's
+   right sides (from the anchor on) are put in order by a suffix
    array (``suffix_array``) over their letters, the left sides by their
    reversed bytes.  For every offset of the anchor in the string, the classes
    of rights that agree far enough and of lefts that agree far enough are runs
@@ -42,12 +44,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarmac.llm.common import Scratch, kept_by_worker, table, whole_row
-from tarmac.llm.hashing import exact_word_hashes, text_chunks, word_bounds
+from tarmac.llm.hashing import CHUNK, exact_word_hashes, text_chunks, word_bounds
 from tarmac.llm.suffix_array import suffix_array
 from tarmac.llm.winnow import GRAM, Anchors
 
@@ -59,10 +62,24 @@ PART = 8192
 BROADCAST_ROWS = 100_000  # fingerprints with large blocks sent to all tasks; beyond, a shuffle
 SEEN = 200_000  # texts a task remembers to send copies once
 BATCH = 16_384  # contexts that one suffix array holds, blocks permitting
+STRETCHES = 4  # ranges of offsets whose common units are compared before the suffix array
 
 SPANS = "th binary, lo long, hi long"
 
 
+def _steps(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in lists of about ``CHUNK`` bytes."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t)
+        if size >= CHUNK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 class Bytes:
     """Strings counted in bytes."""
 
@@ -73,14 +90,15 @@ class Bytes:
         return find(texts)
 
     @staticmethod
-    def parts(raw: bytes) -> Callable[[int, int], bytes]:
-        """A function for the units from lo up to hi of a text."""
-        return lambda lo, hi: raw[lo:hi]
+    def parts(texts: list[bytes]) -> Iterator[Callable[[int, int], bytes]]:
+        """Of every text a function for its units from lo up to hi."""
+        for raw in texts:
+            yield lambda lo, hi, raw=raw: raw[lo:hi]
 
     @staticmethod
-    def coded(contexts: list[bytes]) -> list[bytes]:
+    def coded(contexts: pa.ChunkedArray) -> list[bytes]:
         """Contexts with ``size`` bytes a unit, equal units alike."""
-        return contexts
+        return contexts.to_pylist()
 
     @staticmethod
     def bytes_of(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -99,16 +117,20 @@ class Words:
         return find.of_units(exact_word_hashes(raw, starts, ends), first)
 
     @staticmethod
-    def parts(raw: bytes) -> Callable[[int, int], bytes]:
-        _, starts, ends, _ = word_bounds([raw])
-        words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        return lambda lo, hi: b" ".join(words[lo:hi])
+    def parts(texts: list[bytes]) -> Iterator[Callable[[int, int], bytes]]:
+        for some in _steps(texts):
+            raw, starts, ends, first = word_bounds(some)
+            raw = raw.tobytes()
+            for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+                words = [raw[a:b] for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())]
+                yield lambda lo, hi, words=words: b" ".join(words[lo:hi])
 
     @staticmethod
-    def coded(contexts: list[bytes]) -> list[bytes]:
-        numbers: dict[bytes, int] = {}
-        return [np.array([numbers.setdefault(w, len(numbers) + 1) for w in c.split(b" ")], dtype="<u4").tobytes()
-                for c in contexts]
+    def coded(contexts: pa.ChunkedArray) -> list[bytes]:
+        words = pc.split_pattern(contexts.cast(pa.large_binary()).combine_chunks(), pattern=b" ")
+        raw = (words.flatten().dictionary_encode().indices.to_numpy() + 1).astype("<u4").tobytes()
+        at = (4 * (words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py())).tolist()
+        return [raw[lo:hi] for lo, hi in zip(at, at[1:])]
 
     @staticmethod
     def bytes_of(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -135,15 +157,21 @@ def _agree(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def right_order(rights: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the right sides by suffix array, and the bytes each agrees on with the one before."""
+    """Order of the right sides by suffix array, where equal ones stand once, and the bytes each agrees on with the one before."""
+    once: dict[bytes, int] = {}
+    which = np.array([once.setdefault(r, len(once)) for r in rights], dtype=np.int64)
     letters = -(-width // LETTER)
-    rows = _padded(rights, letters * LETTER)
+    rows = _padded(list(once), letters * LETTER)
     names = np.unique(rows.reshape(-1, LETTER).copy().view(f"S{LETTER}").ravel(), return_inverse=True)[1]
-    names = names.reshape(len(rights), letters) + 2
-    text = np.concatenate([names, np.ones((len(rights), 1), dtype=names.dtype)], axis=1)  # 1 ends a context
+    names = names.reshape(len(once), letters) + 2
+    text = np.concatenate([names, np.ones((len(once), 1), dtype=names.dtype)], axis=1)  # 1 ends a right side
     step = letters + 1
     order = np.array([i // step for i in suffix_array(text.ravel().tolist()) if i % step == 0], dtype=np.int64)
-    return order, _agree(rows, order)
+    place = np.empty(len(once), dtype=np.int64)
+    place[order] = np.arange(len(once))
+    by = np.argsort(place[which], kind="stable")
+    at = place[which][by]
+    return by, np.where(np.diff(at, prepend=-1) > 0, _agree(rows, order)[at], rows.shape[1])
 
 
 def repeated(before: np.ndarray, contexts: list[bytes], span: int, size: int = 1) -> list[tuple[int, int, int]]:
@@ -159,10 +187,12 @@ def repeated(before: np.ndarray, contexts: list[bytes], span: int, size: int = 1
     l_order = np.argsort(lefts.copy().view(f"S{lefts.shape[1]}").ravel(), kind="stable")
     l_agree = _agree(lefts, l_order) // size
     r_agree //= size
+    r_most, l_most = np.empty(m, dtype=np.int64), np.empty(m, dtype=np.int64)  # agreed on with any other
+    r_most[r_order], l_most[l_order] = (np.maximum(a, np.append(a[1:], 0)) for a in (r_agree, l_agree))
     flags = np.zeros((most + 3, m), dtype=np.int8)
     r_class, l_class = np.empty(m, dtype=np.int64), np.empty(m, dtype=np.int64)
     for s in range(most + 1):
-        fits = np.flatnonzero((before >= s) & (length >= span - s))
+        fits = np.flatnonzero((np.minimum(before, l_most) >= s) & (np.minimum(length, r_most) >= span - s))
         if len(fits) < 2:
             continue
         r_class[r_order] = np.cumsum(r_agree < span - s)
@@ -180,6 +210,27 @@ def repeated(before: np.ndarray, contexts: list[bytes], span: int, size: int = 1
     return list(zip(row.tolist(), first.tolist(), (last - 1).tolist()))
 
 
+def may_repeat(before: list[int], contexts: list[bytes], span: int, reach: int, size: int = 1) -> list[int]:
+    """Contexts that can hold a repeated string; the others share too little around the anchor with any.
+
+    A string that starts from lo up to hi units left of the anchor holds the lo units before the anchor and the
+    ``span - hi`` from it on; a repeated one's are those of another context.  A unit has ``size`` bytes.
+    """
+    edges = [reach * k // STRETCHES for k in range(STRETCHES)] + [reach + 1]
+    viable = bytearray(len(contexts))
+    for lo, hi in zip(edges, [e - 1 for e in edges[1:]]):
+        first: dict[bytes, int] = {}
+        left, right = lo * size, (span - hi) * size
+        for i, (b, c) in enumerate(zip(before, contexts)):
+            at = b * size
+            if at < left or len(c) - at < right:
+                continue
+            j = first.setdefault(c[at - left:at + right], i)
+            if j != i:
+                viable[i] = viable[j] = 1
+    return [i for i, v in enumerate(viable) if v]
+
+
 def _find_anchors(anchors: Anchors, unit: Bytes | Words) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_by_worker(None)
@@ -215,8 +266,8 @@ def _cut_contexts(span: int, reach: int, unit: Bytes | Words) -> Callable:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 out: dict[tuple, list[int]] = {}
-                for th, text, at in zip(*(part.column(c).to_pylist() for c in ("th", "text", "at"))):
-                    part_of = unit.parts(text.encode())
+                th, text, at = (part.column(c).to_pylist() for c in ("th", "text", "at"))
+                for th, part_of, at in zip(th, unit.parts([t.encode() for t in text]), at):
                     for a in at:
                         for p in a["places"]:
                             lo_p = max(0, p - reach)
@@ -245,20 +296,21 @@ def _merged(lo: np.ndarray, hi: np.ndarray, own: np.ndarray) -> tuple[np.ndarray
     return lo[first] - own * far, reach[last] - own * far, own
 
 
-def _spans_of_blocks(span: int, unit: Bytes | Words) -> Callable:
+def _spans_of_blocks(span: int, reach: int, unit: Bytes | Words) -> Callable:
     """Repeated spans per text from rows sorted by block."""
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
-        th, places, before, contexts = (rows.column(c).to_pylist() for c in ("th", "places", "before", "context"))
-        contexts = unit.coded(contexts)
+        th, places, before = (rows.column(c).to_pylist() for c in ("th", "places", "before"))
+        contexts = unit.coded(rows.column("context"))
         once: dict[tuple, int] = {}
         for i, key in enumerate(zip(th, (p[0] for p in places))):  # a context may be in several blocks of parts
             once.setdefault(key, i)
         keep = list(once.values())
         # (row, stretch before the place, stretch after it); contexts at several places are covered whole
         found = [(i, before[i], len(contexts[i]) // unit.size - before[i]) for i in keep if len(places[i]) > 1]
+        keep = [keep[k] for k in may_repeat([before[i] for i in keep], [contexts[i] for i in keep], span, reach, unit.size)]
         found += [(keep[k], last, span - first) for k, first, last in repeated(
-            np.array([before[i] for i in keep], dtype=np.int64), [contexts[i] for i in keep], span, unit.size)]
+            np.array([before[i] for i in keep], dtype=np.int64), [contexts[i] for i in keep], span, unit.size)] if keep else []
         names = {t: k for k, t in enumerate(dict.fromkeys(th))}
         n = np.array([len(places[i]) for i, _, _ in found], dtype=np.int64)
         at = np.array([p for i, _, _ in found for p in places[i]], dtype=np.int64)
@@ -322,7 +374,7 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
         "th", "fp", "places", "before", "context", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spans = (cut.repartition(n, "fp", "i", "j").sortWithinPartitions("fp", "i", "j")
-             .mapInArrow(_spans_of_blocks(span, unit), SPANS))
+             .mapInArrow(_spans_of_blocks(span, anchors.width - 1, unit), SPANS))
     merged = F.aggregate(
         F.sort_array(F.collect_set(F.struct("lo", "hi"))),
         F.array().cast("array<struct<lo:bigint,hi:bigint>>"),
@@ -337,10 +389,11 @@ def find_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_c
     return d, spans
 
 
-def _words_in(text: str, spans: list[dict] | None) -> int:
-    """Words of a text inside its spans of words (a span of a whole text may go on)."""
-    n = len(word_bounds([text.encode()])[1]) if spans else 0
-    return sum(min(s["hi"], n) - s["lo"] for s in spans or [])
+def _words_in(texts: list[bytes], spans: list[list[dict] | None]) -> list[int]:
+    """Words of each text inside its spans of words; only a span of a whole text goes on, to the text's bytes."""
+    whole = [i for i, found in enumerate(spans) if found and found[-1]["hi"] >= len(texts[i])]
+    n = dict(zip(whole, (k for some in _steps([texts[i] for i in whole]) for k in np.diff(word_bounds(some)[3]).tolist())))
+    return [sum(min(s["hi"], n.get(i, s["hi"])) - s["lo"] for s in found or []) for i, found in enumerate(spans)]
 
 
 def _cut(docs: DataFrame, row: Column, span: int, id_col: str, text_col: str, unit: Bytes | Words, with_text: bool,
@@ -376,8 +429,8 @@ def _cut(docs: DataFrame, row: Column, span: int, id_col: str, text_col: str, un
             out = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()),
                    pa.array(digests, pa.string())] + [pa.array(kept_texts, pa.string())] * with_text
             if passage:
-                out.append(pa.array([_words_in(text, found) for text, found in zip(
-                    batch.column("text").to_pylist(), batch.column("passages").to_pylist())], pa.int64()))
+                texts = [text.encode() for text in batch.column("text").to_pylist()]
+                out.append(pa.array(_words_in(texts, batch.column("passages").to_pylist()), pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("row"), *out], names=schema.names)
 
     return full.mapInArrow(run, schema)

@@ -54,6 +54,58 @@ def test_suffix_dedup_parts_of_a_large_block(spark, docs, monkeypatch):
     assert sorted(map(str, suffix_dedup.cut(docs, 80).collect())) == want
 
 
+def test_equal_right_sides_are_ordered_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda t: asked.append(len(t)) or suffix_array(t))
+    rights = [(prose(k % 3, 60)[:200]).encode() for k in range(90)] + [b"short", b"short\0"]
+    order, agree = suffix_dedup.right_order(rights, 200)
+    assert asked == [5 * 4]  # five different ones of three letters and an end
+    whole = [r.ljust(240, b"\0") for r in rights]
+    assert sorted(order.tolist()) == list(range(92))
+    for k in range(1, 92):
+        x, y = whole[order[k - 1]], whole[order[k]]
+        assert agree[k] == next((i for i in range(240) if x[i] != y[i]), 240)
+    assert (agree < 80).sum() == len({w[:80] for w in whole})  # those with equal first letters stand together
+
+
+@pytest.mark.parametrize("size", [1, 4])
+def test_contexts_left_out_hold_no_repeated_string(size):
+    import random
+
+    rnd, left_out = random.Random(7), 0
+    for _ in range(300):
+        span, gram = rnd.randint(6, 24), 4
+        reach, base = span - gram, [rnd.randint(0, 1) for _ in range(60)]
+        before, contexts = [], []
+        for _ in range(rnd.randint(1, 9)):
+            units = [u if rnd.random() > .06 else 2 for u in base]
+            b = rnd.randint(0, reach)
+            before.append(b)
+            contexts.append(np.array(units[30 - b:30 + rnd.randint(span - b, span)], dtype="<u4").astype(f"<u{size}").tobytes())
+        want = {i for i, _, _ in suffix_dedup.repeated(np.array(before), contexts, span, size)}
+        brute = set()
+        for s in range(reach + 1):
+            at = collections.defaultdict(list)
+            for i, (b, c) in enumerate(zip(before, contexts)):
+                if b >= s and len(c) // size - b >= span - s:
+                    at[c[(b - s) * size:(b - s + span) * size]].append(i)
+            brute.update(i for same in at.values() if len(same) > 1 for i in same)
+        kept = suffix_dedup.may_repeat(before, contexts, span, reach, size)
+        assert want == brute <= set(kept)
+        left_out += len(contexts) - len(kept)
+    assert left_out > 300
+
+
+def test_words_in_passages_are_counted_for_whole_copies_only(monkeypatch):
+    asked = []
+    bounds = suffix_dedup.word_bounds
+    monkeypatch.setattr(suffix_dedup, "word_bounds", lambda t: asked.append(len(t)) or bounds(t))
+    texts = [prose(k, 70).encode() for k in range(40)]
+    some = [[{"lo": 3, "hi": 60}] if k % 2 else [{"lo": 0, "hi": len(t)}] for k, t in enumerate(texts)]
+    assert suffix_dedup._words_in([*texts, b""], [*some, None]) == [57 if k % 2 else 70 for k in range(40)] + [0]
+    assert asked == [20]  # one call for the copies
+
+
 UNSPACED = "\u0e01-\u0eff\u1000-\u107f\u1780-\u17ff\u3001-\u9fff\U00020000-\U0010ffff"
 
 
