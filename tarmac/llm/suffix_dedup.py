@@ -62,6 +62,7 @@ PART = 8192
 BROADCAST_ROWS = 100_000  # fingerprints with large blocks sent to all tasks; beyond, a shuffle
 SEEN = 200_000  # texts a task remembers to send copies once
 BATCH = 16_384  # contexts that one suffix array holds, blocks permitting
+SOUGHT = 1 << 18  # bytes of texts whose anchors are sought at once, so that the arrays fit a core's cache
 STRETCHES = 4  # ranges of offsets whose common units are compared before the suffix array
 
 SPANS = "th binary, lo long, hi long"
@@ -236,7 +237,7 @@ def _find_anchors(anchors: Anchors, unit: Bytes | Words) -> Callable:
         kept_by_worker(None)
         seen: set[bytes] = set()
         for batch in batches:
-            for start, texts in text_chunks(batch.column("text")):
+            for start, texts in text_chunks(batch.column("text"), SOUGHT):
                 hashes = batch.column("th").slice(start, len(texts)).to_pylist()
                 new = []
                 for i, th in enumerate(hashes):  # copies in this task are sent once
