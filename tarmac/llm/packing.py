@@ -18,21 +18,25 @@ Sequences are padded to the window unless their length is a power of two.
 Defined results: a null text is empty and gives the closing id alone;
 repeated rows are packed each, pieces of one id and start in the order of their
 length and checksum; an empty table gives no rows; a word's ids do
-not depend on its neighbours (the tokenizer drops white space), so words are
-encoded once per worker and cached, at most ``CACHE_WORDS`` of them.
+not depend on its neighbours (the tokenizer drops white space), so words and
+their parts are encoded once per worker and cached, at most ``CACHE_WORDS`` of
+them between two stretches of text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_right
+from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,58 +46,123 @@ WINDOW = 4096
 STEP = 16
 FINE = 256  # tokens; shorter pieces are not rounded
 END_ID = 2
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 CACHE_CHARS = 48
 TOKENIZER = "word_bpe_49k.json"
-SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which can begin a token of letters
+CLOSE = "</w>"  # written behind a part's last token in the vocabulary
+STRETCH = 1 << 21  # bytes of text encoded at once
+GAP = re.compile("[ \t\n\r]")
+
+# Latin-1 bytes: lower case with white space as spaces, and the kinds the tokenizer's pattern tells apart
+LOWER = bytes(32 if b in b"\t\n\v\f\r \x85\xa0" else ord(chr(b).lower()) for b in range(256))
+SPACE, LETTER, SIGN, ALONE = range(4)
+OTHER, END = b"A", b"B"  # marks of a word with other characters and of a text's end: capitals, which lower case does not have
+KIND = np.array([SPACE if b == 32 else LETTER if chr(LOWER[b]) == chr(b) and chr(b).isalpha() else
+                 ALONE if chr(b).isnumeric() or bytes([b]) in (OTHER, END) else SIGN for b in range(256)], dtype=np.uint8)
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
 class WordEncoder(dict):
-    """Word -> token ids as little-endian 32-bit bytes, filled as words are met; kept per Python worker, see ``encoder``.
+    """Part of a text -> token ids as little-endian 32-bit bytes, filled as parts are met; kept per Python worker, see ``encoder``.
 
-    The tokenizer lower-cases words and parts them where signs meet letters or
-    digits.  So signs around a word are looked up apart from its core, and a
-    core of Latin letters, which is one part, goes to the tokenizer's model
-    directly; everything else is encoded by the whole tokenizer.
+    The tokenizer lower-cases a text and parts it where letters, digits, signs
+    and white space meet.  Here the parts of many texts are found at once on
+    their Latin-1 bytes, told apart by Arrow, and each new one goes to the
+    tokenizer's model.  Words with other characters or special tokens are
+    encoded by the whole tokenizer; they are keys as ``str``, parts as ``bytes``.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks fill the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__({"": b""})
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parts = Tokenizer(self.tokenizer.model)  # for parts with spaces between
+        self.parts.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        size = self.tokenizer.get_vocab_size()
+        self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith(CLOSE) for i in range(size)])
         # byte-level tokenizers write bytes as characters: printable ones as themselves, the rest from 256 on
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
-        self.written = {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.strip(SIGNS)
-        if core and core.isalpha() and max(core) < "\u0100" and not any(t in word for t in self.special):
-            if core == word:
-                low = core.lower()
-                if low != word:
-                    ids = self[low]
-                else:
-                    text = low if low.isascii() else low.encode().decode("latin-1").translate(self.written)
-                    ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+        written = {b: chr(256 + i) for i, b in enumerate(rest) if b != 32}
+        self.written = "".join(written.get(b, chr(b)) for b in range(256))
+
+    def latin(self, text: str, others: list[str]) -> bytes:
+        """The text in lower case, one byte a character; words that have other characters are marked and added to ``others``."""
+        if "<|" not in text:
+            try:
+                return text.encode("latin-1").translate(LOWER)
+            except UnicodeEncodeError:
+                pass
+        out = []
+        for word in GAP.split(text):
+            if not word.isascii() and max(word) > "\u00ff" or any(t in word for t in self.special):
+                others.append(word)
+                out.append(OTHER)
             else:
-                at = word.index(core)
-                ids = self[word[:at]] + self[core] + self[word[at + len(core):]]
-        else:
+                out.append(word.encode("latin-1").translate(LOWER))
+        return b" ".join(out)
+
+    def encode_parts(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part, in the same order, by the tokenizer's model."""
+        if not parts:
+            return []
+        lines = [b" ".join(parts[lo:lo + 256]) for lo in range(0, len(parts), 256)]
+        lines = [charmap_decode(line.decode("latin-1").encode(), "strict", self.written)[0] for line in lines]
+        ids = np.array(list(chain.from_iterable(e.ids for e in self.parts.encode_batch_fast(lines))), dtype="<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1  # a part's last token, and no other, has the closing suffix
+        if len(ends) != len(parts):
+            raise ValueError("the vocabulary does not close every part")
+        ids, ends = ids.tobytes(), (4 * ends).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def texts(self, texts: list[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one row, ``end`` behind each, and where each text's ids end."""
+        self.trim()
+        others: list[str] = []
+        found = text_parts(b"".join([self.latin(t, others) + END for t in texts])).dictionary_encode()
+        at, keys = found.indices.to_numpy(), found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.get, keys))
+        closing = at == keys.index(END)
+        ids[keys.index(END)] = end
+        if others:
+            other = keys.index(OTHER)
+            ids[other] = b""
+            words = list(dict.fromkeys(others))
+            place = {w: len(keys) + i for i, w in enumerate(words)}
+            at = at.copy()
+            at[at == other] = [place[w] for w in others]
+            ids += [self.word(w) for w in words]
+        new = [i for i, x in enumerate(ids) if x is None]
+        parts = [keys[i] for i in new]
+        for i, part, x in zip(new, parts, self.encode_parts(parts)):
+            ids[i] = x
+            if len(part) <= CACHE_CHARS:
+                self[part] = x
+        row = pa.array(ids, pa.large_binary()).take(pa.array(at))
+        _, offsets, values = row.buffers()
+        ends = np.frombuffer(offsets, dtype=np.int64)[1:len(row) + 1][closing] // 4
+        return np.frombuffer(values or b"", dtype="<u4")[:ends[-1]], ends
+
+    def word(self, word: str) -> bytes:
+        """The ids of a word by the whole tokenizer."""
+        ids = self.get(word)
+        if ids is None:
             ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= CACHE_CHARS:
-            self[word] = ids
+            if len(word) <= CACHE_CHARS:
+                self[word] = ids
         return ids
 
     def text(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.__getitem__, words))
+        """The ids of one text; long ones are taken by stretches that end at white space."""
+        out, at = [], 0
+        while gap := GAP.search(text, at + STRETCH):
+            out.append(self.texts([text[at:gap.start()]])[0].tobytes())
+            at = gap.end()
+        return b"".join([*out, self.texts([text[at:]])[0].tobytes()])
 
     def trim(self) -> None:
         if len(self) > CACHE_WORDS:  # words met early are the frequent ones
@@ -102,6 +171,29 @@ class WordEncoder(dict):
             self.update(kept)
 
 
+def text_parts(text: bytes) -> pa.Array:
+    """The parts of lower-case Latin-1 text that ends with ``END``, in order.
+
+    Parts are runs of one kind but white space, single digits and marks, and an
+    apostrophe with one of 's 't 're 've 'm 'll 'd where no sign stands before it.
+    """
+    chars = np.frombuffer(text, dtype=np.uint8)
+    kind = KIND[chars]
+    starts = np.ones(len(chars), dtype=np.uint8)
+    starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == ALONE)
+    at = np.flatnonzero(chars == ord("'"))
+    at = at[(starts[at] == 1) & (kind[at + 1] == LETTER)]  # END follows the last
+    first, both = chars[at + 1], chars[at + 1] * np.int64(256) + chars[at + 2]
+    size = np.where(np.isin(both, [a * 256 + b for a, b in (b"re", b"ve", b"ll")]), 2, np.isin(first, list(b"stmd")))
+    at, size = at[size > 0], size[size > 0]
+    starts[at + 1] = 0
+    starts[at + 1 + size] = 1
+    starts[kind == SPACE] = 2
+    starts = np.frombuffer(starts.tobytes().translate(None, b"\2"), dtype=np.uint8)
+    offsets = np.append(np.flatnonzero(starts), len(starts)).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(text.translate(None, b" "))])
+
+
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder for a vocabulary file."""
     return kept_by_worker(f"words {path}", lambda: WordEncoder(path))
@@ -133,17 +225,26 @@ def pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
         enc = encoder(path or public_tokenizers.path(TOKENIZER))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                enc.trim()
-                part = batch.slice(lo, 256)
+            size = pc.binary_length(batch.column("_text")).to_numpy()
+            new = np.diff(np.cumsum(size, dtype=np.int64) // STRETCH, prepend=-1) > 0
+            new[1:] |= size[:-1] >= STRETCH  # a long text stands alone
+            first_rows = np.flatnonzero(new).tolist()
+            for lo, hi in zip(first_rows, [*first_rows[1:], batch.num_rows]):
+                part = batch.slice(lo, hi - lo)
+                texts = part.column("_text").to_pylist()
+                if len(texts) == 1:
+                    ids = np.frombuffer(enc.text(texts[0]) + end, dtype="<u4")
+                    ends = [len(ids)]
+                else:
+                    ids, ends = enc.texts(texts, end)
+                    ends = ends.tolist()
                 row, out = [], []
-                for i, text in enumerate(part.column("_text").to_pylist()):
-                    ids = enc.text(text) + end
-                    view, n = memoryview(ids), len(ids) // 4
+                for i, (first, last) in enumerate(zip([0, *ends], ends)):
+                    own, n = ids[first:last], last - first
                     for start, length in cuts(n, window):
-                        own = view[4 * start:4 * (start + length)]
+                        piece = own[start:start + length]
                         row.append(i)
-                        out.append((start, length, zlib.crc32(own), n, bytes(own) if keep_ids else None))
+                        out.append((start, length, zlib.crc32(piece), n, piece.tobytes() if keep_ids else None))
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 4 + [pa.binary()])]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *columns], names=schema.names)
 

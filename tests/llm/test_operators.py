@@ -319,6 +319,42 @@ def test_word_encoder_equals_the_tokenizer():
         assert np.frombuffer(e.text(t), dtype="<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_texts_are_encoded_together_and_each_part_once(monkeypatch):
+    import random
+
+    import public_tokenizers
+
+    e = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    asked, real = [], e.encode_parts
+    monkeypatch.setattr(e, "encode_parts", lambda parts: asked.extend(parts) or real(parts))
+    signs = ["", ",", ".", "!!", "\"", "(", ")", "***", "'s", "'LL", "7"]
+    texts = [a + w + b for w in ("harbor", "HARBOR", "Harbor", "größe", "GRÖSSE", "Größe") for a in signs for b in signs]
+    rnd = random.Random(4)
+    letters = ["a", "S", "r", "e", "L", "l", "'", "9", "½", "É", "ß", ".", "$", " ", "\n", "\x0b", "\x1c", "\x00", "\x85", "\xa0", "\xad",
+               "’", "Σ", "ſ", "日", "<|", "<|endoftext|>", "A", "B", "Ω", "\u0301"]
+    texts += ["".join(rnd.choices(letters, k=rnd.randint(0, 12))) for _ in range(4000)]
+    for _ in range(2):
+        ids, ends = e.texts(texts, np.array([2], dtype="<u4").tobytes())
+        for t, a, b in zip(texts, [0, *ends.tolist()], ends.tolist()):
+            assert ids[a:b].tolist() == [*e.tokenizer.encode(t, add_special_tokens=False).ids, 2], t
+    assert len(asked) == len(set(asked)) and asked.count(b"harbor") == 1
+
+
+def test_a_long_text_and_its_neighbours_keep_their_pieces(spark, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "STRETCH", 500)
+    e = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    texts = ["one two", "It's a big, long text. " * 200, "", "x" * 1500, "\u65e5\u672c \u2019s " * 300, "end"]
+    for t in texts:
+        assert np.frombuffer(e.text(t), dtype="<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+    assert e.texts([""])[1].tolist() == [0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in packing.pieces(docs, keep_ids=True).collect()}
+    assert {i: np.frombuffer(r["ids"], dtype="<u4").tolist() for i, r in got.items()} == {
+        i: [*e.tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+
+
 def test_plan_uses_every_piece_once_with_little_padding():
     rng = np.random.default_rng(2)
     for sizes in (rng.integers(1, 129, 5000), np.full(3000, 128), rng.integers(1, 4, 4000), np.array([256] * 5 + [1])):
