@@ -115,7 +115,8 @@ class WordEncoder(dict):
         ids = np.array(list(chain.from_iterable(e.ids for e in self.parts.encode_batch_fast(lines))), dtype="<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1  # a part's last token, and no other, has the closing suffix
         if len(ends) != len(parts):
-            raise ValueError("the vocabulary does not close every part")
+            model = self.tokenizer.model  # a vocabulary without such suffixes, or without some byte
+            return [array("I", [t.id for t in model.tokenize(p)]).tobytes() for line in lines for p in line.split(" ")]
         ids, ends = ids.tobytes(), (4 * ends).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 

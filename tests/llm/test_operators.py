@@ -338,6 +338,10 @@ def test_texts_are_encoded_together_and_each_part_once(monkeypatch):
         for t, a, b in zip(texts, [0, *ends.tolist()], ends.tolist()):
             assert ids[a:b].tolist() == [*e.tokenizer.encode(t, add_special_tokens=False).ids, 2], t
     assert len(asked) == len(set(asked)) and asked.count(b"harbor") == 1
+    words = [b"harbor", "größe".encode("latin-1"), b"'s", b"***", b"7"]
+    whole = e.encode_parts(words)
+    e.closes[:] = False  # as in a vocabulary without closing suffixes
+    assert e.encode_parts(words) == whole and e.encode_parts([]) == []
 
 
 def test_a_long_text_and_its_neighbours_keep_their_pieces(spark, monkeypatch):
