@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -105,6 +107,22 @@ def upsert_batch(df: DataFrame, batch_id: int, path: str) -> None:
     _write_manifest(spark, path, manifest)
 
 
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` worked out once, written to ``path`` and read from there; the folder goes at the end.
+
+    No executor holds the rows, in memory or on its own disk.  What a lost driver leaves behind is overwritten
+    when its batch runs again.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        at, fs = _place(spark, path)
+        fs.delete(at, True)
+
+
 def committed_batches(spark: SparkSession, path: str) -> DataFrame:
     """Finished batch ids (one row per batch); empty when nothing was written yet."""
     ranges = read_manifest(spark, path).ranges

@@ -21,6 +21,11 @@ def parse_records(lines: DataFrame, value: str = "value") -> DataFrame:
                                       **FROM_CSV_OPTIONS}))).alias("r"))
 
 
+def lean_records(records: DataFrame) -> DataFrame:
+    """The records without the text of the well-formed ones, which ``accepted`` and ``rejected`` do not read."""
+    return records.select(F.when(F.col(f"r.{CORRUPT_COLUMN}").isNotNull(), F.col("record")).alias("record"), "r")
+
+
 def accepted(records: DataFrame) -> DataFrame:
     """Typed flights of the well-formed records, header rows dropped."""
     rec = records.filter(F.col(f"r.{CORRUPT_COLUMN}").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in CLEAN_COLUMNS])

@@ -9,11 +9,12 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from tarmac.functions.cleaning import clean_value, once, valid_delay
 from tarmac.schema import CLEAN_COLUMNS
+from tarmac.sinks.tables import read_all, upsert_batch
 from tarmac.sources import archives, publish_raw
 from tarmac.sources.files import read_raw
 from tarmac.sources.fixture import clean_flights
-from tarmac.streaming import replay
-from tarmac.streaming.source import parse_lines
+from tarmac.streaming import jobs, replay
+from tarmac.streaming.source import accepted, parse_lines, parse_records, stream_lines
 
 
 def optimized(df):
@@ -94,3 +95,40 @@ def test_many_members_share_tasks(spark, tmp, monkeypatch):
     assert len([f for f in os.listdir(f"{tmp}/staged/_manifest") if f.startswith("part-")]) <= cores
     rows, rejects = archives.read_archives(spark, f"{tmp}/in", f"{tmp}/again")
     assert sorted(int(r["Year"]) for r in rows.collect()) == list(range(3 * cores)) and rejects.count() == 0
+
+
+GOOD = "2008,1,2,3,AA,ORD,JFK,0900,5,7,0,0"
+
+
+def ingested(spark, tmp, monkeypatch, table, fail=lambda batch_id: False):
+    """Ingest three lines a batch, two batches; of the frames written to ``table``: plan, files read, texts kept of well-formed lines."""
+    seen = []
+
+    def look(df, batch_id, path):
+        if path.endswith(f"/{table}"):
+            files = df.inputFiles()
+            kept = spark.read.parquet(*files).filter("record IS NOT NULL").count() if files else None
+            seen.append((optimized(df), files, kept))
+            if fail(batch_id):
+                raise RuntimeError("a lost write")
+        upsert_batch(df, batch_id, path)
+
+    monkeypatch.setattr(jobs, "upsert_batch", look)
+    for k in range(2):
+        lines = [(f"{GOOD},{k}",), (GOOD.replace("AA", f"A{k}"),), ("  ",)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(f"{tmp}/in/{k}")
+    lines = stream_lines(spark, "text", {"maxFilesPerTrigger": "1"}, f"{tmp}/in/*")
+    replay.run_to_end(jobs.stream_ingest(lines), f"{tmp}/t", f"{tmp}/c")
+    return seen
+
+
+def test_an_ingested_batch_is_read_from_storage_and_not_cached(spark, tmp, monkeypatch):
+    seen = ingested(spark, tmp, monkeypatch, "rows")
+    assert len(seen) == 2
+    for plan, files, kept in seen:
+        assert "InMemoryRelation" not in plan and "from_csv" not in plan
+        assert files and all("/_parsed/batch_id=" in f for f in files)
+        assert kept == 1
+    rows = read_all(spark, f"{tmp}/t/rows", accepted(parse_records(spark.createDataFrame([], "value string"))).schema)
+    assert sorted((r["UniqueCarrier"], r["ArrDelay"]) for r in rows.collect()) == [("A0", 7), ("A1", 7)]
+    assert not os.listdir(f"{tmp}/t/_parsed")  # the parsed batches are gone
