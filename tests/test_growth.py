@@ -3,6 +3,7 @@
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -14,7 +15,7 @@ from tarmac.sources import archives, publish_raw
 from tarmac.sources.files import read_raw
 from tarmac.sources.fixture import clean_flights
 from tarmac.streaming import jobs, replay
-from tarmac.streaming.source import accepted, parse_lines, parse_records, stream_lines
+from tarmac.streaming.source import accepted, parse_lines, parse_records, rejected, stream_lines
 
 
 def optimized(df):
@@ -114,9 +115,9 @@ def ingested(spark, tmp, monkeypatch, table, fail=lambda batch_id: False):
         upsert_batch(df, batch_id, path)
 
     monkeypatch.setattr(jobs, "upsert_batch", look)
-    for k in range(2):
+    for k in range(0 if os.path.exists(f"{tmp}/in") else 2):
         lines = [(f"{GOOD},{k}",), (GOOD.replace("AA", f"A{k}"),), ("  ",)]
-        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(f"{tmp}/in/{k}")
+        spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{tmp}/in/{k}")
     lines = stream_lines(spark, "text", {"maxFilesPerTrigger": "1"}, f"{tmp}/in/*")
     replay.run_to_end(jobs.stream_ingest(lines), f"{tmp}/t", f"{tmp}/c")
     return seen
@@ -132,3 +133,18 @@ def test_an_ingested_batch_is_read_from_storage_and_not_cached(spark, tmp, monke
     rows = read_all(spark, f"{tmp}/t/rows", accepted(parse_records(spark.createDataFrame([], "value string"))).schema)
     assert sorted((r["UniqueCarrier"], r["ArrDelay"]) for r in rows.collect()) == [("A0", 7), ("A1", 7)]
     assert not os.listdir(f"{tmp}/t/_parsed")  # the parsed batches are gone
+
+
+def test_rejects_of_a_batch_that_failed_and_ran_again_are_whole(spark, tmp, monkeypatch):
+    with pytest.raises(Exception, match="a lost write"):
+        ingested(spark, tmp, monkeypatch, "rejects", fail=lambda batch_id: batch_id == 1)
+    assert not os.listdir(f"{tmp}/t/_parsed")  # of the failed batch neither
+    os.makedirs(f"{tmp}/t/_parsed/batch_id=1")
+    with open(f"{tmp}/t/_parsed/batch_id=1/part-0.parquet", "w") as f:
+        f.write("left behind by a lost driver")
+    seen = ingested(spark, tmp, monkeypatch, "rejects")
+    assert seen and all("InMemoryRelation" not in plan and "/_parsed/batch_id=" in files[0] for plan, files, _ in seen)
+    rejects = read_all(spark, f"{tmp}/t/rejects", rejected(parse_records(spark.createDataFrame([], "value string"))).schema)
+    found = sorted((r["batch_id"], r["record"], r["reason"]) for r in rejects.collect())
+    assert [(b, w) for b, _, w in found] == [(0, "wrong number of fields"), (1, "wrong number of fields")]
+    assert sorted(r for _, r, _ in found) == [f"{GOOD},0", f"{GOOD},1"]
