@@ -195,8 +195,7 @@ class IngestJob(StreamJob):
     """Topic lines parsed once per batch into two keyed tables: flights (``rows``) and rejected lines (``rejects``).
 
     The parsed batch is written to shared storage and both tables are made from it there.  Held as a cached frame
-    it took the executors about 285 bytes of heap a line, blocks were sent whole between them, and a lost
-    executor's part was parsed again.
+    it took the executors about 285 bytes of heap a line.
     """
 
     def write_batch(self, path: str) -> Callable[[DataFrame, int], None]:
